@@ -97,23 +97,36 @@ class Layers:
         )
 
 
+_LAYERS: dict[tuple[str, str], Layers] = {}
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The frames over a folder; they are plans without data, so one set serves all queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    found = _LAYERS.get(key)
+    if found is None or found.spark is not spark:
+        found = _LAYERS[key] = Layers(spark, sf_dir)
+    prepare(spark)
+    return found
+
+
 # Published tables of this process: (application, folder, name) -> path.
 _PUBLISHED: dict[tuple[str, str, str], str] = {}
 
 
-def published(layers: Layers, name: str) -> DataFrame:
+def published(t: Layers, name: str) -> DataFrame:
     """A Gold table as the reporting queries see it: written once, then only read."""
-    spark = layers.spark
-    key = (spark.sparkContext.applicationId, layers.sf_dir, name)
+    spark = t.spark
+    key = (spark.sparkContext.applicationId, t.sf_dir, name)
     if key not in _PUBLISHED:
-        path = layers.scratch(name)
-        publish_gold(_GOLD[name](layers), path, *_LAYOUT.get(name, ()))
+        path = t.scratch(name)
+        publish_gold(_GOLD[name](t), path, *_LAYOUT.get(name, ()))
         _PUBLISHED[key] = path
     return spark.read.parquet(_PUBLISHED[key])
 
 
-def _ml(layers: Layers) -> DataFrame:
-    scored = published(layers, "distances")
+def _ml(t: Layers) -> DataFrame:
+    scored = published(t, "distances")
     labelled = classify_p95(score_normalize(scored)).withColumnRenamed("score_anomalia", "score_generador")
     return labelled.select(*model.ML_COLUMNS)
 

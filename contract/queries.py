@@ -24,7 +24,7 @@ from silvertide.plans import marts, model, serving, staging
 from silvertide.sources import bronze, tables
 from silvertide.streaming import silver as ST
 
-from .gold import TEST_KEYS, Layers, plain, published
+from .gold import TEST_KEYS, Layers, layers, plain, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -33,7 +33,7 @@ _REGISTRY: dict[str, Query] = {}
 def query(name: str):
     def register(build: Callable[[Layers], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(build(Layers(spark, sf_dir)))
+            return plain(build(layers(spark, sf_dir)))
 
         _REGISTRY[name] = run
         return build

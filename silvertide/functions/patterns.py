@@ -11,8 +11,9 @@ WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 NOT_DIGIT = r"[^\p{Nd}]"
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
-# A boundary beside a word character needs one look-around only.
-OPEN = rf"(?<!{WORD})"
+# A boundary beside a word character needs one look-around only; looking for the
+# digit first rejects most positions of a text at once.
+OPEN = rf"(?={DIGIT})(?<!{WORD})"
 CLOSE = rf"(?!{WORD})"
 # General boundary, for matches that may start with punctuation.
 EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"

@@ -1,0 +1,26 @@
+"""Choice of the broadcast side of a join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Estimates come from compressed files, so stay well below what a task can hold.
+BROADCAST_LIMIT = 8 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of the result as Spark's statistics estimate it; a table of unknown size is huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Mark a lookup side for broadcast when its estimated size allows, else leave it alone.
+
+    Beyond the limit Spark shuffles both sides, and adaptive execution splits the
+    partitions that hold hot keys. A session that turned broadcasts off is obeyed.
+    """
+    allowed = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if allowed.startswith("-"):
+        return df
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df

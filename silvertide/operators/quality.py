@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvertide.functions.rules import ratio, rut_is_valid
 
+from .joins import small_side
+
 
 @dataclass(frozen=True)
 class Check:
@@ -103,6 +105,27 @@ def _lookup(mapping: Mapping[str, str], column: str) -> Column:
     return F.create_map(*pairs)[F.col(column)]
 
 
+# The communes of each region.
+REGION_COMMUNES = {
+    "Metropolitana": ("Santiago", "Las Condes", "Providencia", "Maipú", "Puente Alto", "Ñuñoa", "La Florida"),
+    "Valparaíso": ("Valparaíso", "Viña del Mar", "Quilpué", "Villa Alemana", "San Antonio"),
+    "Biobío": ("Concepción", "Talcahuano", "Chillán", "Los Ángeles", "Coronel"),
+    "La Araucanía": ("Temuco", "Padre Las Casas", "Angol", "Victoria"),
+    "Los Lagos": ("Puerto Montt", "Osorno", "Castro", "Puerto Varas"),
+    "Antofagasta": ("Antofagasta", "Calama", "Tocopilla", "Mejillones"),
+    "Coquimbo": ("La Serena", "Coquimbo", "Ovalle", "Illapel"),
+    "O'Higgins": ("Rancagua", "San Fernando", "Pichilemu", "Rengo"),
+    "Maule": ("Talca", "Curicó", "Linares", "Cauquenes"),
+    "Los Ríos": ("Valdivia", "La Unión", "Panguipulli"),
+}
+
+
+def region_communes(spark: SparkSession) -> DataFrame:
+    """The known (region, comuna) pairs."""
+    pairs = [(region, commune) for region, communes in REGION_COMMUNES.items() for commune in communes]
+    return spark.createDataFrame(pairs, "region string, comuna string")
+
+
 def batch_profile(df: DataFrame) -> DataFrame:
     """Counts and shares of oddities in a batch of transactions."""
     text = F.coalesce(F.col("descripcion"), F.lit(""))
@@ -130,6 +153,6 @@ def check_region_commune(
     Rows without a region or commune cannot be judged and are left to the
     not-null tests. `reference` has the columns region and comuna.
     """
-    known = reference.select(F.col("region").alias("__r"), F.col("comuna").alias("__c"))
+    known = small_side(reference.select(F.col("region").alias("__r"), F.col("comuna").alias("__c")))
     judged = df.where(F.col(region).isNotNull() & F.col(commune).isNotNull())
     return judged.join(known, (F.col(region) == F.col("__r")) & (F.col(commune) == F.col("__c")), "left_anti")

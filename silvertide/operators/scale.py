@@ -11,6 +11,8 @@ from silvertide.functions.rules import is_true, ratio
 
 # Largest number of distinct values the final selection step reads back.
 BRACKET_LIMIT = 50_000
+# Kept modest because the sketches of all map tasks meet in one task.
+SKETCH_ACCURACY = 2_000
 
 
 def table_max(df: DataFrame, column: str) -> Column:
@@ -67,14 +69,13 @@ def exact_quantile(df: DataFrame, column: str, share: float, limit: int = BRACKE
 
 def _sketch(values: DataFrame, low_share: float, high_share: float) -> tuple:
     """Count, extremes, and two values that should enclose the given shares."""
-    accuracy = 10_000
-    slack = 4 / accuracy
+    slack = 4 / SKETCH_ACCURACY
     points = [max(0.0, low_share - slack), min(1.0, high_share + slack)]
     row = values.agg(
         F.count("v").alias("n"),
         F.min("v").alias("lowest"),
         F.max("v").alias("highest"),
-        F.percentile_approx("v", points, accuracy).alias("q"),
+        F.percentile_approx("v", points, SKETCH_ACCURACY).alias("q"),
     ).first()
     if not row["n"]:
         return 0, 0.0, 0.0, 0.0, 0.0
@@ -142,7 +143,7 @@ def classify_p95(
     than a long plan. `approx=True` uses one sketch pass instead.
     """
     if approx:
-        cut = df.agg(F.percentile_approx(distance, share, 10_000)).scalar()
+        cut = df.agg(F.percentile_approx(distance, share, SKETCH_ACCURACY)).scalar()
     else:
         cut = F.lit(exact_quantile(df, distance, share)).cast("double")
     odd = is_true(F.col(flag)) | is_true(F.col(distance) > cut)

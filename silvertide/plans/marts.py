@@ -11,6 +11,7 @@ from silvertide.functions.rules import (
     instant, is_true, money, quality_score, ratio, risk_level, traffic_light,
 )
 from silvertide.operators.history import DELETED, END_OF_TIME
+from silvertide.operators.joins import small_side
 from silvertide.operators.latest import latest_per_key
 
 from .staging import OPEN_STATES
@@ -59,14 +60,14 @@ def active_clients(dim: DataFrame) -> DataFrame:
 def build_fact_transactions(txn: DataFrame, dim: DataFrame, as_of: datetime | str) -> DataFrame:
     """Transactions of active clients, newest load of each transaction.
 
-    The join strategy is left to Spark: it broadcasts the clients when their size
-    allows, else sorts and merges and splits the partitions of hot clients. The
-    client filter comes before the choice of the newest version, as published.
+    The clients are broadcast when they are small; otherwise both sides are
+    shuffled and the partitions of hot clients are split. The client filter comes
+    before the choice of the newest version, as published.
     """
     clients = active_clients(dim).select(
         "id_cliente", "rut_pseudo", "categoria_riesgo", "score_crediticio", "arcop_estado", "arcop_oposicion_activa"
     )
-    joined = txn.join(clients, "id_cliente", "inner").select(
+    joined = txn.join(small_side(clients), "id_cliente", "inner").select(
         "id_transaccion", "id_cliente", "num_cuenta_fpe", "num_tarjeta_mask",
         "monto_clp", "tipo_transaccion", "canal", "categoria_gasto", "region", "descripcion", "estado",
         "fecha", "fecha_hora", "hora", "dia_semana", "nombre_dia",
@@ -76,11 +77,12 @@ def build_fact_transactions(txn: DataFrame, dim: DataFrame, as_of: datetime | st
         "rut_pseudo", "categoria_riesgo", "score_crediticio", "arcop_estado", "arcop_oposicion_activa",
         "fecha_deidentify", "fecha_staging", instant(as_of).alias("fecha_gold"),
     )
-    # Load times are text with a zone offset: compare instants, not strings.
-    newest = [F.col("fecha_deidentify").cast("timestamp").desc()]
-    # Everything else in a row follows from its transaction columns.
-    ties = [c for c in joined.columns if c in txn.columns and c != "id_transaccion"]
-    return latest_per_key(joined, ["id_transaccion"], newest, ties)
+    # Load times are text with a zone offset: compare instants, not strings. Equal
+    # load times are ordered by a hash of the transaction's columns, which hold all
+    # that differs between versions, so only one number travels with the sort.
+    told_apart = [c for c in joined.columns if c in txn.columns and c != "id_transaccion"]
+    newest = [F.col("fecha_deidentify").cast("timestamp").desc(), F.xxhash64(*told_apart)]
+    return latest_per_key(joined, ["id_transaccion"], newest, ties=[])
 
 
 def build_fact_requests(req: DataFrame, dim: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -92,7 +94,7 @@ def build_fact_requests(req: DataFrame, dim: DataFrame, as_of: datetime | str) -
         .when(F.col("flag_proxima_vencer"), "MEDIA")
         .otherwise("NORMAL")
     )
-    return req.join(clients, "id_cliente", "left").select(
+    return req.join(small_side(clients), "id_cliente", "left").select(
         "id_solicitud", "id_cliente", "tipo_derecho", "descripcion_tipo", "canal", "responsable",
         "fecha_solicitud", "fecha_limite", "fecha_resolucion",
         "dias_habiles_max", "dias_resolucion_estimados", "vence_en_dias", "dias_transcurridos",

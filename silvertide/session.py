@@ -14,12 +14,24 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes, so a wide projection fused
+    # into one generated method would be interpreted; beyond that size Spark splits it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Stream state on disk instead of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# On one machine small shuffles should still use every core.
+LOCAL_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings this library relies on to a session made elsewhere."""
-    for key, value in RUNTIME_CONF.items():
+    wanted = dict(RUNTIME_CONF)
+    if spark.sparkContext.master.startswith("local"):
+        wanted.update(LOCAL_CONF)
+    for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -34,6 +46,8 @@ def local_session(app: str = "silvertide", cores: str = "*", memory: str = "12g"
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the call site of every column expression makes planning slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

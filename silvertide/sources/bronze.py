@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,14 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType, keep_corru
     return _reader(spark, with_corrupt(schema) if keep_corrupt else schema).json(path)
 
 
+def hour_paths(root: str, first_day: date | str, last_day: date | str, hours: Sequence[int]) -> str:
+    """Path pattern of some hours of some days; an hour may be written 8 or 08."""
+    first, last = (date.fromisoformat(str(d)) for d in (first_day, last_day))
+    days = [str(first + timedelta(days=i)) for i in range((last - first).days + 1)]
+    names = sorted({form for h in hours for form in (str(int(h)), f"{int(h):02d}")})
+    return f"{root}/fecha={{{','.join(days)}}}/hora={{{','.join(names)}}}"
+
+
 def read_bronze_hours(
     spark: SparkSession,
     root: str,
@@ -33,10 +41,16 @@ def read_bronze_hours(
     last_day: date | str,
     hours: Sequence[int],
 ) -> DataFrame:
-    """Some hours of some days; the partition filter reads only those folders."""
-    whole = _reader(spark, with_hour_partitions(schema)).json(root)
-    first, last = (F.lit(str(d)).cast("date") for d in (first_day, last_day))
-    return whole.where(F.col("fecha").between(first, last) & F.col("hora").isin(*map(int, hours)))
+    """Some hours of some days; only their folders are listed and read.
+
+    Hours that have not arrived are skipped with a warning.
+    """
+    paths = hour_paths(root, first_day, last_day, hours)
+    typed = with_hour_partitions(schema)
+    if not path_exists(spark, paths):
+        print(f"no input at {paths}")
+        return spark.createDataFrame([], typed)
+    return _reader(spark, typed).option("basePath", root).json(paths)
 
 
 def read_bronze_hour(spark: SparkSession, root: str, schema: T.StructType, day: date | str, hour: int) -> DataFrame:
@@ -44,9 +58,10 @@ def read_bronze_hour(spark: SparkSession, root: str, schema: T.StructType, day:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    """Whether a path, or anything that matches a path pattern, exists."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.globStatus(target))
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
