@@ -587,6 +587,9 @@ SELECTS: dict[str, str] = {
     "pii_hotword": """SELECT tabla, campo, likelihood, count(*) AS hallazgos FROM hits
         WHERE info_type = 'CHILE_RUT' GROUP BY ALL""",
     "pii_min_likelihood": "SELECT tabla, info_type, likelihood, count(*) AS hallazgos FROM allhits GROUP BY ALL",
+    "pii_sample": """SELECT * FROM hits WHERE tabla = 'clientes_maestro'
+        AND id IN (SELECT id_cliente FROM cli ORDER BY id_cliente LIMIT 100)
+        ORDER BY id, campo, info_type, ocurrencia LIMIT 1000""",
     "pii_by_field": "SELECT tabla, campo, info_type, count(*) AS hallazgos FROM hits GROUP BY ALL",
     "pii_alerts": f"SELECT * REPLACE (left(muestra, 50) AS muestra) FROM hits WHERE {_ODD}",
     "pii_field_class": f"""SELECT tabla, campo, info_type, count(*) AS hallazgos, if({_ODD}, 'INESPERADO', 'esperado') AS clase
@@ -742,6 +745,9 @@ SELECTS: dict[str, str] = {
         WHERE inicio + INTERVAL 1 HOUR <= ultimo - INTERVAL 1 HOUR GROUP BY inicio, region""",
 }
 
+# The report written as JSON and read back holds the same.
+SELECTS["report_json"] = SELECTS["pii_report"]
+
 
 def all_statements() -> dict[str, str]:
     return {name: statement(select) for name, select in SELECTS.items()}

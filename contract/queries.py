@@ -117,15 +117,6 @@ def backfill_hours(t: Layers) -> DataFrame:
     )
 
 
-@query("report_json")
-def report_json(t: Layers) -> DataFrame:
-    path = t.scratch("inspect_report")
-    tables.write_report(_report(t), path)
-    return t.spark.read.json(path).select(
-        "fecha", "hora", "threshold", F.to_json("resultado").alias("resultado"), F.to_json("resumen").alias("resumen")
-    )
-
-
 # --- de-identification ------------------------------------------------------
 
 
@@ -281,23 +272,36 @@ def pii_field_class(t: Layers) -> DataFrame:
     return I.pii_by_field(_findings(t)).withColumn("clase", I.classify_field("campo"))
 
 
-@query("pii_report")
-def pii_report(t: Layers) -> DataFrame:
-    # The nested maps and arrays are flattened to numbers and text for the comparison.
+def _flat(report: DataFrame) -> DataFrame:
+    """The nested maps and lists of a report as numbers and text, for the comparison."""
     r, s = F.col("resultado"), F.col("resumen")
-    by_field = F.transform_values(
-        r.findings_por_campo, lambda _, m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda a, x: a + x)
-    )
-    return _report(t).select(
+
+    def total(counts):
+        return F.aggregate(F.map_values(counts), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    by_field = F.transform_values(r.findings_por_campo, lambda _, kinds: total(kinds))
+    return report.select(
         "fecha", "hora", "threshold", "parte", r.tabla.alias("tabla"), r.registros_muestra.alias("registros_muestra"),
         r.total_findings.alias("total_findings"),
-        F.aggregate(F.map_values(by_field), F.lit(0).cast("long"), lambda a, x: a + x).alias("suma_por_campo"),
+        total(by_field).alias("suma_por_campo"),
         F.coalesce(F.size(r.alertas_pii_inesperado), F.lit(0)).alias("alertas"),
         s.total_findings.alias("resumen_findings"), s.total_alertas.alias("resumen_alertas"),
         s.campos_con_pii.alias("campos_con_pii"), s.campos_con_pii_inesperado.alias("campos_con_pii_inesperado"),
     )
 
 
+@query("pii_report")
+def pii_report(t: Layers) -> DataFrame:
+    return _flat(_report(t))
+
+
+@query("report_json")
+def report_json(t: Layers) -> DataFrame:
+    path, report = t.scratch("inspect_report"), _report(t)
+    tables.write_report(report, path)
+    return _flat(t.spark.read.schema(report.schema).json(path))
+
+
 # --- staging ----------------------------------------------------------------
 
 

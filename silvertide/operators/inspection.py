@@ -11,6 +11,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silvertide.functions import patterns as P
 from silvertide.functions.masking import ColumnLike, as_col
@@ -105,6 +106,17 @@ def _findings(cell: Column, detector: Detector) -> Column:
     return F.when(possible, found).otherwise(empty)
 
 
+def cell_text(df: DataFrame, name: str) -> Column:
+    """A cell as text; fractions in plain digits, not with an exponent, from 1e-4 to 1e16."""
+    col = F.col(name)
+    text = col.cast("string")
+    if not isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return text
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    return F.when((F.abs(col) >= 1e-4) & (F.abs(col) < 1e16), plain).otherwise(text)
+
+
 def scan_pii(
     df: DataFrame,
     id_col: str,
@@ -124,7 +136,7 @@ def scan_pii(
     names = list(fields) if fields is not None else [c for c in df.columns if c != id_col]
     source = df if sample_rows is None else df.orderBy(id_col).limit(sample_rows)
     cells = source.select(
-        F.col(id_col).cast("string").alias("id"), *[F.col(c).cast("string").alias(c) for c in names]
+        F.col(id_col).cast("string").alias("id"), *[cell_text(df, c).alias(c) for c in names]
     ).unpivot("id", names, "campo", "celda")
     arrays = [_findings(F.col("celda"), d) for d in detectors]
     worth = reduce(or_, [d.possible(F.col("celda")) for d in detectors])

@@ -8,7 +8,7 @@ from contract.oracle import all_statements
 from contract.queries import all_queries
 
 QUERIES, STATEMENTS = all_queries(), all_statements()
-ROWS_ONLY = {"report_json", "pii_sample", "ml_train", "ml_evaluate", "ml_centroids", "ml_scored"}
+ROWS_ONLY = {"ml_train", "ml_evaluate", "ml_centroids", "ml_scored"}
 
 
 @pytest.fixture(scope="module")

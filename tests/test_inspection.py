@@ -70,6 +70,15 @@ def test_nulls_and_numbers_are_read_as_text(spark):
     }
 
 
+def test_fractions_are_read_in_plain_digits(spark):
+    values = [41569050.0, 0.0, -12.5, 0.00056912345678, 1e-5, 1.5e16, 123456789.125, None, 7.0]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, d double")
+    got = [r[1] for r in df.select("i", I.cell_text(df, "d")).orderBy("i").collect()]
+    assert got == [
+        "41569050.0", "0.0", "-12.5", "0.00056912345678", "1.0E-5", "1.5E16", "123456789.125", None, "7.0",
+    ]
+
+
 def test_sample_only_on_request(spark):
     texts = [f"u{i}@mail.cl" for i in range(500)]
     assert _scan(spark, texts).count() == 500
