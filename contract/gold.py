@@ -142,8 +142,10 @@ _GOLD = {
     "fact_transacciones_ml": _ml,
 }
 _LAYOUT = {
+    "dim_cliente": ([], ["id_cliente"], ["id_cliente"]),
     "fact_transacciones": (["fecha"], ["canal", "tipo_transaccion"]),
-    "fact_transacciones_ml": (["fecha"], ["canal"]),
+    "fact_transacciones_ml": (["fecha"], ["id_cliente"], ["id_cliente"]),
+    "fact_arcop_solicitudes": ([], ["id_cliente"], ["id_cliente"]),
 }
 
 

@@ -21,7 +21,7 @@ EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 # The formats of the four kinds of personal data.
 RUT = rf"{OPEN}{DIGIT}{{1,2}}\.?{DIGIT}{{3}}\.?{DIGIT}{{3}}-[{DIGIT}kK]{CLOSE}"
 MOBILE = rf"\+?56{SPACE}?9{SPACE}?{DIGIT}{{4}}{SPACE}?{DIGIT}{{4}}"
-EMAIL = rf"{EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z|]{{2,}}{EDGE}"
+EMAIL = rf"{EDGE}[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z|]{{2,}}{EDGE}"
 CARD = (
     rf"{OPEN}{DIGIT}{{4}}(?:{SPACE}|-)?{DIGIT}{{4}}(?:{SPACE}|-)?"
     rf"{DIGIT}{{4}}(?:{SPACE}|-)?{DIGIT}{{4}}{CLOSE}"

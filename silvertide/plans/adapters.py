@@ -22,8 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """At least `width` digits; longer numbers are not cut."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), "0")
+
+
 def client_id(number: Column) -> Column:
-    return F.format_string("C%07d", number + 1)
+    return F.concat(F.lit("C"), zero_padded(number + 1, 7))
 
 
 def account(number: Column) -> Column:
@@ -31,7 +37,7 @@ def account(number: Column) -> Column:
 
 
 def card(number: Column) -> Column:
-    return F.concat(F.lit("4532"), F.format_string("%012d", (number * 15485863) % 1000000000000))
+    return F.concat(F.lit("4532"), zero_padded((number * 15485863) % 1000000000000, 12))
 
 
 def mobile(number: Column) -> Column:
@@ -105,7 +111,7 @@ def transactions(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataF
     e, u = F.col("event_id"), F.col("user_id")
     repeat = F.when(e % 20 == 0, 2).otherwise(1) if copies else F.lit(1)
     values = {
-        "id_transaccion": F.format_string("T%09d", e),
+        "id_transaccion": F.concat(F.lit("T"), zero_padded(e, 9)),
         "id_cliente": client_id(u),
         "num_cuenta": account(u),
         "num_tarjeta_mask": F.right(card(u), F.lit(4)),

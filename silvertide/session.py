@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # When every partition of a lookup side turns out to fit a task, hash it instead
+    # of sorting the large side.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "96m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # The JVM never compiles a method above 8000 bytes, so a wide projection fused
     # into one generated method would be interpreted; beyond that size Spark splits it.

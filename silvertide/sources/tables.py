@@ -61,19 +61,23 @@ def publish_gold(
     path: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    lookup_by: Sequence[str] = (),
     table: str | None = None,
 ) -> DataFrame:
     """Replace a Gold table and return it as read back.
 
     Rows are rebalanced by partition (crowded days are split, small ones merged)
     and sorted by the cluster columns inside each file, so the statistics of the
-    row groups let readers skip.
+    row groups let readers skip. Columns that single values are looked up by get a
+    Bloom filter.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if partition_by or cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
     writer = df.write.mode("overwrite").format("parquet")
+    for column in lookup_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table is None:

@@ -50,7 +50,7 @@ def test_hot_client_is_split_in_the_join(spark, layers, conf):
     ids = [r["id_transaccion"] for r in fact.collect()]
     assert len(ids) == len(set(ids)) == 1000 * copies
     final = plan_of(fact).split("== Initial Plan ==")[0]
-    assert "SortMergeJoin(skew=true)" in final
+    assert "HashJoin(skew=true)" in final or "MergeJoin(skew=true)" in final
 
 
 def test_lookup_side_is_broadcast_only_when_small(spark, conf):
