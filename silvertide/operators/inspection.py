@@ -114,7 +114,7 @@ def cell_text(df: DataFrame, name: str) -> Column:
         return text
     plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    return F.when((F.abs(col) >= 1e-4) & (F.abs(col) < 1e16), plain).otherwise(text)
+    return F.when(text.contains("E") & (F.abs(col) >= 1e-4) & (F.abs(col) < 1e16), plain).otherwise(text)
 
 
 def scan_pii(

@@ -16,6 +16,7 @@ from silvertide.operators.latest import latest_per_key
 
 from .staging import OPEN_STATES
 
+# Fixed value: what stands for null inside a surrogate key.
 _NULL_IN_KEY = "_dbt_utils_surrogate_key_null_"
 CLIENT_FLAGS = (
     "flag_email_invalido", "flag_genero_invalido", "flag_score_fuera_rango",
