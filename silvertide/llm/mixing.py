@@ -122,8 +122,8 @@ def _plan(group: pd.DataFrame) -> pd.DataFrame:
 def mix(rows: DataFrame, seed: int = SEED) -> DataFrame:
     """(doc_id, mark, size, source_size, target, taken) for each row of sized(), which should be stored.
 
-    taken is 0, size or twice size. A null source is a source, the last in order. Rows with equal doc_id, source and
-    size change places freely. Sources without words have target 0. An empty table gives no rows.
+    taken is 0, size or twice size. A null source is a source, the last in order. Rows with equal doc_id, source
+    and text change places freely. Sources without words have target 0. An empty table gives no rows.
     """
     rows = rows.select("doc_id", F.col("source").isNotNull().alias("named"), F.coalesce("source", F.lit("")).alias("source"), "mark", "size")
     lot = F.xxhash64(F.lit(seed), "doc_id", "mark")
@@ -153,12 +153,12 @@ def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 def taken_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows of docs, with all columns, as many times as the mix takes them: never, once or twice."""
-    taken = mix_documents(docs, seed).where("taken > 0")
-    turns = taken.groupBy(F.col("doc_id").alias("taken_id"), F.col("mark").alias("taken_mark")).agg(
-        F.sort_array(F.collect_list((F.col("taken") / F.col("size")).cast("int"))).alias("turns")  # repeated rows only
+    times = F.col("taken") / F.col("size")
+    turns = mix_documents(docs, seed).where("taken > 0").groupBy(F.col("doc_id").alias("taken_id"), F.col("mark").alias("taken_mark")).agg(
+        F.count_if(times == 2).alias("twice"), F.count(F.lit(1)).alias("some")
     )
     own = Window.partitionBy("doc_id", "_mark").orderBy("_mark")
-    placed = docs.withColumn("_mark", row_mark()).withColumn("_place", F.row_number().over(own) - 1)
+    placed = docs.withColumn("_mark", row_mark()).withColumn("_place", F.row_number().over(own))
     joined = placed.join(turns, F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.col("_mark") == F.col("taken_mark")))
-    times = F.coalesce(F.get("turns", F.col("_place")), F.lit(0))
-    return joined.where(times > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), times)).alias("_turn")).drop("_turn")
+    taken = joined.where(F.col("_place") <= F.col("some"))
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.when(F.col("_place") <= F.col("twice"), 2).otherwise(1))).alias("_turn")).drop("_turn")
