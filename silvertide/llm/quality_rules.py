@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from silvertide.llm.shared import materialize
 
 SPACE = "[\\x20\\x09-\\x0D]+"
-#: Rounds of estimation; the likelihood is flat long before.
-ROUNDS = 20
-#: Where estimation starts: share of good documents, and how often a vote is right.
-PRIOR, RIGHT = 0.8, 0.85
+#: Most rounds of estimation, and the change of the share of good documents that ends it.
+ROUNDS, SETTLED = 20, 1e-7
+#: Where estimation starts: the share of good documents, and how probable each vote is of good and of bad ones.
+PRIOR = 0.8
+START = {-1: (0.05, 0.3), 0: (0.5, 0.5), 1: (0.45, 0.2)}
 #: Pseudo-counts that keep a rule's table away from zero.
 SMOOTH = 1.0
 KEEP = 0.5
@@ -90,57 +91,62 @@ def base_failed() -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """Each rule's vote: 1 good, -1 bad, 0 abstains."""
+    """Each rule's vote: 1 good, -1 bad, 0 abstains. Most rules know one kind of fault and say nothing otherwise."""
     share = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    vote = lambda good, bad: F.when(bad, -1).when(good, 1).otherwise(0).cast("int")
     symbols, repeats, capitals, length = share("n_symbols", "n_words"), share("n_repeat_words", "n_words"), share("n_upper", "word_chars"), share("word_chars", "n_words")
-    dups = share("n_dup_lines", "n_lines")
+    bad = lambda fault: F.when(fault, -1).otherwise(0).cast("int")
+    prose = (symbols < 0.05) & (repeats < 0.45) & (capitals < 0.2) & length.between(2.5, 12)
     return {
-        "size": vote(F.col("n_words") >= 100, F.col("n_words") < 50),
-        "symbols": vote(symbols < 0.05, symbols > 0.15),
-        "repeats": vote(repeats < 0.1, repeats > 0.3),
-        "lines": vote((dups == 0) & (F.col("n_lines") > 1), dups > 0.25),
-        "capitals": vote(capitals < 0.1, capitals > 0.3),
-        "word_length": vote((length >= 3) & (length <= 8), (length < 2.5) | (length > 12)),
+        "symbols": bad(symbols > 0.1),
+        "repeats": bad(repeats > 0.45),
+        "lines": bad(share("n_dup_lines", "n_lines") > 0.3),
+        "capitals": bad(capitals > 0.3),
+        "word_length": bad((length < 2.5) | (length > 12)),
+        "size": F.when(F.col("n_words") < 20, -1).when(F.col("n_words") >= 100, 1).otherwise(0).cast("int"),
+        "prose": F.when(prose, 1).otherwise(0).cast("int"),
     }
 
 
-def estimated(patterns: DataFrame, rules: list[str], rounds: int = ROUNDS) -> tuple[float, dict[str, dict[int, tuple[float, float]]]]:
+Table = dict[str, dict[int, tuple[float, float]]]
+
+
+def estimated(patterns: DataFrame, rules: list[str], rounds: int = ROUNDS) -> tuple[float, Table]:
     """Share of good documents, and for each rule and vote how probable it is of good and of bad ones.
 
-    patterns: one row per vote pattern with its count n. Each round is one aggregate that gives a single row.
+    patterns: one row per vote pattern with its count n. Each round is one aggregate with three rows per rule at most.
     """
-    prior = PRIOR
-    table = {r: {1: (RIGHT, 1 - RIGHT), -1: (1 - RIGHT, RIGHT), 0: (0.5, 0.5)} for r in rules}
-    values = (1, -1, 0)
+    prior, table = PRIOR, {r: START for r in rules}
+    given = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(r).alias("vote")) for k, r in enumerate(rules)])).alias("given")
     for _ in range(rounds):
-        weighed = patterns.withColumn("good", F.col("n") * posterior(prior, table))
-        sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
-        for r in rules:
-            for v in values:
-                sums += [F.sum(F.when(F.col(r) == v, F.col(c)).otherwise(0)).alias(f"{r}_{v}_{c}") for c in ("n", "good")]
-        now = weighed.agg(*sums).first()
-        if not now["n"]:
+        weighed = patterns.withColumn("good", F.col("n") * posterior(prior, table)).select("n", "good", given)
+        sums = weighed.groupBy("given").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect()
+        now = {(rules[r.given.rule], r.given.vote): (r.n, r.good) for r in sums}  # three rows per rule at most
+        total = sum(n for (rule, _), (n, _) in now.items() if rule == rules[0])
+        if not total:
+            break
+        good = sum(g for (rule, _), (_, g) in now.items() if rule == rules[0])
+        before, prior = prior, (good + SMOOTH) / (total + 2 * SMOOTH)
+
+        def rate(rule: str, vote: int, now=now, good=good, bad=total - good) -> tuple[float, float]:
+            n, own = now.get((rule, vote), (0, 0.0))
+            return (own + SMOOTH) / (good + len(START) * SMOOTH), (n - own + SMOOTH) / (bad + len(START) * SMOOTH)
+
+        table = {r: {v: rate(r, v) for v in START} for r in rules}
+        if abs(prior - before) < SETTLED:
             break
-        good, bad = now["good"], now["n"] - now["good"]
-        prior = (good + SMOOTH) / (good + bad + 2 * SMOOTH)
-        table = {
-            r: {
-                v: ((now[f"{r}_{v}_good"] + SMOOTH) / (good + 3 * SMOOTH), (now[f"{r}_{v}_n"] - now[f"{r}_{v}_good"] + SMOOTH) / (bad + 3 * SMOOTH))
-                for v in values
-            }
-            for r in rules
-        }
     return prior, table
 
 
-def posterior(prior: float, table: dict[str, dict[int, tuple[float, float]]]) -> Column:
-    """Probability that a document with these votes is good. An abstention says nothing by itself."""
-    odds = F.lit(math.log(prior / (1 - prior)))
-    for rule, rows in table.items():
-        good, bad = (rows[1][s] + rows[-1][s] for s in (0, 1))  # among the votes given
-        said = {v: math.log(rows[v][0] / good) - math.log(rows[v][1] / bad) for v in (1, -1)}
-        odds = odds + F.when(F.col(rule) == 1, said[1]).when(F.col(rule) == -1, said[-1]).otherwise(0.0)
+def posterior(prior: float, table: Table) -> Column:
+    """Probability that a document with these votes is good; an abstention tells what it tells of both classes.
+
+    The log-odds of all votes are one array, which keeps the compiled code the same from round to round.
+    """
+    said = [math.log(rows[v][0] / rows[v][1]) for rows in table.values() for v in sorted(rows)]
+    values = F.array(*[F.lit(x) for x in (math.log(prior / (1 - prior)), *said)])
+    odds = F.get(values, F.lit(0))
+    for k, rule in enumerate(table):
+        odds = odds + F.get(values, F.col(rule) + (3 * k + 2))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
