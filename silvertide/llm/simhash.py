@@ -164,7 +164,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) between different fingerprints, enough to join all that lie within four bits of each other.
 
-    prints: distinct (fp). No pair within four bits is left unconnected; pairs beyond it are never linked.
+    prints: distinct (fp). No pair within four bits is left unconnected. A link of a large group leads to the first of
+    those that the group connects, so it may join two that only a path of near ones connects.
     """
     keyed = prints.select(F.explode(_keys(F.col("fp"))).alias("key"), "fp")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and the beginnings of words, lower-cased, as 64-bit hashes. The vocabulary is what tells the classes of
+Terms are words, the beginnings of words and repeated beginnings, lower-cased, as 64-bit hashes. The vocabulary is what tells the classes of
 the labelled sample apart most, by chi-squared; document frequencies are counted over all documents. The index holds for
 each term its examples in blocks with the largest weight of each block. A search sums these maxima to a bound for every
 block, scores the best blocks exactly, and then only those blocks whose bound reaches the k-th similarity so far, so the
@@ -28,58 +28,91 @@ CLEAN_EXAMPLES, TOXIC_EXAMPLES = 4000, 2000
 TERMS = 1500
 #: A term must occur in so many examples.
 LEAST_EXAMPLES = 3
+#: Chi-squared that a term must reach.
+LEAST_CHI = 3.84
 NEIGHBOURS = 20
 BLOCK = 64
 #: Blocks scored before any bound is compared.
 FIRST_BLOCKS = 4
-PREFIX = 4
+#: Lengths of beginnings in bytes, and how often one of the first length must occur for the terms that say so.
+PREFIXES, REPEATS = (4, 5), (2, 3)
 EVIDENCE = 3
 
 
-def term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, term and count of every different term of every row, in order of rows."""
-    words = Words(data, offsets)
-    if not len(words.hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    begin = np.zeros(len(words.starts), np.uint64)
-    for j in range(PREFIX):
-        begin = begin * np.uint64(256) + words.data[np.minimum(words.starts + j, len(words.data) - 1)].astype(np.uint64)
-    longer = words.stops - words.starts > PREFIX
-    rows = np.concatenate([words.row, words.row[longer]])
-    terms = np.concatenate([words.hashes, _mix(begin[longer] + np.uint64(1 << 40))])
-    return _counted(rows, terms)
+def _beginnings(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words with more than so many bytes, and the hashes of what they begin with."""
+    longer = np.flatnonzero(words.stops - words.starts > size)
+    begin = np.zeros(len(longer), np.uint64)
+    for j in range(size):
+        begin = begin * np.uint64(256) + words.data[words.starts[longer] + j].astype(np.uint64)
+    return longer, _mix(begin + np.uint64(size << 40))
+
+
+def _repeated(terms: np.ndarray, times: int) -> np.ndarray:
+    """The terms that say that a beginning occurs at least so often in a text."""
+    return _mix(terms + np.uint64(times))
 
 
 def _counted(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs of row and term in order, and how often each occurs."""
     order = np.lexsort((terms, rows))
     rows, terms = rows[order], terms[order]
     first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (terms[1:] != terms[:-1])])) if len(rows) else np.zeros(0, np.int64)
     return rows[first], terms[first], np.diff(np.append(first, len(rows)))
 
 
+def term_counts(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and count of every different term of every row, in order of rows.
+
+    Terms are words, beginnings of words, and beginnings that occur repeatedly. wanted: a table of the low bits of the
+    hashes that matter; others are left out early, beginnings that repeat among them.
+    """
+    words = Words(data, offsets)
+    low = np.uint64((1 << 20) - 1)
+    kept = lambda terms: np.arange(len(terms)) if wanted is None else np.flatnonzero(wanted[terms & low])
+    near = kept(words.hashes)
+    parts = [_counted(words.row[near], words.hashes[near])]
+    for size in PREFIXES:
+        longer, terms = _beginnings(words, size)
+        near = kept(terms)
+        parts.append(_counted(words.row[longer[near]], terms[near]))
+    rows, terms, counts = parts[1]
+    for times in REPEATS:
+        often = counts >= times
+        parts.append((rows[often], _repeated(terms[often], times), np.ones(int(often.sum()), np.int64)))
+    rows, terms, counts = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    order = np.lexsort((terms, rows))
+    return rows[order], terms[order], counts[order]
+
+
 class Vocabulary:
-    """Chosen terms, sorted, with a table that rules out most others at once."""
+    """Chosen terms, sorted, with a table that rules out most others at once.
+
+    beginnings: the hashes of all beginnings whose repetition may be a chosen term.
+    """
 
-    def __init__(self, terms: np.ndarray):
+    def __init__(self, terms: np.ndarray, beginnings: np.ndarray):
         self.terms = np.sort(terms.astype(np.uint64))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[self.terms & np.uint64((1 << 20) - 1)] = True
+        for times in REPEATS:
+            counted = beginnings[np.isin(_repeated(beginnings, times), self.terms)]
+            self.seen[counted & np.uint64((1 << 20) - 1)] = True
+
+    def places(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which terms are chosen ones, and their places."""
+        if not len(self.terms):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        place = np.searchsorted(self.terms, terms)
+        place[place == len(self.terms)] = 0
+        known = np.flatnonzero(self.terms[place] == terms)
+        return known, place[known].astype(np.int64)
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, place of the term and count for the terms of the vocabulary."""
-        words = Words(data, offsets)
-        begin = np.zeros(len(words.starts), np.uint64)
-        for j in range(PREFIX if len(words.starts) else 0):
-            begin = begin * np.uint64(256) + words.data[np.minimum(words.starts + j, len(words.data) - 1)].astype(np.uint64)
-        longer = words.stops - words.starts > PREFIX
-        rows, terms = words.row, words.hashes
-        near, prefix = self.seen[terms & np.uint64((1 << 20) - 1)], _mix(begin + np.uint64(1 << 40))
-        also = longer & self.seen[prefix & np.uint64((1 << 20) - 1)]
-        rows, terms = np.concatenate([rows[near], rows[also]]), np.concatenate([terms[near], prefix[also]])
-        place = np.searchsorted(self.terms, terms)
-        place[place == len(self.terms)] = 0
-        known = self.terms[place] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        return _counted(rows[known], place[known].astype(np.int64))
+        rows, terms, counts = term_counts(data, offsets, self.seen)
+        known, place = self.places(terms)
+        return rows[known], place, counts[known]
 
 
 class BlockMaxIndex:
@@ -194,7 +227,7 @@ def choose_terms(rows: np.ndarray, terms: np.ndarray, label: np.ndarray, most: i
         chi = (toxic * (n - clean) - clean * (p - toxic)) ** 2 * (p + n) / ((toxic + clean) * (p + n - toxic - clean) * p * n)
     chi = np.where((toxic + clean >= LEAST_EXAMPLES) & np.isfinite(chi), chi, 0)
     best = np.lexsort((names, -chi))[:most]
-    return names[best[chi[best] > 0]]
+    return names[best[chi[best] >= LEAST_CHI]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, negatives: int = CLEAN_EXAMPLES, positives: int = TOXIC_EXAMPLES) -> Model:
@@ -216,7 +249,8 @@ def fit(docs: DataFrame, labels: DataFrame, negatives: int = CLEAN_EXAMPLES, pos
     rows = np.repeat(np.arange(len(label)), size)
     flat = [found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("terms", "counts")]
     terms, counts = flat[0].astype(np.int64).view(np.uint64), flat[1].astype(np.int64)
-    vocabulary = Vocabulary(choose_terms(rows, terms, label) if len(terms) else np.zeros(0, np.uint64))
+    chosen = choose_terms(rows, terms, label) if len(terms) else np.zeros(0, np.uint64)
+    vocabulary = Vocabulary(chosen, np.unique(terms))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, n = np.zeros(len(vocabulary.terms), np.int64), 0
@@ -234,10 +268,8 @@ def fit(docs: DataFrame, labels: DataFrame, negatives: int = CLEAN_EXAMPLES, pos
         else:
             df[r.term] = r.n
     idf = np.log((1 + n_docs) / (1 + df))
-    place = np.searchsorted(vocabulary.terms, terms)
-    place[place == len(vocabulary.terms)] = 0
-    known = vocabulary.terms[place] == terms if len(vocabulary.terms) else np.zeros(len(terms), bool)
-    rows, place, counts = rows[known], place[known].astype(np.int64), counts[known]
+    known, place = vocabulary.places(terms)
+    rows, counts = rows[known], counts[known]
     in_sample = {1: max(int(label.sum()), 1), 0: max(int((1 - label).sum()), 1)}
     votes = np.where(label == 1, sample.rate / in_sample[1], (1 - sample.rate) / in_sample[0]) * max(len(label), 1)
     model = Model(vocabulary, idf, None, label, found.column("doc_id").to_pylist(), votes, sample.rate, Platt(1.0, 0.0))
