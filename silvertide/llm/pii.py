@@ -45,6 +45,8 @@ SPELLED = {
     "sept": "7", "huit": "8", "neuf": "9", "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5",
     "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
+# Ends of host names that a written-out dot may lead to; prose has the word before other words too.
+ENDINGS = "com net org edu gov mil int info biz io dev app ai co me eu de fr es it nl at ch uk us ca br mx ar cl pt pl se".split()
 #: Unicode has no compatibility form of a single ASCII character from here on.
 MOST_CODE = 0x20000
 #: Words that must follow one another before they are read as digits; prose has single ones.
@@ -55,10 +57,12 @@ _TOKEN = rf"(?:{_SPELLED_WORD}\b|[0-9]+)"
 _OPEN, _CLOSE = r"\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
 _AT, _DOT = "(?:at|arroba|@)", "(?:dot|punto|punkt|point|\\.)"
 _BARE_DOT = r"\s+(?:dot|punto|punkt)\s+"
+#: Labels up to an ending, or a number, come after a written-out dot.
+_LEADS_ON = rf"(?=(?:[A-Za-z0-9-]+(?:{_BARE_DOT}|{_OPEN}{_DOT}{_CLOSE}|\.))*(?:{'|'.join(ENDINGS)}|[0-9]+)\b)"
 #: One step of the transducer, longest forms first. Sources of a rewritten piece are whole matches.
 _REWRITE = re.compile(
-    rf"(?P<at>{_OPEN}{_AT}{_CLOSE}|(?<=[A-Za-z0-9])(?:\s+(?:at|arroba)\s+(?=[A-Za-z0-9.-]+(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}))|\s+@\s*|\s*@\s+)(?=[A-Za-z0-9]))"
-    rf"|(?P<dot>{_OPEN}{_DOT}{_CLOSE}|(?<=[A-Za-z0-9]){_BARE_DOT}(?=[A-Za-z0-9]))"
+    rf"(?P<at>{_OPEN}{_AT}{_CLOSE}|(?<=[A-Za-z0-9])(?:\s+(?:at|arroba)\s+(?=[A-Za-z0-9.-]+(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}{_LEADS_ON}))|\s+@\s*|\s*@\s+)(?=[A-Za-z0-9]))"
+    rf"|(?P<dot>{_OPEN}{_DOT}{_CLOSE}|(?<=[A-Za-z0-9]){_BARE_DOT}{_LEADS_ON})"
     rf"|(?P<plus>\bplus\s+(?={_TOKEN}))"
     rf"|(?P<run>\b{_TOKEN}(?:[ ,.-]{{1,2}}{_TOKEN})+)",
     re.IGNORECASE,
