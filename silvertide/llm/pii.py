@@ -57,8 +57,8 @@ _TOKEN = rf"(?:{_SPELLED_WORD}\b|[0-9]+)"
 _OPEN, _CLOSE = r"\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
 _AT, _DOT = "(?:at|arroba|@)", "(?:dot|punto|punkt|point|\\.)"
 _BARE_DOT = r"\s+(?:dot|punto|punkt)\s+"
-#: Labels up to an ending, or a number, come after a written-out dot.
-_LEADS_ON = rf"(?=(?:[A-Za-z0-9-]+(?:{_BARE_DOT}|{_OPEN}{_DOT}{_CLOSE}|\.))*(?:{'|'.join(ENDINGS)}|[0-9]+)\b)"
+#: Up to five labels and an ending, or a number, come after a written-out dot.
+_LEADS_ON = rf"(?=(?:[A-Za-z0-9-]+(?:{_BARE_DOT}|{_OPEN}{_DOT}{_CLOSE}|\.)){{0,5}}(?:{'|'.join(ENDINGS)}|[0-9]+)\b)"
 #: One step of the transducer, longest forms first. Sources of a rewritten piece are whole matches.
 _REWRITE = re.compile(
     rf"(?P<at>{_OPEN}{_AT}{_CLOSE}|(?<=[A-Za-z0-9])(?:\s+(?:at|arroba)\s+(?=[A-Za-z0-9.-]+(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}{_LEADS_ON}))|\s+@\s*|\s*@\s+)(?=[A-Za-z0-9]))"
