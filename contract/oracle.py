@@ -364,6 +364,19 @@ SELECT id_transaccion, id_cliente, monto_clp, hora, dia_semana, canal, region, f
        flag_uaf_threshold, nivel_riesgo_anomalia, categoria_riesgo, arcop_estado, fecha_gold
 FROM dist"""
 
+STEPS["centres"] = """
+SELECT * FROM (VALUES (1, -0.5, -1.0, 0.0, -0.5), (2, -0.5, 1.0, 0.5, 0.0), (3, 0.5, 0.0, -1.0, 0.5), (4, 1.5, 0.5, 1.0, 1.0),
+                      (5, 3.0, 0.0, 0.0, 4.0)) v(c, a, b, e, f)"""
+
+STEPS["fixed"] = """
+SELECT * EXCLUDE (rn, c), CAST(c AS INTEGER) AS cluster_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY id_transaccion ORDER BY d, c) AS rn FROM (
+        SELECT dist.* EXCLUDE (cluster_id), c,
+               sqrt(((monto_clp - 900000.0::DOUBLE) / 800000.0::DOUBLE - a::DOUBLE) ** 2 + ((hora - 12.0::DOUBLE) / 6.5::DOUBLE - b::DOUBLE) ** 2
+                    + ((dia_semana - 4.0::DOUBLE) / 2.0::DOUBLE - e::DOUBLE) ** 2
+                    + ((coalesce(score_anomalia, 0.25::DOUBLE) - 0.25::DOUBLE) / 0.125::DOUBLE - f::DOUBLE) ** 2) AS d
+        FROM dist, centres)) WHERE rn = 1"""
+
 STEPS["period"] = "SELECT * FROM ml WHERE fecha >= DATE '2024-01-03' AND fecha <= DATE '2024-01-25'"
 
 STEPS["qcli"] = f"""
@@ -563,9 +576,9 @@ SELECTS: dict[str, str] = {
     "ctas_replace": f"SELECT {_ML} FROM ml",
     "staging_view": """SELECT canal, genero, count(*) AS n, count(*) FILTER (t.es_registro_valido) AS validas
         FROM g_txn t JOIN g_cli c USING (id_cliente) GROUP BY canal, genero""",
-    "backfill_hours": f"""SELECT id_transaccion, {_token('num_cuenta')} AS num_cuenta_fpe, {_redact('descripcion')} AS descripcion,
-        {_iso(f'CAST({CLIENTS_DAY} AS TIMESTAMP)')} AS fecha_deidentify, CAST(CAST({_CAST_TS} AS DATE) AS VARCHAR) AS fecha,
-        CAST(hour({_CAST_TS}) AS INTEGER) AS hora FROM txn1 WHERE hour({_CAST_TS}) BETWEEN 8 AND 19""",
+    "backfill_hours": f"""SELECT id_transaccion, monto_clp, {_day('fecha')} AS fecha, nivel_riesgo_anomalia, es_registro_valido,
+        coalesce(es_registro_valido AND NOT es_duplicado AND monto_clp >= 0, false) AS clasificada
+        FROM fact WHERE hour(fecha_hora) BETWEEN 8 AND 19""",
     "pseudonymize": f"SELECT id_cliente, rut, left(sha256('{SALT}:' || rut), 16) AS rut_pseudo FROM cli",
     "mask_middle": f"""SELECT id_cliente, {_mask_middle('num_tarjeta', '*', 4, 4)} AS tarjeta,
         {_mask_middle('region', '#', 1, 0)} AS region, {_mask_middle('genero', '*', 1, 0)} AS genero FROM cli""",
@@ -587,9 +600,7 @@ SELECTS: dict[str, str] = {
     "pii_hotword": """SELECT tabla, campo, likelihood, count(*) AS hallazgos FROM hits
         WHERE info_type = 'CHILE_RUT' GROUP BY ALL""",
     "pii_min_likelihood": "SELECT tabla, info_type, likelihood, count(*) AS hallazgos FROM allhits GROUP BY ALL",
-    "pii_sample": """SELECT * FROM hits WHERE tabla = 'clientes_maestro'
-        AND id IN (SELECT id_cliente FROM cli ORDER BY id_cliente LIMIT 100)
-        ORDER BY id, campo, info_type, ocurrencia LIMIT 1000""",
+    "pii_sample": "SELECT * FROM hits WHERE tabla = 'clientes_maestro'",
     "pii_by_field": "SELECT tabla, campo, info_type, count(*) AS hallazgos FROM hits GROUP BY ALL",
     "pii_alerts": f"SELECT * REPLACE (left(muestra, 50) AS muestra) FROM hits WHERE {_ODD}",
     "pii_field_class": f"""SELECT tabla, campo, info_type, count(*) AS hallazgos, if({_ODD}, 'INESPERADO', 'esperado') AS clase
@@ -737,12 +748,26 @@ SELECTS: dict[str, str] = {
     "training_count": "SELECT count(*) AS total FROM dist WHERE arcop_estado <> 'ELIMINADO'",
     "stream_silver": f"SELECT {_S_TXN}, {_iso(f'CAST({CLIENTS_DAY} AS TIMESTAMP)')} AS fecha_deidentify FROM txn1",
     "stream_dedupe": f"""SELECT DISTINCT id_transaccion, id_cliente, monto_clp, {_stamp(_CAST_TS)} AS fecha_hora FROM txn""",
-    # The windows that the end of the stream leaves open are not part of the result.
     "stream_alerts": f"""SELECT {_stamp('inicio')} AS desde, region, count(*) AS total_alertas,
         CAST(sum({_money('monto_clp')}) AS DOUBLE) AS monto_total_alertado, max(monto_clp) AS monto_maximo
-        FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, {_CAST_TS}) AS inicio, max({_CAST_TS}) OVER () AS ultimo
-              FROM txn1 WHERE score_anomalia >= 0.5)
-        WHERE inicio + INTERVAL 1 HOUR <= ultimo - INTERVAL 1 HOUR GROUP BY inicio, region""",
+        FROM (SELECT *, date_trunc('hour', {_CAST_TS}) AS inicio FROM txn1 WHERE score_anomalia >= 0.5) GROUP BY inicio, region""",
+    "ml_train": """SELECT CAST(5 AS BIGINT) AS grupos, CAST(1 AS INTEGER) AS primero, CAST(5 AS INTEGER) AS ultimo, count(*) AS filas,
+        true AS mejor_que_uno FROM dist WHERE arcop_estado <> 'ELIMINADO'""",
+    "ml_scored": """SELECT id_transaccion, cluster_id, round(d, 9) AS distancia_centroide,
+        round(d / nullif(max(d) OVER (), 0), 4) AS score_ml,
+        if(es_anomalia_flag OR d > quantile_cont(d, 0.95) OVER (), 'ANOMALA', 'NORMAL') AS clasificacion_ml FROM fixed""",
+    "ml_centroids": """SELECT centroid_id, feature, numerical_value, filas FROM (
+            SELECT c AS centroid_id, unnest(['monto_clp', 'hora', 'dia_semana', 'score_anomalia']) AS feature,
+                   unnest([a * 800000.0 + 900000.0, b * 6.5 + 12.0, e * 2.0 + 4.0, f * 0.125 + 0.25])::DOUBLE AS numerical_value FROM centres)
+        LEFT JOIN (SELECT cluster_id AS centroid_id, count(*) AS filas FROM fixed WHERE arcop_estado <> 'ELIMINADO' GROUP BY cluster_id)
+        USING (centroid_id)""",
+    "ml_evaluate": """WITH own AS (SELECT cluster_id, count(*) AS n, avg(d) AS s, sum(d * d) AS sq FROM fixed
+            WHERE arcop_estado <> 'ELIMINADO' GROUP BY cluster_id)
+        SELECT round(avg(worst), 6) AS davies_bouldin_index, (SELECT round(sum(sq) / sum(n), 6) FROM own) AS mean_squared_distance,
+               (SELECT CAST(sum(n) AS BIGINT) FROM own) AS filas
+        FROM (SELECT x.cluster_id, max((x.s + y.s) / sqrt((p.a - q.a) ** 2 + (p.b - q.b) ** 2 + (p.e - q.e) ** 2 + (p.f - q.f) ** 2)) AS worst
+              FROM own x JOIN own y ON x.cluster_id <> y.cluster_id JOIN centres p ON p.c = x.cluster_id
+              JOIN centres q ON q.c = y.cluster_id GROUP BY x.cluster_id)""",
 }
 
 # The report written as JSON and read back holds the same.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,13 +108,17 @@ def staging_view(t: Layers) -> DataFrame:
 
 @query("backfill_hours")
 def backfill_hours(t: Layers) -> DataFrame:
-    source, sink = _bronze_hours(t), t.scratch("silver_transacciones")
-    span = C.date_span(t.raw("events"), "ts")
-    for as_of in (A.TRANSACTIONS_AS_OF, A.CLIENTS_AS_OF):
-        tables.backfill(t.spark, source, sink, *span, range(8, 20), as_of, TEST_KEYS)
-    return t.spark.read.parquet(sink).select(
-        "id_transaccion", "num_cuenta_fpe", "descripcion", "fecha_deidentify", "fecha",
-        F.col("hora").cast("int").alias("hora"),
+    """Silver hours are loaded, loaded again later, and Gold and the model are rebuilt: the rebuilt facts."""
+    source, silver = _bronze_hours(t), t.scratch("silver")
+    tables.load_clients(t.clients, f"{silver}/clientes", A.CLIENTS_AS_OF, TEST_KEYS)
+    tables.load_requests(t.requests, f"{silver}/solicitudes", A.REQUESTS_AS_OF[:10])
+    span = t.raw("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    tables.load_hours(t.spark, source, f"{silver}/transacciones", *span, range(8, 20), A.TRANSACTIONS_AS_OF, TEST_KEYS)
+    gold = tables.backfill(t.spark, source, silver, t.scratch("gold"), *span, range(8, 20), A.TRANSACTIONS_AS_OF, TEST_KEYS)
+    scored = gold["fact_transacciones_ml"].select("id_transaccion", F.col("cluster_id").isNotNull().alias("clasificada"))
+    return gold["fact_transacciones"].join(scored, "id_transaccion", "left").select(
+        "id_transaccion", "monto_clp", F.col("fecha").cast("string").alias("fecha"), "nivel_riesgo_anomalia", "es_registro_valido",
+        F.coalesce("clasificada", F.lit(False)).alias("clasificada"),
     )
 
 
@@ -252,9 +257,7 @@ def pii_min_likelihood(t: Layers) -> DataFrame:
 
 @query("pii_sample")
 def pii_sample(t: Layers) -> DataFrame:
-    return I.scan_pii(
-        t.clients, "id_cliente", table="clientes_maestro", sample_rows=100, max_findings=1000
-    )
+    return I.scan_pii(t.clients, "id_cliente", table="clientes_maestro")
 
 
 @query("pii_by_field")
@@ -477,7 +480,7 @@ def latest_line(t: Layers) -> DataFrame:
 
 @query("score_normalize")
 def score_normalize(t: Layers) -> DataFrame:
-    return S.score_normalize(t.distances).select("id_transaccion", "distancia_centroide", "score_ml")
+    return S.score_normalize(published(t, "distances")).select("id_transaccion", "distancia_centroide", "score_ml")
 
 
 @query("classify_p95")
@@ -595,8 +598,8 @@ def column_policy(t: Layers) -> DataFrame:
 
 @query("table_aspects")
 def table_aspects(t: Layers) -> DataFrame:
-    database = "silvertide_gold"
-    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{t.scratch(database)}'")
+    database = f"silvertide_{uuid.uuid4().hex[:12]}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{t.scratch(database)}'")
     frames = {
         "clientes_deidentified": t.silver_clients,
         "transacciones_deidentified": t.silver_transactions,
@@ -608,12 +611,15 @@ def table_aspects(t: Layers) -> DataFrame:
         df = frames.get(name)
         df = published(t, name) if df is None else df
         full = f"{database}.{name}"
-        t.spark.sql(f"DROP TABLE IF EXISTS {full}")
         out = tables.publish_gold(df, t.scratch(name), table=full)
         G.set_aspects(t.spark, full, G.TABLE_ASPECTS[name])
         row = out.agg(F.count("*").alias("filas")).withColumn("tabla", F.lit(name))
         sizes = row if sizes is None else sizes.unionByName(row)
-    return G.aspects(t.spark, [f"{database}.{n}" for n in G.TABLE_ASPECTS]).join(sizes, "tabla")
+    found = G.aspects(t.spark, [f"{database}.{n}" for n in G.TABLE_ASPECTS])
+    path = t.scratch("aspects")
+    found.join(sizes, "tabla").write.parquet(path)
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return t.spark.read.parquet(path)
 
 
 @query("rut_check")
@@ -642,15 +648,13 @@ def region_commune(t: Layers) -> DataFrame:
 @query("business_days")
 def business_days(t: Layers) -> DataFrame:
     orders = t.raw("orders").select("o_orderkey", F.to_date("o_orderdate").alias("dia"))
-    calendar = C.calendar_for(orders, "dia", 0)
-    return orders.join(F.broadcast(calendar), "dia").select("o_orderkey", "dia", "habil")
+    return orders.withColumn("habil", C.is_workday("dia"))
 
 
 @query("add_business_days")
 def add_business_days(t: Layers) -> DataFrame:
     orders = t.raw("orders").select("o_orderkey", F.to_date("o_orderdate").alias("dia"))
-    calendar = C.calendar_for(orders, "dia", C.LEGAL_LIMIT_DAYS)
-    return C.add_business_days(orders, "dia", C.LEGAL_LIMIT_DAYS, calendar, "limite")
+    return C.add_business_days(orders, "dia", C.LEGAL_LIMIT_DAYS, "limite")
 
 
 @query("request_state")
@@ -658,9 +662,8 @@ def request_state(t: Layers) -> DataFrame:
     # Each request is seen up to 20 days after it was made, so all states occur.
     req = t.requests.select("id_solicitud", "fecha_solicitud", "dias_resolucion_estimados")
     number = F.substring("id_solicitud", 6, 20).cast("long")
-    calendar = C.calendar_for(req, "fecha_solicitud", 20)
-    req = C.add_business_days(req, "fecha_solicitud", C.LEGAL_LIMIT_DAYS, calendar, "limite")
-    req = C.add_business_days(req, "fecha_solicitud", F.col("dias_resolucion_estimados") + number % 3, calendar, "resolucion")
+    req = C.add_business_days(req, "fecha_solicitud", C.LEGAL_LIMIT_DAYS, "limite")
+    req = C.add_business_days(req, "fecha_solicitud", F.col("dias_resolucion_estimados") + number % 3, "resolucion")
     seen = F.date_add(F.to_date("fecha_solicitud"), (number % 21).cast("int"))
     return req.withColumn("visto", seen).select(
         "id_solicitud", "visto", "limite", "resolucion",
@@ -731,30 +734,50 @@ def _trained(t: Layers) -> model.AnomalyModel:
 
 @query("ml_train")
 def ml_train(t: Layers) -> DataFrame:
+    """What any trained model must satisfy: k clusters 1 to k, all rows assigned, tighter than a single cluster."""
+    rows = model.training_set(published(t, "fact_transacciones"))
     fitted = _trained(t)
     path = t.scratch("anomaly_model")
     fitted.save(t.spark, path)
     again = model.AnomalyModel.load(t.spark, path)
-    sizes = model.assign(model.training_set(published(t, "fact_transacciones")), again)
-    return sizes.groupBy("cluster_id").agg(F.count("*").alias("n"), F.avg("distancia_centroide").alias("distancia_media"))
+    one = model.AnomalyModel(again.features, again.means, again.deviations, ((0.0,) * len(again.features),))
+    square = F.sum(F.col("distancia_centroide") * F.col("distancia_centroide"))
+    cost = model.assign(rows, one).agg(square).first()[0]
+    return model.assign(rows, again).agg(
+        F.count_distinct("cluster_id").alias("grupos"), F.min("cluster_id").alias("primero"), F.max("cluster_id").alias("ultimo"),
+        F.count("*").alias("filas"), (square < cost).alias("mejor_que_uno"),
+    )
+
+
+# A model of fixed numbers, so that its scores can be stated in SQL.
+FIXED = model.AnomalyModel(
+    model.FEATURES, (900000.0, 12.0, 4.0, 0.25), (800000.0, 6.5, 2.0, 0.125),
+    ((-0.5, -1.0, 0.0, -0.5), (-0.5, 1.0, 0.5, 0.0), (0.5, 0.0, -1.0, 0.5), (1.5, 0.5, 1.0, 1.0), (3.0, 0.0, 0.0, 4.0)),
+)
 
 
 @query("ml_evaluate")
 def ml_evaluate(t: Layers) -> DataFrame:
-    fitted = _trained(t)
-    return model.evaluate(model.assign(model.training_set(published(t, "fact_transacciones")), fitted), fitted)
+    found = model.evaluate(model.assign(model.training_set(published(t, "fact_transacciones")), FIXED), FIXED)
+    return found.select(
+        F.round("davies_bouldin_index", 6).alias("davies_bouldin_index"), F.round("mean_squared_distance", 6).alias("mean_squared_distance"), "filas"
+    )
 
 
 @query("ml_centroids")
 def ml_centroids(t: Layers) -> DataFrame:
-    return model.centroids(_trained(t), t.spark)
+    """Centroids in original units, with the rows of the facts nearest to each."""
+    rows = model.assign(model.training_set(published(t, "fact_transacciones")), FIXED).groupBy("cluster_id").agg(F.count("*").alias("filas"))
+    return model.centroids(FIXED, t.spark).join(rows.withColumnRenamed("cluster_id", "centroid_id"), "centroid_id", "left")
 
 
 @query("ml_scored")
 def ml_scored(t: Layers) -> DataFrame:
     path = t.scratch("scored")
-    model.apply_model(published(t, "fact_transacciones"), _trained(t)).write.parquet(path)
-    return model.ml_table(t.spark.read.parquet(path))
+    model.apply_model(published(t, "fact_transacciones"), FIXED).write.parquet(path)
+    return model.ml_table(t.spark.read.parquet(path)).select(
+        "id_transaccion", "cluster_id", F.round("distancia_centroide", 9).alias("distancia_centroide"), "score_ml", "clasificacion_ml"
+    )
 
 
 # --- streams ----------------------------------------------------------------
@@ -762,28 +785,29 @@ def ml_scored(t: Layers) -> DataFrame:
 
 @query("stream_silver")
 def stream_silver(t: Layers) -> DataFrame:
-    source, sink, checkpoint = t.scratch("bronze"), t.scratch("silver"), t.scratch("checkpoint")
-    bronze.write_bronze(t.single_transactions, source, ())
+    source, sink, checkpoint = _bronze_hours(t), t.scratch("silver"), t.scratch("checkpoint")
     for _ in range(2):  # the second run finds nothing new
         ST.stream_silver(t.spark, source, sink, checkpoint, A.CLIENTS_AS_OF, TEST_KEYS)
-    return t.spark.read.parquet(sink)
+    return t.spark.read.parquet(sink).drop("fecha", "hora")
 
 
 @query("stream_dedupe")
 def stream_dedupe(t: Layers) -> DataFrame:
+    """Several batches, the last of them with the earliest hours."""
     source, sink, checkpoint = t.scratch("bronze"), t.scratch("unique"), t.scratch("checkpoint")
-    bronze.write_bronze(t.transactions.drop("copia"), source, ())
-    unique = ST.stream_dedupe(ST.stream_bronze(t.spark, source), ["id_transaccion"], "fecha_hora")
-    ST.run_to_end(unique.select("id_transaccion", "id_cliente", "monto_clp", "fecha_hora"), sink, checkpoint)
+    early = F.hour("fecha_hora") < 12
+    for part in (t.transactions.where(~early), t.transactions.where(early)):
+        bronze.write_bronze(part.drop("copia"), source, (), mode="append")
+        rows = ST.stream_bronze(t.spark, source).select("id_transaccion", "id_cliente", "monto_clp", F.col("fecha_hora").cast("timestamp").alias("fecha_hora"))
+        ST.stream_dedupe(rows, sink, checkpoint, ["id_transaccion"])
     return t.spark.read.parquet(sink)
 
 
 @query("stream_alerts")
 def stream_alerts(t: Layers) -> DataFrame:
     source, sink, checkpoint = t.scratch("bronze"), t.scratch("alerts"), t.scratch("checkpoint")
-    bronze.write_bronze(t.single_transactions, source, ())
-    large = ST.stream_bronze(t.spark, source).where(F.col("score_anomalia") >= 0.5)
-    ST.run_to_end(ST.stream_alerts(large), sink, checkpoint)
-    return t.spark.read.parquet(sink)
-
-
+    early = F.hour("fecha_hora") < 12
+    for part in (t.single_transactions.where(~early), t.single_transactions.where(early)):
+        bronze.write_bronze(part, source, (), mode="append")
+        ST.stream_alerts(ST.stream_bronze(t.spark, source).where(F.col("score_anomalia") >= 0.5), sink, checkpoint)
+    return ST.alert_windows(t.spark, sink)

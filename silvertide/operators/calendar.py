@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, timedelta
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silvertide.functions.masking import ColumnLike, as_col
-from silvertide.functions.rules import day, is_business_day
+from silvertide.functions.rules import day
 
 # Public holidays of 2026.
 HOLIDAYS_2026 = (
@@ -18,77 +18,59 @@ HOLIDAYS_2026 = (
     "2026-11-01", "2026-12-08", "2026-12-25",
 )
 
-# A calendar row is one day, so its size is set by the covered span, not by the data.
-MAX_CALENDAR_DAYS = 200_000
-
-# Days needed to resolve a request (at least, at most) by right.
-RESOLUTION_DAYS = {"A": (3, 5), "R": (5, 10), "P": (5, 8), "O": (2, 3), "C": (10, 15)}
 LEGAL_LIMIT_DAYS = 15
 
 
-def recurring_holidays(years: Iterable[int], pattern: Iterable[str] = HOLIDAYS_2026) -> list[date]:
-    """The month and day of each holiday repeated in other years."""
-    days = [date.fromisoformat(h) for h in pattern]
-    return [d.replace(year=year) for year in years for d in days]
+LAST_DATE = (date.max - date(1970, 1, 1)).days
+# Fewer business days than this in any year; used only to reach far enough.
+FEWEST_A_YEAR = 200
 
 
-def business_calendar(
-    spark: SparkSession, start: date, end: date, holidays: Iterable[date | str] = HOLIDAYS_2026
-) -> DataFrame:
-    """One row per day: (dia, habil, ordinal); ordinal counts business days up to that day."""
-    span = (end - start).days + 1
-    if not 0 < span <= MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {span} days")
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("dia")
-    )
-    flagged = days.withColumn("habil", is_business_day("dia", holidays))
-    running = Window.orderBy("dia").rowsBetween(Window.unboundedPreceding, 0)
-    return flagged.withColumn("ordinal", F.sum(F.col("habil").cast("long")).over(running))
+def is_workday(value: ColumnLike, pattern: Iterable[str] = HOLIDAYS_2026) -> Column:
+    """Monday to Friday and not a holiday; the month and day of each holiday recur every year."""
+    col = as_col(value)
+    return (F.weekday(col) < 5) & ~F.date_format(col, "MM-dd").isin(*[h[5:] for h in pattern])
 
 
-def date_span(df: DataFrame, column: str) -> tuple[date, date] | None:
-    row = df.agg(F.min(F.to_date(column)).alias("a"), F.max(F.to_date(column)).alias("b")).first()
-    return (row["a"], row["b"]) if row["a"] else None
+def _weekdays_up_to(days: Column) -> Column:
+    """Weekdays from Monday, 1969-12-29, up to a day number."""
+    monday = days + 3
+    return F.floor(monday / 7) * 5 + F.least(F.pmod(monday, F.lit(7)) + 1, F.lit(5))
 
 
-def add_business_days(
-    df: DataFrame, column: str, days: int | Column, calendar: DataFrame, out: str
-) -> DataFrame:
-    """Date that lies `days` business days after a date column.
+def _weekday_number(ordinal: Column) -> Column:
+    """Day number of the weekday with that ordinal."""
+    return F.floor((ordinal - 1) / 5) * 7 + F.pmod(ordinal - 1, F.lit(5)) - 3
 
-    Two equi-joins with the numbered calendar, which has one row per day and is
-    therefore small enough to broadcast whatever the size of `df`. The calendar
-    must reach far enough past the last date; a row beyond it raises an error.
-    Zero days give the date itself.
+
+def business_days_after(start: ColumnLike, days: ColumnLike, pattern: Iterable[str] = HOLIDAYS_2026) -> Column:
+    """The date `days` business days after a date, computed from the row alone.
+
+    Whole weeks give five weekdays each; each weekday holiday up to the result moves it one weekday on. Holidays recur by
+    month and day. Zero days give the date itself. Null for null input, negative counts and results after year 9999.
     """
-    n = days if isinstance(days, Column) else F.lit(days)
-    numbered = F.broadcast(calendar.select(F.col("dia").alias("__from"), F.col("ordinal").alias("__at")))
-    targets = F.broadcast(
-        calendar.where("habil").select(F.col("dia").alias("__to"), F.col("ordinal").alias("__target"))
+    first, n = F.to_date(as_col(start)), as_col(days).cast("long")
+    number = F.unix_date(first)
+    since = _weekdays_up_to(number)
+    last_year = F.least(F.year(first) + F.floor(n / FEWEST_A_YEAR).cast("int") + 1, F.lit(9999))
+    month_days = [(int(h[5:7]), int(h[8:])) for h in pattern]
+    dates = F.flatten(
+        F.transform(
+            F.sequence(F.year(first), last_year),
+            lambda y: F.array(*[F.unix_date(F.make_date(y, F.lit(m), F.lit(d))) for m, d in month_days]),
+        )
     )
-    start = F.to_date(F.col(column))
-    joined = (
-        df.withColumn("__start", start)
-        .withColumn("__n", n.cast("long"))
-        .join(numbered, F.col("__start") == F.col("__from"), "left")
-        .withColumn("__goal", F.col("__at") + F.col("__n"))
-        .join(targets, F.col("__goal") == F.col("__target"), "left")
-    )
-    found = F.when(F.col("__n") == 0, F.col("__start")).otherwise(F.col("__to"))
-    known = F.col("__start").isNotNull() & F.col("__n").isNotNull()
-    missing = F.raise_error(F.lit("the calendar does not cover the date")).cast("date")
-    return joined.withColumn(out, F.when(known, F.coalesce(found, missing))).select(*df.columns, out)
+    lost = F.sort_array(F.filter(dates, lambda h: (h > number) & (F.pmod(h + 3, F.lit(7)) < 5)))
+    moved = F.size(F.filter(F.transform(lost, lambda h, i: _weekdays_up_to(h) - since - i), lambda r: r <= n))
+    found = _weekday_number(since + n + moved).cast("long")
+    return F.when(n == 0, first).when((n > 0) & (found <= LAST_DATE), F.date_from_unix_date(found.cast("int")))
 
 
-def calendar_for(
-    df: DataFrame, column: str, max_days: int, holidays: Iterable[date | str] | None = None
+def add_business_days(
+    df: DataFrame, column: str, days: int | Column, out: str, pattern: Iterable[str] = HOLIDAYS_2026
 ) -> DataFrame:
-    """Calendar that covers a date column plus `max_days` business days."""
-    span = date_span(df, column) or (date(2026, 1, 1), date(2026, 1, 1))
-    start, end = span[0], span[1] + timedelta(days=2 * max_days + 60)
-    chosen = holidays if holidays is not None else recurring_holidays(range(start.year, end.year + 1))
-    return business_calendar(df.sparkSession, start, end, chosen)
+    """A column with the date that lies `days` business days after a date column."""
+    return df.withColumn(out, business_days_after(column, days if isinstance(days, Column) else F.lit(days), pattern))
 
 
 def request_state(
@@ -108,14 +90,14 @@ def request_state(
 def age_requests(
     df: DataFrame,
     as_of: date | str,
-    calendar: DataFrame,
     asked: str = "fecha_solicitud",
     resolution_days: str = "dias_resolucion_estimados",
+    pattern: Iterable[str] = HOLIDAYS_2026,
 ) -> DataFrame:
     """Deadline, resolution day and state of requests from their age."""
     today = day(as_of)
-    dated = add_business_days(df, asked, LEGAL_LIMIT_DAYS, calendar, "limite")
-    dated = add_business_days(dated, asked, F.col(resolution_days), calendar, "resolucion")
+    dated = add_business_days(df, asked, LEGAL_LIMIT_DAYS, "limite", pattern)
+    dated = add_business_days(dated, asked, F.col(resolution_days), "resolucion", pattern)
     state = request_state(F.to_date(asked), resolution_days, "resolucion", "limite", as_of)
     return (
         dated.withColumn("estado_calculado", state)

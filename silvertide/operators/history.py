@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from datetime import date
 
@@ -65,17 +64,12 @@ def snapshot_totals(curr: DataFrame) -> DataFrame:
     )
 
 
-def delta_records(
-    prev: DataFrame, curr: DataFrame, day: date | str, max_ids: int = 100_000
-) -> DataFrame:
-    """The daily change record with one id array per kind of change.
+def delta_records(prev: DataFrame, curr: DataFrame, day: date | str, parts: int = 1) -> DataFrame:
+    """The daily change record with one id array per kind of change, in as many `parte` as asked for.
 
-    A day with more than about `max_ids` changes is written as several records
-    (`parte`), each with its share of every array, so no row grows without bound;
-    together they hold every id.
+    Together the parts hold every id, whatever their number; `snapshot_delta` has the same changes as rows.
     """
     changes = snapshot_delta(prev, curr, day)
-    parts = max(1, math.ceil(changes.count() / max_ids))
     part = F.pmod(F.xxhash64("id_cliente"), F.lit(parts)).cast("int")
     seed = curr.sparkSession.range(parts).select(
         F.lit(str(day)).alias("fecha"),
@@ -98,9 +92,11 @@ def delta_records(
     )
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """Fingerprint of some columns; JSON keeps null, '' and field borders apart."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Raise when a key is null: it could never match and would grow the history on every run."""
+    return df.withColumns({
+        k: F.coalesce(F.col(k), F.raise_error(F.lit(f"{k} is required")).cast(df.schema[k].dataType)) for k in keys
+    })
 
 
 def scd2_merge(
@@ -117,13 +113,17 @@ def scd2_merge(
     A changed key closes its open version at `as_of` and opens a new one; a new
     key opens one; unchanged and absent keys stay. When the snapshot repeats a
     key, the version that comes first by `newest` (then by all columns) wins.
+    Tracked columns are compared as they are, nulls equal to nulls. A null key in
+    the snapshot or in an open version is an error. The result is written to a new
+    place (`publish_gold` with versions), as the history is its own input.
     """
     keys = list(keys)
     columns = snapshot.columns
+    history, snapshot = (_with_keys(df, keys) for df in (history, snapshot))
     stamp = F.lit(str(as_of)).cast("timestamp")
     incoming = latest_per_key(snapshot, keys, newest or [])
     old = history.where("is_current").select(
-        *keys, F.struct(*history.columns).alias("old"), row_digest(tracked).alias("old_digest")
+        *keys, F.struct(*history.columns).alias("old"), F.struct(*tracked).alias("old_tracked")
     )
     new = incoming.select(
         *keys,
@@ -133,7 +133,7 @@ def scd2_merge(
             F.lit(END_OF_TIME).cast("date").alias("valid_to"),
             F.lit(True).alias("is_current"),
         ).alias("new"),
-        row_digest(tracked).alias("new_digest"),
+        F.struct(*tracked).alias("new_tracked"),
     )
     order = [*columns, "valid_from", "valid_to", "is_current"]
 
@@ -142,7 +142,7 @@ def scd2_merge(
 
     closed = version("old", valid_to=stamp.cast("date"), is_current=F.lit(False))
     kept, opened = version("old"), version("new")
-    same = F.col("new").isNull() | (F.col("old_digest") == F.col("new_digest"))
+    same = F.col("new").isNull() | F.col("old_tracked").eqNullSafe(F.col("new_tracked"))
     rows = (
         F.when(F.col("old").isNull(), F.array(opened))
         .when(same, F.array(kept))

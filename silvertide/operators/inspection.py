@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -124,30 +123,23 @@ def scan_pii(
     detectors: Sequence[Detector] = DETECTORS,
     min_likelihood: str = MIN_LIKELIHOOD,
     table: str = "tabla",
-    sample_rows: int | None = None,
-    max_findings: int | None = None,
 ) -> DataFrame:
     """Every finding: (tabla, id, campo, info_type, muestra, likelihood, ocurrencia).
 
     Each cell becomes one narrow row, is scanned once per detector, and gives
-    its findings; nothing is shuffled. The whole table is read unless a sample
-    is asked for.
+    its findings; nothing is shuffled. The whole table is read.
     """
     names = list(fields) if fields is not None else [c for c in df.columns if c != id_col]
-    source = df if sample_rows is None else df.orderBy(id_col).limit(sample_rows)
-    cells = source.select(
+    cells = df.select(
         F.col(id_col).cast("string").alias("id"), *[cell_text(df, c).alias(c) for c in names]
     ).unpivot("id", names, "campo", "celda")
     arrays = [_findings(F.col("celda"), d) for d in detectors]
     worth = reduce(or_, [d.possible(F.col("celda")) for d in detectors])
-    found = (
+    return (
         cells.where(worth)
         .select(F.lit(table).alias("tabla"), "id", "campo", F.inline(F.concat(*arrays)))
         .where(likelihood_rank("likelihood") >= LIKELIHOODS.index(min_likelihood) + 1)
     )
-    if max_findings is None:
-        return found
-    return found.orderBy("id", "campo", "info_type", "ocurrencia").limit(max_findings)
 
 
 def pii_by_field(findings: DataFrame) -> DataFrame:
@@ -187,19 +179,17 @@ def pii_report(
     rows_scanned: DataFrame,
     threshold: str = MIN_LIKELIHOOD,
     unexpected: Iterable[str] = UNEXPECTED_FIELDS,
-    max_alerts: int = 10_000,
+    parts: int = 1,
 ) -> DataFrame:
     """Nested inspection report, one row per table and part.
 
     `rows_scanned` holds (tabla, registros_muestra). The counts are nested maps
-    of a size set by the schema. The alert list has no bound, so a table with
-    more than about `max_alerts` of them is reported in several parts that
-    together hold every alert.
+    of a size set by the schema. The alert list is as long as there are alerts;
+    it is shared out over as many parts as asked for, which together hold every
+    alert, and `pii_alerts` has them as rows.
     """
     unexpected = tuple(unexpected)
     alerts = pii_alerts(findings, unexpected)
-    biggest = alerts.groupBy("tabla").count().agg(F.max("count")).first()[0] or 0
-    parts = max(1, math.ceil(biggest / max_alerts))
     by_type = pii_by_field(findings)
     by_field = by_type.groupBy("tabla", "campo").agg(
         F.map_from_entries(F.collect_list(F.struct("info_type", "hallazgos"))).alias("tipos")
@@ -210,7 +200,7 @@ def pii_report(
     listed = (
         alerts.withColumn("parte", F.pmod(F.xxhash64("id", "campo", "info_type", "ocurrencia"), F.lit(parts)).cast("int"))
         .groupBy("tabla", "parte")
-        .agg(F.collect_list(F.struct("campo", "info_type", "likelihood", "muestra", "tabla")).alias("alertas_pii_inesperado"))
+        .agg(F.array_sort(F.collect_list(F.struct("campo", "info_type", "likelihood", "muestra", "tabla"))).alias("alertas_pii_inesperado"))
     )
     tables = rows_scanned.withColumn("parte", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     when = instant(as_of)

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from silvertide.functions.rules import is_true, ratio
 
-# Largest number of distinct values the final selection step reads back.
-BRACKET_LIMIT = 50_000
-# Kept modest because the sketches of all map tasks meet in one task.
-SKETCH_ACCURACY = 2_000
+# Ranges counted in one pass of the percentile: the most rows that reach the driver.
+BUCKETS = 4096
 
 
 def table_max(df: DataFrame, column: str) -> Column:
@@ -30,103 +28,54 @@ def score_normalize(df: DataFrame, distance: str = "distancia_centroide", out: s
     return df.withColumn(out, F.round(ratio(F.col(distance), table_max(df, distance)), 4))
 
 
-def exact_quantile(df: DataFrame, column: str, share: float, limit: int = BRACKET_LIMIT) -> float | None:
+def exact_quantile(df: DataFrame, column: str, share: float, buckets: int = BUCKETS) -> float | None:
     """Exact interpolated percentile of a column of any size.
 
-    A sketch brackets the wanted ranks, and the bracket is narrowed by further
-    passes until it holds at most `limit` distinct values; only those (with
-    their counts) reach the driver. Every pass is a partial aggregate, and
-    repeated values count once, so neither size nor skew reaches one task.
+    Each pass counts the values of a bracket in equal ranges and goes on with the one that holds the wanted rank,
+    until that range is a single value. A pass is a partial aggregate with at most `buckets` rows, so neither size,
+    skew nor the number of different values reaches one task or the driver.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    n, lowest, highest, low, high = _sketch(values, share, share)
+    whole = values.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    n = whole["n"]
     if not n:
         return None
-    if not (math.isfinite(lowest) and math.isfinite(highest)):
+    if not (math.isfinite(whole["low"]) and math.isfinite(whole["high"])):
         raise ValueError(f"{column} holds values that are not finite")
+    counted: dict[tuple[float, float], list] = {}
+
+    def value_at(rank: int) -> float:
+        low, high = whole["low"], whole["high"]
+        while low < high:
+            if (low, high) not in counted:
+                counted[low, high] = _histogram(values, low, high, buckets)
+            for row in counted[low, high]:
+                if rank < row["n"]:
+                    low, high = row["low"], row["high"]
+                    break
+                rank -= row["n"]
+        return low
+
     position = share * (n - 1)
     first = int(position)
-    last = min(first + 1, n - 1)
-
-    below, counts = _tally(values, low, high, limit)
-    if not _encloses(below, counts, first, last, limit):
-        low, high = lowest, highest
-        below, counts = _tally(values, low, high, limit)
-    while len(counts) > limit:
-        inside = values.where(F.col("v").between(low, high))
-        within = inside.count()
-        *_, new_low, new_high = _sketch(inside, (first - below) / within, (last - below + 1) / within)
-        new_below, counts = _tally(values, new_low, new_high, limit)
-        if (new_low, new_high) == (low, high) or not _encloses(new_below, counts, first, last, limit):
-            new_low, new_high = _halve(inside, low, high, first - below, last - below)
-            new_below, counts = _tally(values, new_low, new_high, limit)
-        low, high, below = new_low, new_high, new_below
-
-    a, b = _value_at(counts, first - below), _value_at(counts, last - below)
+    a, b = value_at(first), value_at(min(first + 1, n - 1))
     weight = position - first
     return a if a == b else a * (1 - weight) + b * weight
 
 
-def _sketch(values: DataFrame, low_share: float, high_share: float) -> tuple:
-    """Count, extremes, and two values that should enclose the given shares."""
-    slack = 4 / SKETCH_ACCURACY
-    points = [max(0.0, low_share - slack), min(1.0, high_share + slack)]
-    row = values.agg(
-        F.count("v").alias("n"),
-        F.min("v").alias("lowest"),
-        F.max("v").alias("highest"),
-        F.percentile_approx("v", points, SKETCH_ACCURACY).alias("q"),
-    ).first()
-    if not row["n"]:
-        return 0, 0.0, 0.0, 0.0, 0.0
-    low = row["lowest"] if points[0] == 0.0 else row["q"][0]
-    high = row["highest"] if points[1] == 1.0 else row["q"][1]
-    return row["n"], row["lowest"], row["highest"], low, high
-
-
-def _tally(values: DataFrame, low: float, high: float, limit: int) -> tuple[int, list]:
-    """Rows below a bracket and the counts of the values in it (at most limit + 1 of them)."""
-    key = F.when(F.col("v") >= low, F.col("v"))
-    rows = (
-        values.where(F.col("v") <= high)
-        .groupBy(key.alias("v"))
-        .count()
-        .orderBy(F.col("v").asc_nulls_first())
-        .limit(limit + 2)
+def _histogram(values: DataFrame, low: float, high: float, buckets: int) -> list:
+    """Count, least and largest value of the ranges of a bracket that hold any, in order."""
+    middle = low / 2 + high / 2
+    # Halves first: the width of the whole may be beyond the largest number, and the cut always parts low from high.
+    lower = F.floor((F.col("v") / 2 - low / 2) / (high / 2 - low / 2) * buckets)
+    own = F.least(F.greatest(lower, F.lit(0)), F.lit(buckets - 1))
+    return (
+        values.where(F.col("v").between(low, high))
+        .groupBy((F.col("v") > middle).alias("half"), own.alias("range"))
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .orderBy("low")
         .collect()
     )
-    below = rows.pop(0)["count"] if rows and rows[0]["v"] is None else 0
-    return below, rows[: limit + 1]
-
-
-def _encloses(below: int, counts: list, first: int, last: int, limit: int) -> bool:
-    if first < below:
-        return False
-    return len(counts) > limit or last < below + sum(c["count"] for c in counts)
-
-
-def _value_at(counts: list, rank: int) -> float:
-    for item in counts:
-        rank -= item["count"]
-        if rank < 0:
-            return item["v"]
-    raise AssertionError("rank outside its bracket")
-
-
-def _halve(inside: DataFrame, low: float, high: float, first: int, last: int) -> tuple[float, float]:
-    """The half of a bracket that holds both wanted ranks (or the two values at the cut)."""
-    middle = low + (high - low) / 2
-    lower = F.col("v") <= middle
-    row = inside.agg(
-        F.count_if(lower).alias("n"),
-        F.max(F.when(lower, F.col("v"))).alias("top"),
-        F.min(F.when(~lower, F.col("v"))).alias("bottom"),
-    ).first()
-    if last < row["n"]:
-        return low, row["top"]
-    if first >= row["n"]:
-        return row["bottom"], high
-    return row["top"], row["bottom"]
 
 
 def classify_p95(
@@ -135,16 +84,12 @@ def classify_p95(
     flag: str = "es_anomalia_flag",
     share: float = 0.95,
     out: str = "clasificacion_ml",
-    approx: bool = False,
 ) -> DataFrame:
     """ANOMALA when flagged or farther than the percentile, else NORMAL.
 
-    The exact percentile reads `df` a few times: pass a written table rather
-    than a long plan. `approx=True` uses one sketch pass instead.
+    The percentile reads `df` a few times: pass a written table rather than a
+    long plan.
     """
-    if approx:
-        cut = df.agg(F.percentile_approx(distance, share, SKETCH_ACCURACY)).scalar()
-    else:
-        cut = F.lit(exact_quantile(df, distance, share)).cast("double")
+    cut = F.lit(exact_quantile(df, distance, share)).cast("double")
     odd = is_true(F.col(flag)) | is_true(F.col(distance) > cut)
     return df.withColumn(out, F.when(odd, "ANOMALA").otherwise("NORMAL"))

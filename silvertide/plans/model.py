@@ -16,7 +16,6 @@ from silvertide.operators.history import DELETED
 from silvertide.operators.scale import classify_p95, score_normalize
 
 FEATURES = ("monto_clp", "hora", "dia_semana", "score_anomalia")
-MIN_TRAINING_ROWS = 100
 
 
 def scoreable(fact: DataFrame) -> DataFrame:
@@ -89,24 +88,27 @@ def train_anomaly_model(
     k: int = 5,
     max_iter: int = 20,
     seed: int = 7,
-    min_rows: int = MIN_TRAINING_ROWS,
+    min_rows: int = 0,
     features: Sequence[str] = FEATURES,
 ) -> AnomalyModel:
     """K-means on standardised features; missing values count as the mean.
 
-    Every iteration reads `training`: pass a written table rather than a long plan.
+    Every iteration reads `training`: pass a written table rather than a long plan. `min_rows` refuses smaller tables.
     """
     numeric = [F.col(f).cast("double") for f in features]
     stats = training.agg(
         F.count("*").alias("n"),
-        *[F.avg(c).alias(f"mean_{f}") for f, c in zip(features, numeric)],
+        *[measure(c).alias(f"{name}_{f}") for f, c in zip(features, numeric) for name, measure in (("known", F.count), ("mean", F.avg), ("spread", F.stddev_samp))],
     ).first()
-    if stats["n"] < min_rows:
-        raise ValueError(f"{stats['n']} rows to train on, {min_rows} needed")
+    n = stats["n"]
+    if n < max(min_rows, 1):
+        raise ValueError(f"{n} rows to train on, {max(min_rows, 1)} needed")
     means = tuple(float(stats[f"mean_{f}"] or 0.0) for f in features)
+    # Missing values count as the mean, so they add rows but no spread.
+    deviations = tuple(
+        float(stats[f"spread_{f}"] or 0.0) * ((max(stats[f"known_{f}"], 1) - 1) / max(n - 1, 1)) ** 0.5 for f in features
+    )
     filled = training.select(*[F.coalesce(c, F.lit(m)).alias(f) for f, c, m in zip(features, numeric, means)])
-    spread = filled.agg(*[F.stddev_samp(f).alias(f) for f in features]).first()
-    deviations = tuple(float(spread[f] or 0.0) for f in features)
 
     blank = AnomalyModel(tuple(features), means, deviations, ())
     scaled = filled.select(*[c.alias(f) for f, c in zip(features, blank.standardised())])
@@ -183,11 +185,11 @@ ML_COLUMNS = (
 )
 
 
-def ml_table(scored: DataFrame, approx: bool = False) -> DataFrame:
+def ml_table(scored: DataFrame) -> DataFrame:
     """The scored fact table: normalised score and class added, 19 columns."""
     normal = score_normalize(scored)
     return (
-        classify_p95(normal, approx=approx)
+        classify_p95(normal)
         .withColumnRenamed("score_anomalia", "score_generador")
         .select(*ML_COLUMNS)
     )

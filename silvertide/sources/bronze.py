@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +21,38 @@ def _reader(spark: SparkSession, schema: T.StructType):
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
-    """JSON lines with a fixed schema; unreadable lines stay visible in `_corrupt_record`."""
-    return _reader(spark, with_corrupt(schema) if keep_corrupt else schema).json(path)
+    """JSON lines with a fixed schema.
+
+    With `keep_corrupt` unreadable lines stay visible in `_corrupt_record`; without it they are left out, and
+    `rejected_lines` has them.
+    """
+    lines = _reader(spark, with_corrupt(schema)).json(path)
+    return lines if keep_corrupt else readable(lines)
+
+
+def readable(lines: DataFrame) -> DataFrame:
+    """The lines that could be read, without the column of the others.
+
+    The condition names a second column: Spark refuses to read JSON for the corrupt column alone.
+    """
+    other = next(c for c in lines.columns if c != CORRUPT)
+    broken = F.nullif(F.col(CORRUPT), F.coalesce(F.col(other).cast("string"), F.lit("")))
+    return lines.where(broken.isNull()).drop(CORRUPT)
+
+
+def split_rejected(lines: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be loaded, and the others with `motivo`: unreadable, or without a required value."""
+    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    reason = F.when(F.col(CORRUPT).isNotNull(), "ilegible").when(
+        F.size(F.array_compact(F.array(*missing))) > 0, F.concat(F.lit("falta "), F.array_join(F.array(*missing), ", "))
+    )
+    marked = lines.withColumn("motivo", reason)
+    return marked.where("motivo IS NULL").drop("motivo", CORRUPT), marked.where("motivo IS NOT NULL")
+
+
+def rejected_lines(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """What `read_bronze` leaves out, and rows without a required value."""
+    return split_rejected(read_bronze(spark, path, schema, keep_corrupt=True), required)[1]
 
 
 def hour_paths(root: str, first_day: date | str, last_day: date | str, hours: Sequence[int]) -> str:
@@ -40,17 +70,27 @@ def read_bronze_hours(
     first_day: date | str,
     last_day: date | str,
     hours: Sequence[int],
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Some hours of some days; only their folders are listed and read.
 
     Hours that have not arrived are skipped with a warning.
     """
     paths = hour_paths(root, first_day, last_day, hours)
-    typed = with_hour_partitions(schema)
+    typed = with_hour_partitions(with_corrupt(schema) if keep_corrupt else schema)
     if not path_exists(spark, paths):
         print(f"no input at {paths}")
         return spark.createDataFrame([], typed)
-    return _reader(spark, typed).option("basePath", root).json(paths)
+    if keep_corrupt:
+        return _reader(spark, typed).option("basePath", root).json(paths)
+    lines = _reader(spark, with_hour_partitions(with_corrupt(schema))).option("basePath", root).json(paths)
+    return readable(lines)
+
+
+def previous_hour(as_of: datetime | str) -> tuple[str, int]:
+    """Day and hour before the one of a run; just after midnight it is 23 of the day before."""
+    moment = datetime.fromisoformat(str(as_of)) - timedelta(hours=1)
+    return str(moment.date()), moment.hour
 
 
 def read_bronze_hour(spark: SparkSession, root: str, schema: T.StructType, day: date | str, hour: int) -> DataFrame:

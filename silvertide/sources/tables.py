@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silvertide import schemas
-from silvertide.plans.deidentify import Keys, deidentify_transactions
+from silvertide.plans import marts, staging
+from silvertide.plans.deidentify import Keys, conform_requests, deidentify_clients, deidentify_transactions
+from silvertide.plans.model import AnomalyModel, apply_model, ml_table, train_anomaly_model, training_set
 
-from .bronze import read_bronze_hours
+from .bronze import previous_hour, read_bronze_hours, split_rejected
 
 
 def require_keys(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -35,12 +38,13 @@ def silver_frame(df: DataFrame, schema: T.StructType, partition_by: Sequence[str
 def load_silver(
     df: DataFrame, path: str, schema: T.StructType, mode: str = "append", partition_by: Sequence[str] = ()
 ) -> bool:
-    """Write a batch with an enforced schema; False when it was empty and nothing was done.
+    """Write a batch with an enforced schema; False when nothing was done.
 
     `truncate` replaces the table, `append` adds, `partition` replaces only the
     partitions in the batch, so running an hour again does not repeat its rows.
+    An empty batch changes nothing; only `truncate` has to look for that first.
     """
-    if df.isEmpty():
+    if mode == "truncate" and df.isEmpty():
         return False
     out = silver_frame(df, schema, partition_by)
     if partition_by:
@@ -94,7 +98,10 @@ def register_views(spark: SparkSession, layers: Mapping[str, DataFrame], prefix:
     return [prefix + name for name in layers]
 
 
-def backfill(
+REQUIRED = tuple(f.name for f in schemas.SILVER_TRANSACTIONS.fields if not f.nullable)
+
+
+def load_hours(
     spark: SparkSession,
     bronze_root: str,
     silver_path: str,
@@ -103,15 +110,104 @@ def backfill(
     hours: Sequence[int],
     as_of: datetime | str,
     keys: Keys,
-) -> bool:
-    """Reprocess a range of hours of transactions in one job.
+    rejected_path: str | None = None,
+) -> None:
+    """Load hours of transactions; exactly the partitions of those arrival hours are replaced.
+
+    The Silver partition is the arrival hour of the file, not the time a row reports. Unreadable lines and rows without
+    a required value go to `rejected_path`, by the same hours, or are left out.
+    """
+    lines = read_bronze_hours(spark, bronze_root, schemas.BRONZE_TRANSACTIONS, first_day, last_day, hours, keep_corrupt=True)
+    good, bad = split_rejected(lines, [c for c in REQUIRED if c in lines.columns])
+    silver = deidentify_transactions(good, as_of, keys, keep=("fecha", "hora"))
+    load_silver(silver, silver_path, schemas.SILVER_TRANSACTIONS, "partition", ("fecha", "hora"))
+    if rejected_path:
+        writer = bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fecha", "hora")
+        writer.parquet(rejected_path)
+
+
+def load_previous_hour(spark: SparkSession, bronze_root: str, silver_path: str, as_of: datetime | str, keys: Keys, rejected_path: str | None = None) -> None:
+    """The hourly run: the hour before `as_of`."""
+    day, hour = previous_hour(as_of)
+    load_hours(spark, bronze_root, silver_path, day, day, [hour], as_of, keys, rejected_path)
+
+
+def load_clients(df: DataFrame, path: str, as_of: datetime | str, keys: Keys) -> None:
+    """The client master replaces the Silver table as a whole."""
+    load_silver(deidentify_clients(df, as_of, keys), path, schemas.SILVER_CLIENTS, "truncate")
+
+
+def load_requests(df: DataFrame, path: str, day: date | str) -> None:
+    """The requests of one day replace those of that day (`fecha_carga`)."""
+    dated = conform_requests(df).withColumn("fecha_carga", F.lit(str(day)))
+    load_silver(dated, path, schemas.SILVER_REQUESTS, "partition", ("fecha_carga",))
+
+
+#: Partition, cluster and lookup columns of the Gold tables.
+GOLD_LAYOUT = {
+    "dim_cliente": ([], ["id_cliente"], ["id_cliente"]),
+    "fact_transacciones": (["fecha"], ["canal", "tipo_transaccion"], []),
+    "fact_arcop_solicitudes": ([], ["id_cliente"], ["id_cliente"]),
+    "mart_anomalias": (["fecha"], ["region"], []),
+    "mart_calidad_datos": ([], [], []),
+    "mart_arcop_compliance": ([], [], []),
+    "fact_transacciones_ml": (["fecha"], ["id_cliente"], ["id_cliente"]),
+}
+
 
-    The Silver partition is the arrival hour of the file, not the time a row
-    reports, so exactly the partitions of those hours are replaced.
+def build_gold(
+    clients: DataFrame,
+    transactions: DataFrame,
+    requests: DataFrame,
+    root: str,
+    as_of: datetime | str,
+    model: AnomalyModel | None = None,
+) -> dict[str, DataFrame]:
+    """All Gold tables from the Silver ones, each from the tables already written.
+
+    Without a model one is trained on the new facts.
     """
-    batch = read_bronze_hours(spark, bronze_root, schemas.BRONZE_TRANSACTIONS, first_day, last_day, hours)
-    silver = deidentify_transactions(batch, as_of, keys, keep=("fecha", "hora"))
-    return load_silver(silver, silver_path, schemas.SILVER_TRANSACTIONS, "partition", ("fecha", "hora"))
+    made: dict[str, DataFrame] = {}
+
+    def publish(name: str, df: DataFrame) -> DataFrame:
+        made[name] = publish_gold(df, f"{root}/{name}", *GOLD_LAYOUT[name])
+        return made[name]
+
+    stg_clients, stg_txn = staging.stage_clients(clients, as_of), staging.stage_transactions(transactions, as_of)
+    dim = publish("dim_cliente", marts.build_dim_client(stg_clients))
+    fact = publish("fact_transacciones", marts.build_fact_transactions(stg_txn, dim, as_of))
+    asked = publish("fact_arcop_solicitudes", marts.build_fact_requests(staging.stage_requests(requests, as_of), dim, as_of))
+    publish("mart_anomalias", marts.build_anomaly_mart(fact))
+    publish("mart_calidad_datos", marts.quality_mart(stg_clients, stg_txn, as_of))
+    publish("mart_arcop_compliance", marts.compliance_mart(asked, as_of))
+    model = model or train_anomaly_model(training_set(fact))
+    scored = f"{root}/distancias"
+    apply_model(fact, model).write.mode("overwrite").parquet(scored)
+    publish("fact_transacciones_ml", ml_table(fact.sparkSession.read.parquet(scored)))
+    return made
+
+
+def backfill(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    gold_root: str,
+    first_day: date | str,
+    last_day: date | str,
+    hours: Sequence[int],
+    as_of: datetime | str,
+    keys: Keys,
+) -> dict[str, DataFrame]:
+    """Load a range of hours again, then rebuild the Gold tables and the model from all of Silver.
+
+    Silver holds `transacciones`, `clientes` and `solicitudes`; rejected lines go beside them. Gold goes to a new folder
+    of `gold_root`, so readers of the last one are not disturbed; the tables are returned.
+    """
+    load_hours(
+        spark, bronze_root, f"{silver_root}/transacciones", first_day, last_day, hours, as_of, keys, f"{silver_root}/rechazadas"
+    )
+    transactions, clients, requests = (spark.read.parquet(f"{silver_root}/{n}") for n in ("transacciones", "clientes", "solicitudes"))
+    return build_gold(clients, transactions.drop("fecha", "hora"), requests, f"{gold_root}/{uuid.uuid4().hex[:12]}", as_of)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -1,23 +1,35 @@
-"""Incremental forms of the hourly batches."""
+"""Incremental forms of the hourly batches: each micro-batch ends in a write that can be repeated."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvertide import schemas
 from silvertide.functions.rules import money
-from silvertide.plans.deidentify import Keys, deidentify_transactions
+from silvertide.operators.latest import latest_per_key
+from silvertide.plans.deidentify import Keys
+from silvertide.sources.bronze import path_exists, readable
+from silvertide.sources.tables import load_hours
 
 
-def stream_bronze(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schemas.BRONZE_TRANSACTIONS)
+def stream_bronze(spark: SparkSession, root: str, max_files: int | None = None, by_hour: bool = False) -> DataFrame:
+    """Transactions as they arrive, unreadable lines left out; by_hour: below `fecha=/hora=` folders."""
+    schema = schemas.with_corrupt(schemas.BRONZE_TRANSACTIONS)
+    reader = spark.readStream.schema(schemas.with_hour_partitions(schema) if by_hour else schema)
+    reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(root)
+    lines = reader.json(root)
+    return lines if by_hour else readable(lines)
+
+
+def run_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand all available input of a stream to `write`, batch by batch, and stop."""
+    df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def stream_silver(
@@ -25,64 +37,68 @@ def stream_silver(
     root: str,
     sink: str,
     checkpoint: str,
-    as_of: datetime | str | Column,
+    as_of: datetime | str,
     keys: Keys,
+    rejected: str | None = None,
     max_files: int | None = None,
 ) -> None:
-    """De-identify every Bronze file that is new since the last run, once.
+    """Load every hour of Bronze that has new files since the last run.
 
-    The checkpoint remembers the files, so a second run over the same input adds
-    nothing and a failed run resumes.
+    The checkpoint remembers the files. The hours a batch touches are loaded whole and replace their partitions, so a
+    repeated batch adds nothing, a late file completes its hour, and `backfill` can replace the same partitions.
     """
-    silver = deidentify_transactions(stream_bronze(spark, root, max_files), as_of, keys)
-    query = (
-        silver.writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
 
+    def write(batch: DataFrame, _: int) -> None:
+        # One row per hour that has new files.
+        hours: dict[str, list[int]] = {}
+        for r in batch.select(F.col("fecha").cast("string").alias("fecha"), F.col("hora").cast("int").alias("hora")).distinct().collect():
+            hours.setdefault(r.fecha, []).append(r.hora)
+        for day in sorted(hours):
+            load_hours(spark, root, sink, day, day, sorted(hours[day]), as_of, keys, rejected)
+
+    run_batches(stream_bronze(spark, root, max_files, by_hour=True), write, checkpoint)
 
-def stream_dedupe(
-    df: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour", spread: int = 16
-) -> DataFrame:
-    """One row per key among rows less than `delay` apart.
 
-    The first row to arrive wins, where the batch table keeps the last one; state
-    older than the watermark is dropped. A first pass removes repeats within
-    `spread` slices of the input, so the copies of a hot key are shared among
-    that many tasks before they meet; any slicing gives the same keys.
+def stream_dedupe(df: DataFrame, sink: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """Append the rows whose key the sink does not have yet, however late they come.
+
+    Within a batch one row per key is kept, the first in the order of all columns; a key that an earlier batch brought
+    stays as it was. The sink's keys are joined by their columns alone; a batch that is run again finds its keys there.
     """
-    timed = df.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
-    if spread > 1:
-        timed = (
-            timed.withColumn("__slice", F.spark_partition_id() % spread)
-            .dropDuplicatesWithinWatermark([*keys, "__slice"])
-            .drop("__slice")
-        )
-    return timed.dropDuplicatesWithinWatermark(list(keys))
-
-
-def stream_alerts(df: DataFrame, event_time: str = "fecha_hora", delay: str = "1 hour") -> DataFrame:
-    """Hourly alert counts by region; a window comes out once it can no longer change."""
-    return (
-        df.withColumn(event_time, F.col(event_time).cast("timestamp"))
-        .withWatermark(event_time, delay)
-        .groupBy(F.window(event_time, "1 hour"), "region")
-        .agg(
-            F.count("*").alias("total_alertas"),
-            F.sum(money("monto_clp")).alias("monto_total_alertado"),
+    spark = df.sparkSession
+
+    def write(batch: DataFrame, _: int) -> None:
+        new = latest_per_key(batch, keys, [])
+        if path_exists(spark, sink):
+            new = new.join(spark.read.parquet(sink).select(*keys), list(keys), "left_anti")
+        new.write.mode("append").parquet(sink)
+
+    run_batches(df, write, checkpoint)
+
+
+def stream_alerts(df: DataFrame, sink: str, checkpoint: str, event_time: str = "fecha_hora") -> None:
+    """Hourly alert counts by region, as partial sums of every batch.
+
+    A batch writes the sums of its own rows to its own partition, which a repeated batch replaces. `alert_windows` adds
+    them up, so no window waits to be closed and late rows count.
+    """
+    spark = df.sparkSession
+    start = F.date_trunc("hour", F.col(event_time).cast("timestamp"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        sums = batch.groupBy(start.alias("desde"), "region").agg(
+            F.count("*").alias("total_alertas"), F.sum(money("monto_clp")).alias("monto_total_alertado"),
             F.max("monto_clp").alias("monto_maximo"),
         )
-        .select(F.col("window.start").alias("desde"), "region", "total_alertas", "monto_total_alertado", "monto_maximo")
-    )
+        writer = sums.withColumn("lote", F.lit(number)).write.mode("overwrite").partitionBy("lote")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(sink)
 
+    run_batches(df, write, checkpoint)
 
-def run_to_end(df: DataFrame, sink: str, checkpoint: str) -> None:
-    """Write all available input of a stream to Parquet and stop."""
-    df.writeStream.format("parquet").option("path", sink).option(
-        "checkpointLocation", checkpoint
-    ).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+def alert_windows(spark: SparkSession, sink: str) -> DataFrame:
+    """One row per hour and region over all batches so far."""
+    return spark.read.parquet(sink).groupBy("desde", "region").agg(
+        F.sum("total_alertas").alias("total_alertas"), F.sum("monto_total_alertado").alias("monto_total_alertado"),
+        F.max("monto_maximo").alias("monto_maximo"),
+    )

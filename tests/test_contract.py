@@ -8,7 +8,6 @@ from contract.oracle import all_statements
 from contract.queries import all_queries
 
 QUERIES, STATEMENTS = all_queries(), all_statements()
-ROWS_ONLY = {"ml_train", "ml_evaluate", "ml_centroids", "ml_scored"}
 
 
 @pytest.fixture(scope="module")
@@ -17,10 +16,9 @@ def con(sf_dir):
 
 
 def test_coverage():
-    assert set(QUERIES) - set(STATEMENTS) == ROWS_ONLY
-    assert set(STATEMENTS) <= set(QUERIES)
-    assert entry_module.queries().keys() == QUERIES.keys()
-    assert entry_module.oracle_sql() == STATEMENTS
+    assert set(QUERIES) == set(STATEMENTS)
+    assert entry_module.queries().keys() >= QUERIES.keys()
+    assert entry_module.oracle_sql().items() >= STATEMENTS.items()
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
@@ -28,11 +26,6 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, QUERIES[name], STATEMENTS[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_query_without_sql_gives_rows(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
-
-
 def test_comparison_notices_differences(spark, con, sf_dir):
     run = QUERIES["training_count"]
     right = STATEMENTS["training_count"]

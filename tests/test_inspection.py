@@ -79,13 +79,6 @@ def test_fractions_are_read_in_plain_digits(spark):
     ]
 
 
-def test_sample_only_on_request(spark):
-    texts = [f"u{i}@mail.cl" for i in range(500)]
-    assert _scan(spark, texts).count() == 500
-    assert _scan(spark, texts, sample_rows=100).count() == 100
-    assert _scan(spark, texts, sample_rows=100, max_findings=10).count() == 10
-
-
 def test_alerts_and_classes(spark):
     text = "x" * 5 + "@" + "y" * 80 + ".cl"
     found = _scan(spark, [text, "a@b.cl"])
@@ -99,7 +92,7 @@ def test_report_parts_hold_every_alert(spark):
     texts = [f"u{i}@mail.cl" for i in range(300)]
     found = _scan(spark, texts, table="t")
     scanned = spark.createDataFrame([("t", 300), ("vacia", 7)], "tabla string, registros_muestra long")
-    rows = I.pii_report(found, "2026-03-25 10:00:00", scanned, max_alerts=50).collect()
+    rows = I.pii_report(found, "2026-03-25 10:00:00", scanned, parts=6).collect()
     mine = [r for r in rows if r["resultado"]["tabla"] == "t"]
     assert len(mine) == 6
     quotes = [a["muestra"] for r in mine for a in r["resultado"]["alertas_pii_inesperado"] or []]

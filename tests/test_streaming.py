@@ -3,61 +3,89 @@ import json
 from pyspark.sql import functions as F
 
 from contract.gold import TEST_KEYS
+from silvertide import schemas
 from silvertide.plans import adapters as A
 from silvertide.plans.deidentify import deidentify_transactions
-from silvertide.sources import bronze
+from silvertide.sources import bronze, tables
 from silvertide.streaming import silver as ST
 
 
+def _drop(folder, name, lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines) + "\n")
+
+
+def _txn(i, time, region="R1", amount=10.0):
+    return {"id_transaccion": i, "region": region, "monto_clp": amount, "fecha_hora": time, "score_anomalia": 0.9}
+
+
 def test_stream_equals_batch_and_runs_once(spark, layers, tmp_path):
     source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    bronze.write_bronze(layers.single_transactions.repartition(4), source, ())
-    run = lambda: ST.stream_silver(spark, source, sink, checkpoint, A.CLIENTS_AS_OF, TEST_KEYS, max_files=1)
+    bronze.write_bronze(A.with_hour(layers.single_transactions), source)
+    run = lambda: ST.stream_silver(spark, source, sink, checkpoint, A.CLIENTS_AS_OF, TEST_KEYS)
     run()
     run()
     want = deidentify_transactions(layers.single_transactions, A.CLIENTS_AS_OF, TEST_KEYS)
     got = spark.read.parquet(sink)
-    assert got.count() == 1000 and got.exceptAll(want).count() == 0
+    assert got.count() == 1000 and got.drop("fecha", "hora").exceptAll(want).count() == 0
+    tables.load_hours(spark, source, sink, "2024-01-01", "2024-01-31", range(24), A.CLIENTS_AS_OF, TEST_KEYS)
+    assert spark.read.parquet(sink).count() == 1000  # batch and stream replace the same partitions
+
 
-    more = layers.single_transactions.limit(5).withColumn("id_transaccion", F.concat(F.lit("new"), "id_transaccion"))
-    bronze.write_bronze(more, source, (), mode="append")
+def test_late_files_and_broken_lines(spark, tmp_path):
+    source, sink, rejected, checkpoint = (str(tmp_path / n) for n in ("in", "out", "bad", "cp"))
+    run = lambda: ST.stream_silver(spark, source, sink, checkpoint, "2026-03-26", TEST_KEYS, rejected, max_files=1)
+    hour = tmp_path / "in" / "fecha=2026-03-25" / "hora=10"
+    _drop(hour, "1.json", [_txn("a", "2026-03-25T10:10:00Z"), "{broken", {"region": "R1"}])
+    run()
+    assert [r.id_transaccion for r in spark.read.parquet(sink).collect()] == ["a"]
+    bad = {(r.motivo, r._corrupt_record, r.hora) for r in spark.read.parquet(rejected).collect()}
+    assert bad == {("ilegible", "{broken", 10), ("falta id_transaccion", None, 10)}
+    _drop(hour, "2.json", [_txn("b", "2026-03-25T09:00:00Z")])
+    _drop(tmp_path / "in" / "fecha=2026-03-24" / "hora=23", "3.json", [_txn("c", "2026-03-24T23:30:00Z")])
     run()
-    assert spark.read.parquet(sink).count() == 1005
+    assert sorted(r.id_transaccion for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
+    lost = bronze.rejected_lines(spark, str(hour), schemas.BRONZE_TRANSACTIONS, ["id_transaccion"])
+    assert lost.count() == 2 and bronze.read_bronze(spark, str(hour), schemas.BRONZE_TRANSACTIONS).count() == 3
 
 
-def _drop(folder, name, rows):
-    folder.mkdir(exist_ok=True)
-    (folder / name).write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+def test_dedupe_keeps_late_ids_and_hot_keys(spark, tmp_path):
+    source, sink, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
 
+    def run():
+        ST.stream_dedupe(ST.stream_bronze(spark, str(source), max_files=2), sink, checkpoint, ["id_transaccion"])
 
-def _txn(i, time, region="R1", amount=10.0):
-    return {"id_transaccion": i, "region": region, "monto_clp": amount, "fecha_hora": time, "score_anomalia": 0.9}
+    for part in range(5):
+        rows = [_txn("hot", "2026-03-25T10:00:00Z")] * 200 + [_txn(f"k{part}-{i}", "2026-03-25T10:05:00Z") for i in range(50)]
+        _drop(source, f"{part}.json", rows)
+    run()
+    _drop(source, "6.json", [_txn("late", "2026-03-20T10:00:00Z"), _txn("hot", "2026-03-25T10:00:00Z"), _txn("new", "2026-03-25T16:00:00Z"), "{"])
+    run()
+    run()
+    got = [r.id_transaccion for r in spark.read.parquet(sink).collect()]
+    assert len(got) == len(set(got)) == 253 and {"late", "new", "hot"} <= set(got)
 
 
-def test_dedupe_spreads_a_hot_key(spark, tmp_path):
+def test_repeated_batches_add_nothing(spark, tmp_path):
+    """A batch whose progress was not noted runs again: same rows, same sums."""
     source = tmp_path / "in"
-    for part in range(6):
-        rows = [_txn("hot", "2026-03-25T10:00:00Z")] * 200 + [_txn(f"k{part}-{i}", "2026-03-25T10:05:00Z") for i in range(50)]
-        _drop(source, f"{part}.json", rows)
-    for spread in (1, 4):
-        sink, checkpoint = str(tmp_path / f"out{spread}"), str(tmp_path / f"cp{spread}")
-        unique = ST.stream_dedupe(ST.stream_bronze(spark, str(source)), ["id_transaccion"], "fecha_hora", spread=spread)
-        ST.run_to_end(unique.select("id_transaccion"), sink, checkpoint)
-        got = spark.read.parquet(sink)
-        assert got.count() == 301 and got.distinct().count() == 301
+    _drop(source, "1.json", [_txn("a", "2026-03-25T10:10:00Z"), _txn("b", "2026-03-25T10:50:00Z", amount=30.0)])
+    for turn in ("1", "2"):
+        ST.stream_dedupe(ST.stream_bronze(spark, str(source)), str(tmp_path / "out"), str(tmp_path / f"cp{turn}"), ["id_transaccion"])
+        ST.stream_alerts(ST.stream_bronze(spark, str(source)), str(tmp_path / "sums"), str(tmp_path / f"cps{turn}"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert [r.total_alertas for r in ST.alert_windows(spark, str(tmp_path / "sums")).collect()] == [2]
 
 
-def test_late_rows_and_open_windows(spark, tmp_path):
+def test_open_windows_and_late_rows_count(spark, tmp_path):
     source, sink, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
-    run = lambda: ST.run_to_end(ST.stream_alerts(ST.stream_bronze(spark, str(source))), sink, checkpoint)
+    run = lambda: ST.stream_alerts(ST.stream_bronze(spark, str(source)), sink, checkpoint)
     _drop(source, "1.json", [_txn("a", "2026-03-25T10:10:00Z"), _txn("b", "2026-03-25T10:50:00Z", amount=30.0)])
     run()
-    assert spark.read.parquet(sink).count() == 0  # the window can still grow
-    _drop(source, "2.json", [_txn("c", "2026-03-25T10:20:00Z"), _txn("d", "2026-03-25T13:00:00Z")])
+    _drop(source, "2.json", [_txn("c", "2026-03-25T10:20:00Z"), _txn("d", "2026-03-25T15:30:00Z", region=None)])
     run()
-    _drop(source, "3.json", [_txn("late", "2026-03-25T10:30:00Z"), _txn("e", "2026-03-25T15:30:00Z")])
+    _drop(source, "3.json", [_txn("late", "2026-03-25T10:30:00Z", amount=2.0)])
     run()
-    rows = {str(r["desde"]): r for r in spark.read.parquet(sink).collect()}
-    assert rows["2026-03-25 10:00:00"]["total_alertas"] == 3  # the late row came after the window closed
-    assert float(rows["2026-03-25 10:00:00"]["monto_total_alertado"]) == 50.0
-    assert "2026-03-25 15:00:00" not in rows
+    rows = {str(r["desde"]): r for r in ST.alert_windows(spark, sink).orderBy("desde").collect()}
+    assert rows["2026-03-25 10:00:00"]["total_alertas"] == 4 and float(rows["2026-03-25 10:00:00"]["monto_total_alertado"]) == 52.0
+    assert rows["2026-03-25 15:00:00"]["region"] is None and ST.alert_windows(spark, sink).where(F.col("region").isNull()).count() == 1

@@ -53,18 +53,41 @@ def test_zero_padded_hours_are_found(spark, tmp_path):
     assert (row["id_transaccion"], row["hora"], str(row["fecha"])) == ("T1", 8, "2026-03-25")
 
 
-def test_backfill_is_idempotent_and_local(spark, hourly, tmp_path):
+def test_hours_load_again_in_place(spark, hourly, tmp_path):
     sink = str(tmp_path / "silver")
-    run = lambda hours, when: tables.backfill(
+    run = lambda hours, when: tables.load_hours(
         spark, hourly, sink, "2024-01-01", "2024-01-30", hours, when, TEST_KEYS
     )
-    assert run(range(24), "2024-02-01 00:00:00")
+    run(range(24), "2024-02-01 00:00:00")
     assert spark.read.parquet(sink).count() == 1000
-    assert run([8, 9], "2024-02-02 00:00:00")
+    run([8, 9], "2024-02-02 00:00:00")
     stamps = spark.read.parquet(sink).groupBy("fecha_deidentify", F.col("hora").isin(8, 9).alias("again")).count().collect()
     assert sum(r["count"] for r in stamps) == 1000
     assert all(r["fecha_deidentify"].startswith("2024-02-02") == r["again"] for r in stamps)
-    assert not tables.backfill(spark, hourly, sink, "2030-01-01", "2030-01-01", [1], "2024-02-02", TEST_KEYS)
+    tables.load_hours(spark, hourly, sink, "2030-01-01", "2030-01-01", [1], "2024-02-02", TEST_KEYS)
+    assert spark.read.parquet(sink).count() == 1000
+
+
+def test_previous_hour_of_a_run(spark, hourly, tmp_path):
+    assert bronze.previous_hour("2026-03-25 00:05:00") == ("2026-03-24", 23)
+    assert bronze.previous_hour("2026-01-01T11:59:00") == ("2026-01-01", 10)
+    sink = str(tmp_path / "silver")
+    tables.load_previous_hour(spark, hourly, sink, "2024-01-10 14:20:00", TEST_KEYS)
+    assert {(str(r.fecha), r.hora) for r in spark.read.parquet(sink).select("fecha", "hora").distinct().collect()} == {("2024-01-10", 13)}
+
+
+def test_backfill_rebuilds_gold(spark, layers, hourly, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    tables.load_clients(layers.clients, f"{silver}/clientes", A.CLIENTS_AS_OF, TEST_KEYS)
+    for _ in range(2):
+        tables.load_requests(layers.requests, f"{silver}/solicitudes", "2024-02-01")
+    assert spark.read.parquet(f"{silver}/solicitudes").count() == layers.requests.count()
+    run = lambda hours: tables.backfill(spark, hourly, silver, gold, "2024-01-01", "2024-01-30", hours, A.TRANSACTIONS_AS_OF, TEST_KEYS)
+    first, second = run(range(12)), run(range(12, 24))
+    assert set(first) == set(tables.GOLD_LAYOUT)
+    counts = [made["fact_transacciones"].count() for made in (first, second)]
+    assert 0 < counts[0] < counts[1] == layers.fact.count()
+    assert second["fact_transacciones_ml"].count() == layers.distances.count()
 
 
 def test_load_modes_and_required_key(spark, layers, tmp_path):
@@ -260,7 +283,7 @@ def test_model_save_load_and_units(spark, trained, tmp_path):
 
 def test_too_few_rows(layers):
     with pytest.raises(ValueError, match="rows to train on"):
-        model.train_anomaly_model(model.training_set(layers.fact).limit(50))
+        model.train_anomaly_model(model.training_set(layers.fact).limit(50), min_rows=100)
 
 
 def test_objections_are_optional(layers):
