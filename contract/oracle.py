@@ -8,11 +8,19 @@ from __future__ import annotations
 
 import re
 
-from silvertide.operators.calendar import HOLIDAYS_2026
-from silvertide.operators.inspection import UNEXPECTED_FIELDS
 from silvertide.operators.quality import SILVER_CHECKS
 from silvertide.plans.governance import TABLE_ASPECTS
 
+# Fixed values, written out here so that a wrong one in the library shows.
+HOLIDAYS_2026 = (
+    "2026-01-01", "2026-04-03", "2026-04-04", "2026-05-01", "2026-05-21", "2026-06-29", "2026-07-16",
+    "2026-08-15", "2026-09-18", "2026-09-19", "2026-10-12", "2026-10-31", "2026-11-01", "2026-12-08",
+    "2026-12-25",
+)
+UNEXPECTED_FIELDS = (
+    "descripcion", "comentario_operador", "categoria_gasto", "region", "comuna", "ocupacion",
+)
+
 SALT, TOKEN = "test-salt", "test-token"
 CLIENTS_DAY = "DATE '2024-02-01'"
 TXN_NOW = "TIMESTAMP '2024-01-28 00:00:00'"
@@ -375,7 +383,10 @@ SELECT * EXCLUDE (rn, c), CAST(c AS INTEGER) AS cluster_id FROM (
                sqrt(((monto_clp - 900000.0::DOUBLE) / 800000.0::DOUBLE - a::DOUBLE) ** 2 + ((hora - 12.0::DOUBLE) / 6.5::DOUBLE - b::DOUBLE) ** 2
                     + ((dia_semana - 4.0::DOUBLE) / 2.0::DOUBLE - e::DOUBLE) ** 2
                     + ((coalesce(score_anomalia, 0.25::DOUBLE) - 0.25::DOUBLE) / 0.125::DOUBLE - f::DOUBLE) ** 2) AS d
-        FROM dist, centres)) WHERE rn = 1"""
+        FROM dist JOIN centres ON true)) WHERE rn = 1"""
+
+STEPS["own"] = """
+SELECT cluster_id, count(*) AS n, avg(d) AS s, sum(d * d) AS sq FROM fixed WHERE arcop_estado <> 'ELIMINADO' GROUP BY cluster_id"""
 
 STEPS["period"] = "SELECT * FROM ml WHERE fecha >= DATE '2024-01-03' AND fecha <= DATE '2024-01-25'"
 
@@ -606,7 +617,11 @@ SELECTS: dict[str, str] = {
     "pii_field_class": f"""SELECT tabla, campo, info_type, count(*) AS hallazgos, if({_ODD}, 'INESPERADO', 'esperado') AS clase
         FROM hits GROUP BY ALL""",
     "pii_report": f"""SELECT '2024-01-28' AS fecha, CAST(0 AS BIGINT) AS hora, 'LIKELY' AS threshold, CAST(0 AS INTEGER) AS parte,
-        tabla, registros_muestra, total_findings, total_findings AS suma_por_campo, CAST(alertas AS INTEGER) AS alertas,
+        tabla, registros_muestra, total_findings, (SELECT string_agg(campo || ':' || info_type || '=' || n, ',' ORDER BY campo || ':' || info_type || '=' || n)
+         FROM (SELECT tabla AS tb, campo, info_type, count(*) AS n FROM hits GROUP BY ALL) WHERE tb = tabla) AS por_campo,
+        (SELECT string_agg(campo || '|' || info_type || '|' || likelihood || '|' || left(muestra, 50), ';'
+                           ORDER BY campo || '|' || info_type || '|' || likelihood || '|' || left(muestra, 50))
+         FROM (SELECT * EXCLUDE (tabla), tabla AS tb FROM hits) WHERE tb = tabla AND {_ODD}) AS alertas,
         CAST(sum(total_findings) OVER () AS BIGINT) AS resumen_findings,
         CAST(sum(alertas) OVER () AS BIGINT) AS resumen_alertas,
         (SELECT string_agg(campo, ',' ORDER BY campo) FROM (SELECT DISTINCT campo FROM hits)) AS campos_con_pii,
@@ -761,9 +776,7 @@ SELECTS: dict[str, str] = {
                    unnest([a * 800000.0 + 900000.0, b * 6.5 + 12.0, e * 2.0 + 4.0, f * 0.125 + 0.25])::DOUBLE AS numerical_value FROM centres)
         LEFT JOIN (SELECT cluster_id AS centroid_id, count(*) AS filas FROM fixed WHERE arcop_estado <> 'ELIMINADO' GROUP BY cluster_id)
         USING (centroid_id)""",
-    "ml_evaluate": """WITH own AS (SELECT cluster_id, count(*) AS n, avg(d) AS s, sum(d * d) AS sq FROM fixed
-            WHERE arcop_estado <> 'ELIMINADO' GROUP BY cluster_id)
-        SELECT round(avg(worst), 6) AS davies_bouldin_index, (SELECT round(sum(sq) / sum(n), 6) FROM own) AS mean_squared_distance,
+    "ml_evaluate": """SELECT round(avg(worst), 6) AS davies_bouldin_index, (SELECT round(sum(sq) / sum(n), 6) FROM own) AS mean_squared_distance,
                (SELECT CAST(sum(n) AS BIGINT) FROM own) AS filas
         FROM (SELECT x.cluster_id, max((x.s + y.s) / sqrt((p.a - q.a) ** 2 + (p.b - q.b) ** 2 + (p.e - q.e) ** 2 + (p.f - q.f) ** 2)) AS worst
               FROM own x JOIN own y ON x.cluster_id <> y.cluster_id JOIN centres p ON p.c = x.cluster_id

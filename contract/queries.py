@@ -113,7 +113,7 @@ def backfill_hours(t: Layers) -> DataFrame:
     tables.load_clients(t.clients, f"{silver}/clientes", A.CLIENTS_AS_OF, TEST_KEYS)
     tables.load_requests(t.requests, f"{silver}/solicitudes", A.REQUESTS_AS_OF[:10])
     span = t.raw("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    tables.load_hours(t.spark, source, f"{silver}/transacciones", *span, range(8, 20), A.TRANSACTIONS_AS_OF, TEST_KEYS)
+    tables.load_hours(t.spark, source, f"{silver}/transacciones", bronze.days_between(*span), range(8, 20), A.TRANSACTIONS_AS_OF, TEST_KEYS)
     gold = tables.backfill(t.spark, source, silver, t.scratch("gold"), *span, range(8, 20), A.TRANSACTIONS_AS_OF, TEST_KEYS)
     scored = gold["fact_transacciones_ml"].select("id_transaccion", F.col("cluster_id").isNotNull().alias("clasificada"))
     return gold["fact_transacciones"].join(scored, "id_transaccion", "left").select(
@@ -276,18 +276,18 @@ def pii_field_class(t: Layers) -> DataFrame:
 
 
 def _flat(report: DataFrame) -> DataFrame:
-    """The nested maps and lists of a report as numbers and text, for the comparison."""
+    """The nested maps and lists of a report, every entry of them, as text for the comparison."""
     r, s = F.col("resultado"), F.col("resumen")
-
-    def total(counts):
-        return F.aggregate(F.map_values(counts), F.lit(0).cast("long"), lambda a, x: a + x)
-
-    by_field = F.transform_values(r.findings_por_campo, lambda _, kinds: total(kinds))
+    entries = F.flatten(F.transform(
+        F.map_entries(r.findings_por_campo),
+        lambda f: F.transform(F.map_entries(f["value"]), lambda k: F.concat(f["key"], F.lit(":"), k["key"], F.lit("="), k["value"].cast("string"))),
+    ))
+    alerts = F.transform(r.alertas_pii_inesperado, lambda a: F.concat_ws("|", a["campo"], a["info_type"], a["likelihood"], a["muestra"]))
     return report.select(
         "fecha", "hora", "threshold", "parte", r.tabla.alias("tabla"), r.registros_muestra.alias("registros_muestra"),
         r.total_findings.alias("total_findings"),
-        total(by_field).alias("suma_por_campo"),
-        F.coalesce(F.size(r.alertas_pii_inesperado), F.lit(0)).alias("alertas"),
+        F.array_join(F.array_sort(entries), ",").alias("por_campo"),
+        F.array_join(F.array_sort(alerts), ";").alias("alertas"),
         s.total_findings.alias("resumen_findings"), s.total_alertas.alias("resumen_alertas"),
         s.campos_con_pii.alias("campos_con_pii"), s.campos_con_pii_inesperado.alias("campos_con_pii_inesperado"),
     )

@@ -25,16 +25,12 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# On one machine small shuffles should still use every core.
-LOCAL_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
-
-
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings this library relies on to a session made elsewhere."""
-    wanted = dict(RUNTIME_CONF)
-    if spark.sparkContext.master.startswith("local"):
-        wanted.update(LOCAL_CONF)
-    for key, value in wanted.items():
+    """Apply the settings this library relies on to a session made elsewhere: a required step before its other functions.
+
+    They are the same on every master; the README lists what they change.
+    """
+    for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -48,6 +44,9 @@ def local_session(app: str = "silvertide", cores: str = "*", memory: str = "12g"
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # On one machine small shuffles should still use every core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Recording the call site of every column expression makes planning slow.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

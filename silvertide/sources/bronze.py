@@ -55,10 +55,13 @@ def rejected_lines(spark: SparkSession, path: str, schema: T.StructType, require
     return split_rejected(read_bronze(spark, path, schema, keep_corrupt=True), required)[1]
 
 
-def hour_paths(root: str, first_day: date | str, last_day: date | str, hours: Sequence[int]) -> str:
-    """Path pattern of some hours of some days; an hour may be written 8 or 08."""
+def days_between(first_day: date | str, last_day: date | str) -> list[str]:
     first, last = (date.fromisoformat(str(d)) for d in (first_day, last_day))
-    days = [str(first + timedelta(days=i)) for i in range((last - first).days + 1)]
+    return [str(first + timedelta(days=i)) for i in range((last - first).days + 1)]
+
+
+def hour_paths(root: str, days: Sequence[str], hours: Sequence[int]) -> str:
+    """Path pattern of some hours of some days; an hour may be written 8 or 08."""
     names = sorted({form for h in hours for form in (str(int(h)), f"{int(h):02d}")})
     return f"{root}/fecha={{{','.join(days)}}}/hora={{{','.join(names)}}}"
 
@@ -67,8 +70,7 @@ def read_bronze_hours(
     spark: SparkSession,
     root: str,
     schema: T.StructType,
-    first_day: date | str,
-    last_day: date | str,
+    days: Sequence[str],
     hours: Sequence[int],
     keep_corrupt: bool = False,
 ) -> DataFrame:
@@ -76,7 +78,7 @@ def read_bronze_hours(
 
     Hours that have not arrived are skipped with a warning.
     """
-    paths = hour_paths(root, first_day, last_day, hours)
+    paths = hour_paths(root, days, hours)
     typed = with_hour_partitions(with_corrupt(schema) if keep_corrupt else schema)
     if not path_exists(spark, paths):
         print(f"no input at {paths}")
@@ -94,7 +96,7 @@ def previous_hour(as_of: datetime | str) -> tuple[str, int]:
 
 
 def read_bronze_hour(spark: SparkSession, root: str, schema: T.StructType, day: date | str, hour: int) -> DataFrame:
-    return read_bronze_hours(spark, root, schema, day, day, [hour])
+    return read_bronze_hours(spark, root, schema, [str(day)], [hour])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

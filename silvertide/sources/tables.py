@@ -15,7 +15,7 @@ from silvertide.plans import marts, staging
 from silvertide.plans.deidentify import Keys, conform_requests, deidentify_clients, deidentify_transactions
 from silvertide.plans.model import AnomalyModel, apply_model, ml_table, train_anomaly_model, training_set
 
-from .bronze import previous_hour, read_bronze_hours, split_rejected
+from .bronze import days_between, previous_hour, read_bronze_hours, split_rejected
 
 
 def require_keys(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -105,19 +105,18 @@ def load_hours(
     spark: SparkSession,
     bronze_root: str,
     silver_path: str,
-    first_day: date | str,
-    last_day: date | str,
+    days: Sequence[str],
     hours: Sequence[int],
     as_of: datetime | str,
     keys: Keys,
     rejected_path: str | None = None,
 ) -> None:
-    """Load hours of transactions; exactly the partitions of those arrival hours are replaced.
+    """Load some hours of some days of transactions; exactly the partitions of those arrival hours are replaced.
 
     The Silver partition is the arrival hour of the file, not the time a row reports. Unreadable lines and rows without
     a required value go to `rejected_path`, by the same hours, or are left out.
     """
-    lines = read_bronze_hours(spark, bronze_root, schemas.BRONZE_TRANSACTIONS, first_day, last_day, hours, keep_corrupt=True)
+    lines = read_bronze_hours(spark, bronze_root, schemas.BRONZE_TRANSACTIONS, days, hours, keep_corrupt=True)
     good, bad = split_rejected(lines, [c for c in REQUIRED if c in lines.columns])
     silver = deidentify_transactions(good, as_of, keys, keep=("fecha", "hora"))
     load_silver(silver, silver_path, schemas.SILVER_TRANSACTIONS, "partition", ("fecha", "hora"))
@@ -129,7 +128,7 @@ def load_hours(
 def load_previous_hour(spark: SparkSession, bronze_root: str, silver_path: str, as_of: datetime | str, keys: Keys, rejected_path: str | None = None) -> None:
     """The hourly run: the hour before `as_of`."""
     day, hour = previous_hour(as_of)
-    load_hours(spark, bronze_root, silver_path, day, day, [hour], as_of, keys, rejected_path)
+    load_hours(spark, bronze_root, silver_path, [day], [hour], as_of, keys, rejected_path)
 
 
 def load_clients(df: DataFrame, path: str, as_of: datetime | str, keys: Keys) -> None:
@@ -204,7 +203,8 @@ def backfill(
     of `gold_root`, so readers of the last one are not disturbed; the tables are returned.
     """
     load_hours(
-        spark, bronze_root, f"{silver_root}/transacciones", first_day, last_day, hours, as_of, keys, f"{silver_root}/rechazadas"
+        spark, bronze_root, f"{silver_root}/transacciones", days_between(first_day, last_day), hours, as_of, keys,
+        f"{silver_root}/rechazadas",
     )
     transactions, clients, requests = (spark.read.parquet(f"{silver_root}/{n}") for n in ("transacciones", "clientes", "solicitudes"))
     return build_gold(clients, transactions.drop("fecha", "hora"), requests, f"{gold_root}/{uuid.uuid4().hex[:12]}", as_of)

@@ -49,12 +49,15 @@ def stream_silver(
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        # One row per hour that has new files.
+        # One row per hour that has new files; days with the same hours are loaded together.
         hours: dict[str, list[int]] = {}
         for r in batch.select(F.col("fecha").cast("string").alias("fecha"), F.col("hora").cast("int").alias("hora")).distinct().collect():
             hours.setdefault(r.fecha, []).append(r.hora)
-        for day in sorted(hours):
-            load_hours(spark, root, sink, day, day, sorted(hours[day]), as_of, keys, rejected)
+        days: dict[tuple[int, ...], list[str]] = {}
+        for day, own in sorted(hours.items()):
+            days.setdefault(tuple(sorted(own)), []).append(day)
+        for own, together in days.items():
+            load_hours(spark, root, sink, together, own, as_of, keys, rejected)
 
     run_batches(stream_bronze(spark, root, max_files, by_hour=True), write, checkpoint)
 

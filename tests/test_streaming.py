@@ -28,7 +28,7 @@ def test_stream_equals_batch_and_runs_once(spark, layers, tmp_path):
     want = deidentify_transactions(layers.single_transactions, A.CLIENTS_AS_OF, TEST_KEYS)
     got = spark.read.parquet(sink)
     assert got.count() == 1000 and got.drop("fecha", "hora").exceptAll(want).count() == 0
-    tables.load_hours(spark, source, sink, "2024-01-01", "2024-01-31", range(24), A.CLIENTS_AS_OF, TEST_KEYS)
+    tables.load_hours(spark, source, sink, bronze.days_between("2024-01-01", "2024-01-31"), range(24), A.CLIENTS_AS_OF, TEST_KEYS)
     assert spark.read.parquet(sink).count() == 1000  # batch and stream replace the same partitions
 
 

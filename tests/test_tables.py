@@ -56,7 +56,7 @@ def test_zero_padded_hours_are_found(spark, tmp_path):
 def test_hours_load_again_in_place(spark, hourly, tmp_path):
     sink = str(tmp_path / "silver")
     run = lambda hours, when: tables.load_hours(
-        spark, hourly, sink, "2024-01-01", "2024-01-30", hours, when, TEST_KEYS
+        spark, hourly, sink, bronze.days_between("2024-01-01", "2024-01-30"), hours, when, TEST_KEYS
     )
     run(range(24), "2024-02-01 00:00:00")
     assert spark.read.parquet(sink).count() == 1000
@@ -64,7 +64,7 @@ def test_hours_load_again_in_place(spark, hourly, tmp_path):
     stamps = spark.read.parquet(sink).groupBy("fecha_deidentify", F.col("hora").isin(8, 9).alias("again")).count().collect()
     assert sum(r["count"] for r in stamps) == 1000
     assert all(r["fecha_deidentify"].startswith("2024-02-02") == r["again"] for r in stamps)
-    tables.load_hours(spark, hourly, sink, "2030-01-01", "2030-01-01", [1], "2024-02-02", TEST_KEYS)
+    tables.load_hours(spark, hourly, sink, ["2030-01-01"], [1], "2024-02-02", TEST_KEYS)
     assert spark.read.parquet(sink).count() == 1000
 
 
