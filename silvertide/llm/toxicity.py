@@ -24,7 +24,7 @@ from silvertide.llm.text_buffers import pieces
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 #: Bounds of the labelled sample.
-CLEAN_EXAMPLES, TOXIC_EXAMPLES = 4000, 2000
+CLEAN_EXAMPLES, TOXIC_EXAMPLES = 3500, 1500
 TERMS = 1500
 #: A term must occur in so many examples.
 LEAST_EXAMPLES = 3
@@ -138,19 +138,29 @@ class BlockMaxIndex:
         turn = np.zeros(self.blocks, np.int8)
         turn[by_bound[:FIRST_BLOCKS]] = 1
         score = self._exact(cells, scale, turn == 1)
-        kth = self._kth(score, k, without)
-        if kth < bound.max(initial=0.0):
-            turn[(turn == 0) & (bound >= kth - 1e-9) & (bound > 0)] = 2
-            score += self._exact(cells, scale, turn == 2)
         if without >= 0:
             score[without] = 0
-        top = np.flatnonzero(score > 0)
-        if len(top) > k:
-            edge = np.partition(score[top], len(top) - k)[len(top) - k]
-            top = top[score[top] >= edge]
+        top, kth = self._best(score, k)
+        if kth < bound.max(initial=0.0):
+            turn[(turn == 0) & (bound >= kth - 1e-9) & (bound > 0)] = 2
+            if (turn == 2).any():
+                score += self._exact(cells, scale, turn == 2)
+                if without >= 0:
+                    score[without] = 0
+                top, _ = self._best(score, k)
         top = top[np.lexsort((top, -score[top]))][:k]
         return top, score[top]
 
+    @staticmethod
+    def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+        """Examples that reach the k-th largest score, ties included, and that score; zeros do not count."""
+        top = np.flatnonzero(score > 0)
+        if len(top) < k:
+            return top, 0.0
+        own = score[top]
+        kth = float(np.partition(own, len(own) - k)[len(own) - k])
+        return top[own >= kth], kth
+
     def _exact(self, cells: np.ndarray, scale: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         own = wanted[self.cell_block[cells]]
         cells, scale = cells[own], scale[own]
@@ -158,15 +168,6 @@ class BlockMaxIndex:
         at = _ranges(a, b)
         return np.bincount(self.rows[at], self.weights[at] * np.repeat(scale, b - a), self.n)
 
-    @staticmethod
-    def _kth(score: np.ndarray, k: int, without: int) -> float:
-        if len(score) <= k:
-            return 0.0
-        kept = score.copy()
-        if without >= 0:
-            kept[without] = 0
-        return float(np.partition(kept, len(kept) - k)[len(kept) - k])
-
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """All numbers of several ranges, one after the other."""
