@@ -54,7 +54,7 @@ LEAST_SPELLED = 3
 
 _SPELLED_WORD = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + ")"
 _TOKEN = rf"(?:{_SPELLED_WORD}\b|[0-9]+)"
-_OPEN, _CLOSE = r"\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
+_OPEN, _CLOSE = r"(?<!\s)\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
 _AT, _DOT = "(?:at|arroba|@)", "(?:dot|punto|punkt|point|\\.)"
 _BARE_DOT = r"\s+(?:dot|punto|punkt)\s+"
 #: Up to five labels and an ending, or a number, come after a written-out dot.
@@ -125,7 +125,7 @@ def plain_spans(text: str) -> list[tuple[int, int, int]]:
         at = text.find("@", max(at + 1, free))
     if first := _DIGIT.search(text):
         for m in _IP.finditer(text, first.start()):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split(".")):
+            if all(len(p) < 4 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m.group().split("."))):
                 out.append((1, *m.span()))
         for m in _CARD.finditer(text, first.start()):
             digits = m.group().replace(" ", "").replace("-", "") if m.end() - m.start() <= 37 else ""

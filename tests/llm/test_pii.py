@@ -79,6 +79,11 @@ def test_digits_in_long_runs_are_linear():
     import time
 
     start = time.process_time()
-    for text in ("1" * 10**6, "1." * 10**6, "+1(" * 300_000, "a@" * 300_000, "one " * 200_000, "(" * 10**6, "1 " * 10**6, " @" * 300_000):
+    for text in ("1" * 10**6, "1." * 10**6, "+1(" * 300_000, "a@" * 300_000, "one " * 200_000, "(" * 10**6, "1 " * 10**6, " @" * 300_000, "a @ b" + " " * 10**6):
         pii.added_spans(text, pii.plain_spans(text))
     assert time.process_time() - start < 60
+
+
+def test_parts_of_many_zeros_are_numbers():
+    text = "1." + "0" * 5000 + ".2.255 and 1." + "0" * 5000 + "256.2.3"
+    assert pii.plain_spans(text) == [(1, 0, 5008)]
