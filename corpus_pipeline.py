@@ -6,24 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvertide.llm import decontaminate, mixing, simhash, slots, toxicity
-from silvertide.llm.shared import materialize
+from silvertide.llm.shared import materialize, set_aside
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    renamed, columns = set_aside(docs, ("toxicity", "evidence"))
+    return toxicity.score(renamed, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one whose id names the component."""
-    return simhash.representatives(docs).select(*docs.columns)
+    return simhash.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
-    marked = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return marked.where(F.size("hit_ranges") == 0).select(*docs.columns)
+    renamed, columns = set_aside(docs, ("n_words", "hit_ranges", "hit_items"))
+    marked = decontaminate.decontaminate(renamed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return marked.where(F.size("hit_ranges") == 0).select(*columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

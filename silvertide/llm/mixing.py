@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silvertide.llm.shared import materialize
+from silvertide.llm.shared import materialize, named, spare_name
 from silvertide.llm.text_buffers import NON_SPACE, pieces, word_spans
 
 WEIGHTS = (3, 1, 2)
@@ -152,13 +152,21 @@ def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def taken_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows of docs, with all columns, as many times as the mix takes them: never, once or twice."""
+    """The rows of docs, with all columns, as many times as the mix takes them: never, once or twice.
+
+    Columns of docs may have any names besides doc_id, text and source.
+    """
+    mark, place, taken_id, taken_mark, twice, some = (
+        spare_name(docs, n) for n in ("row_mark", "place", "taken_id", "taken_mark", "taken_twice", "taken_at_all")
+    )
     times = F.col("taken") / F.col("size")
-    turns = mix_documents(docs, seed).where("taken > 0").groupBy(F.col("doc_id").alias("taken_id"), F.col("mark").alias("taken_mark")).agg(
-        F.count_if(times == 2).alias("twice"), F.count(F.lit(1)).alias("some")
+    turns = mix_documents(docs, seed).where("taken > 0").groupBy(F.col("doc_id").alias(taken_id), F.col("mark").alias(taken_mark)).agg(
+        F.count_if(times == 2).alias(twice), F.count(F.lit(1)).alias(some)
     )
-    own = Window.partitionBy("doc_id", "_mark").orderBy("_mark")
-    placed = docs.withColumn("_mark", row_mark()).withColumn("_place", F.row_number().over(own))
-    joined = placed.join(turns, F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.col("_mark") == F.col("taken_mark")))
-    taken = joined.where(F.col("_place") <= F.col("some"))
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.when(F.col("_place") <= F.col("twice"), 2).otherwise(1))).alias("_turn")).drop("_turn")
+    own = Window.partitionBy("doc_id", mark).orderBy(mark)
+    placed = docs.withColumn(mark, row_mark()).withColumn(place, F.row_number().over(own))
+    joined = placed.join(turns, F.col("doc_id").eqNullSafe(F.col(taken_id)) & (F.col(mark) == F.col(taken_mark)))
+    taken = joined.where(F.col(place) <= F.col(some))
+    turn = F.explode(F.sequence(F.lit(1), F.when(F.col(place) <= F.col(twice), 2).otherwise(1))).alias(spare_name(docs, "turn"))
+    columns = [named(c) for c in docs.columns]
+    return taken.select(*columns, turn).select(*columns)

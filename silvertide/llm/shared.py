@@ -6,7 +6,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 _written: list[tuple[SparkSession, str]] = []
@@ -39,6 +40,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """name, or name behind as many underscores as it takes to differ from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, whatever characters that holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """df with columns of these names under other ones, and the columns that give df's own names and order back.
+
+    Names with a dot or a backtick, which Spark's own Arrow functions do not take, are replaced as well.
+    """
+    aside = {c: spare_name(df, f"aside_{i}") for i, c in enumerate(df.columns) if c.lower() in names or not {".", "`"}.isdisjoint(c)}
+    return df.withColumnsRenamed(aside), [named(aside.get(c, c)).alias(c) for c in df.columns]
+
+
 def release(spark: SparkSession) -> None:
     """Deletes what this session has written by new_path(); call it when the results have been stored."""
     jvm = spark.sparkContext._jvm

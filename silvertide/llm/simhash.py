@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silvertide.llm.components import component_roots
-from silvertide.llm.shared import materialize
+from silvertide.llm.shared import materialize, named, spare_name
 from silvertide.llm.text_buffers import LOWER, NON_SPACE, joined_words, pieces, word_spans
 
 SEED = 42
@@ -200,11 +200,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all columns, that stand for their component: one for each."""
-    found = near_duplicates(docs).select(F.col("component_id").alias("kept_id"), F.col("component_mark").alias("kept_mark")).distinct()
-    marked = docs.withColumn("_text_mark", text_mark())
-    own = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_text_mark") == F.col("kept_mark"))
-    return marked.join(found, own, "left_semi").dropDuplicates(["doc_id", "_text_mark"]).drop("_text_mark")
+    """The rows of docs, with all columns, that stand for their component: one for each.
+
+    Columns of docs may have any names besides doc_id and text. Of rows with equal doc_id and text any one stays.
+    """
+    mark, kept_id, kept_mark = (spare_name(docs, n) for n in ("text_mark", "kept_id", "kept_mark"))
+    found = near_duplicates(docs).select(F.col("component_id").alias(kept_id), F.col("component_mark").alias(kept_mark)).distinct()
+    marked = docs.withColumn(mark, text_mark())
+    own = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(mark) == F.col(kept_mark))
+    return marked.join(found, own, "left_semi").dropDuplicates(["doc_id", mark]).select(*map(named, docs.columns))
 
 
 def fingerprint_text(fp: Column) -> Column:

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from silvertide.llm import mixing, toxicity
 from silvertide.llm.simhash import fingerprints
@@ -89,3 +91,16 @@ def test_odd_rows_pass_through(spark, documents, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{none}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{none}/benchmark.parquet")
     assert corpus_pipeline.run(spark, none).count() == 0
+
+
+def test_columns_with_names_of_the_stages_keep_their_values(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = ["toxicity", "evidence", "text_mark", "kept_id", "kept_mark", "n_words", "Hit_Ranges", "row_mark", "place", "taken_id", "taken_twice", "turn", "a.b"]
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, sf_dir)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), name
+        assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in stage(spark, docs, sf_dir).select("doc_id").collect()), name
+    assert corpus_pipeline.place_in_shards(spark, wide, sf_dir).count() == docs.count()
