@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from silvertide.llm.decontaminate import Words, _mix
 from silvertide.llm.labelled import Platt, fit_platt, fold, labelled_sample
+from silvertide.llm.shared import materialize
 from silvertide.llm.text_buffers import pieces
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -53,6 +54,13 @@ def _repeated(terms: np.ndarray, times: int) -> np.ndarray:
     return _mix(terms + np.uint64(times))
 
 
+def _unmixed(x: np.ndarray) -> np.ndarray:
+    """What _mix() has made x of."""
+    x = (x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))) * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 def _counted(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different pairs of row and term in order, and how often each occurs."""
     order = np.lexsort((terms, rows))
@@ -88,16 +96,15 @@ def term_counts(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None
 class Vocabulary:
     """Chosen terms, sorted, with a table that rules out most others at once.
 
-    beginnings: the hashes of all beginnings whose repetition may be a chosen term.
+    The table also lets through every beginning whose repetition would be a chosen term.
     """
 
-    def __init__(self, terms: np.ndarray, beginnings: np.ndarray):
+    def __init__(self, terms: np.ndarray):
         self.terms = np.sort(terms.astype(np.uint64))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[self.terms & np.uint64((1 << 20) - 1)] = True
         for times in REPEATS:
-            counted = beginnings[np.isin(_repeated(beginnings, times), self.terms)]
-            self.seen[counted & np.uint64((1 << 20) - 1)] = True
+            self.seen[(_unmixed(self.terms) - np.uint64(times)) & np.uint64((1 << 20) - 1)] = True
 
     def places(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which terms are chosen ones, and their places."""
@@ -219,11 +226,11 @@ class Model:
         return self.platt(raw), evidence
 
 
-def choose_terms(rows: np.ndarray, terms: np.ndarray, label: np.ndarray, most: int = TERMS) -> np.ndarray:
-    """Terms of enough examples with the largest chi-squared between occurring and being toxic."""
-    names, place = np.unique(terms, return_inverse=True)
-    toxic, clean = np.bincount(place, label[rows], len(names)), np.bincount(place, 1 - label[rows], len(names))
-    p, n = label.sum(), (1 - label).sum()
+def choose_terms(names: np.ndarray, toxic: np.ndarray, clean: np.ndarray, p: int, n: int, most: int = TERMS) -> np.ndarray:
+    """Terms of enough examples with the largest chi-squared between occurring and being toxic.
+
+    toxic and clean say in how many of the p toxic and n clean examples each of the names occurs.
+    """
     with np.errstate(divide="ignore", invalid="ignore"):
         chi = (toxic * (n - clean) - clean * (p - toxic)) ** 2 * (p + n) / ((toxic + clean) * (p + n - toxic - clean) * p * n)
     chi = np.where((toxic + clean >= LEAST_EXAMPLES) & np.isfinite(chi), chi, 0)
@@ -233,7 +240,6 @@ def choose_terms(rows: np.ndarray, terms: np.ndarray, label: np.ndarray, most: i
 
 def fit(docs: DataFrame, labels: DataFrame, negatives: int = CLEAN_EXAMPLES, positives: int = TOXIC_EXAMPLES) -> Model:
     """Learns from a bounded sample of labels outside the held-out fold; document frequencies come from all of docs."""
-    spark = docs.sparkSession
     sample = labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, negatives, positives)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,15 +249,31 @@ def fit(docs: DataFrame, labels: DataFrame, negatives: int = CLEAN_EXAMPLES, pos
             lists = [pa.ListArray.from_arrays(edge, pa.array(x)) for x in (terms.view(np.int64), counts.astype(np.int64))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("label"), *lists], ["doc_id", "label", "terms", "counts"])
 
-    # At most negatives + positives rows with the terms of one text each.
-    found = sample.rows.mapInArrow(listed, "doc_id string, label int, terms array<long>, counts array<long>").toArrow().sort_by("doc_id")
+    # At most negatives + positives rows with the terms of one text each; they are counted where they are.
+    examples = materialize(sample.rows.mapInArrow(listed, "doc_id string, label int, terms array<long>, counts array<long>"), "toxicity-examples")
+    sizes = {r.label: r.n for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    occurring = examples.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean")
+    ).where(F.col("toxic") + F.col("clean") >= LEAST_EXAMPLES).toArrow()
+    seen = [occurring.column(c).to_numpy().astype(np.int64) for c in ("term", "toxic", "clean")]
+    vocabulary = Vocabulary(choose_terms(seen[0].view(np.uint64), seen[1], seen[2], sizes.get(1, 0), sizes.get(0, 0)))
+
+    def known_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(c) for c in ("terms", "counts")]
+            flat = [x.flatten().to_numpy(zero_copy_only=False) for x in lists]
+            edge = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))])
+            known, place = vocabulary.places(flat[0].astype(np.int64).view(np.uint64))
+            own = pa.array(np.searchsorted(known, edge).astype(np.int32))
+            kept = [pa.ListArray.from_arrays(own, pa.array(x)) for x in (place, flat[1][known].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *kept], ["doc_id", "label", "places", "counts"])
+
+    # Only the chosen terms of the examples reach the driver.
+    found = examples.mapInArrow(known_terms, "doc_id string, label int, places array<long>, counts array<long>").toArrow().sort_by("doc_id")
     label = found.column("label").to_numpy().astype(np.int64)
-    size = [len(x) for x in found.column("terms")]
-    rows = np.repeat(np.arange(len(label)), size)
-    flat = [found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("terms", "counts")]
-    terms, counts = flat[0].astype(np.int64).view(np.uint64), flat[1].astype(np.int64)
-    chosen = choose_terms(rows, terms, label) if len(terms) else np.zeros(0, np.uint64)
-    vocabulary = Vocabulary(chosen, np.unique(terms))
+    edge = np.concatenate([[0], np.cumsum([len(x) for x in found.column("places")])]).astype(np.int64)
+    rows = np.repeat(np.arange(len(label)), np.diff(edge))
+    place, counts = (found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("places", "counts"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, n = np.zeros(len(vocabulary.terms), np.int64), 0
@@ -269,14 +291,12 @@ def fit(docs: DataFrame, labels: DataFrame, negatives: int = CLEAN_EXAMPLES, pos
         else:
             df[r.term] = r.n
     idf = np.log((1 + n_docs) / (1 + df))
-    known, place = vocabulary.places(terms)
-    rows, counts = rows[known], counts[known]
     in_sample = {1: max(int(label.sum()), 1), 0: max(int((1 - label).sum()), 1)}
     votes = np.where(label == 1, sample.rate / in_sample[1], (1 - sample.rate) / in_sample[0]) * max(len(label), 1)
     model = Model(vocabulary, idf, None, label, found.column("doc_id").to_pylist(), votes, sample.rate, Platt(1.0, 0.0))
     weights = model.weighted(rows, place, counts, len(label))
     model.index = BlockMaxIndex(rows, place, weights, len(label), len(vocabulary.terms))
-    raw, edge = np.full(len(label), sample.rate), np.searchsorted(rows, np.arange(len(label) + 1))
+    raw = np.full(len(label), sample.rate)
     for r in np.flatnonzero(np.diff(edge)).tolist():
         a, b = edge[r], edge[r + 1]
         raw[r] = model.vote(*model.index.nearest(place[a:b], weights[a:b], NEIGHBOURS, without=r))
