@@ -2,7 +2,7 @@
 
 A transducer rewrites homoglyphs, spelled digits and written-out at and dot signs, and keeps for every rewritten piece
 where it came from. The plain patterns run over its output too; a span found there that holds a rewritten piece is
-mapped back to the source characters and added, unless a plain span of its kind lies there already.
+mapped back to the source characters and added, unless it lies within a plain span of its kind.
 """
 
 from __future__ import annotations
@@ -197,7 +197,10 @@ def _signs(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of disguised identifiers, in characters of the source; none overlaps a base span of its kind."""
+    """Spans of disguised identifiers, in characters of the source; none lies within a base span of its kind.
+
+    A base span may be the plain part of a disguised identifier; both are kept then.
+    """
     steps = []
     if not text.isascii() and not _glyph_set().isdisjoint(text):
         steps.append(_rewritten(text, _glyphs(text)))
@@ -207,13 +210,14 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         last = steps[-1].text()
     if not steps:
         return []
-    out, taken = [], [[s for s in base if s[0] == k] for k in range(len(KINDS))]
+    out, taken = [], [[s[1:] for s in base if s[0] == k] for k in range(len(KINDS))]
     for kind, start, end in plain_spans(last):
         changed = False
         for step in reversed(steps):
             start, end, own = step.back(start, end)
             changed |= own
-        if changed and all(end <= s or e <= start for _, s, e in taken[kind]):
+        at = bisect_right(taken[kind], (start, len(text)))
+        if changed and not (at and end <= taken[kind][at - 1][1]):
             out.append((kind, start, end))
     return out
 

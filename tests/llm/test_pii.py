@@ -87,3 +87,19 @@ def test_digits_in_long_runs_are_linear():
 def test_parts_of_many_zeros_are_numbers():
     text = "1." + "0" * 5000 + ".2.255 and 1." + "0" * 5000 + "256.2.3"
     assert pii.plain_spans(text) == [(1, 0, 5008)]
+
+
+@pytest.mark.parametrize("kind, text", [
+    ("email", "bоb@mail.example.com"), ("email", "john@example.cоm"), ("email", "maria@mail.example dot com"), ("phone", "+1 988 555-24８５"),
+    ("card", "4539 5787 6362 148６"),
+])
+def test_a_plain_part_does_not_hide_the_disguised_whole(kind, text):
+    around = f"é {text} é"
+    base = pii.plain_spans(around)
+    assert (pii.KINDS.index(kind), 2, 2 + len(text)) in pii.added_spans(around, base)
+    assert pii.redacted(around) == f"é [{kind.upper()}] é"
+
+
+def test_disguised_parts_of_plain_spans_are_not_added():
+    text = "é bob@mail.example.com 4539578763621486"
+    assert pii.added_spans(text, pii.plain_spans(text)) == []
