@@ -45,8 +45,12 @@ SPELLED = {
     "sept": "7", "huit": "8", "neuf": "9", "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5",
     "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-# Ends of host names that a written-out dot may lead to; prose has the word before other words too.
-ENDINGS = "com net org edu gov mil int info biz io dev app ai co me eu de fr es it nl at ch uk us ca br mx ar cl pt pl se".split()
+# Ends of host names that a written-out dot may lead to where no at sign stands before the host.
+ENDINGS = frozenset("com net org edu gov mil int info biz io dev app ai co me eu de fr es it nl at ch uk us ca br mx ar cl pt pl se".split())
+# Endings that are words after "at some point".
+_PROSE_ENDINGS = frozenset("at it me us".split())
+# Before a written-out dot they tell "look at the dot over there" from a host; no host is named so.
+DETERMINERS = frozenset("the a an this that these those each every any some no one which what another its his her my your our their same".split())
 #: Unicode has no compatibility form of a single ASCII character from here on.
 MOST_CODE = 0x20000
 #: Words that must follow one another before they are read as digits; prose has single ones.
@@ -55,32 +59,34 @@ LEAST_SPELLED = 3
 _SPELLED_WORD = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + ")"
 _TOKEN = rf"(?:{_SPELLED_WORD}\b|[0-9]+)"
 _OPEN, _CLOSE = r"(?<!\s)\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
-_AT, _DOT = "(?:at|arroba|@)", "(?:dot|punto|punkt|point|\\.)"
-_BARE_DOT = r"\s+(?:dot|punto|punkt)\s+"
-#: Up to five labels and an ending, or a number, come after a written-out dot.
-_LEADS_ON = rf"(?=(?:[A-Za-z0-9-]+(?:{_BARE_DOT}|{_OPEN}{_DOT}{_CLOSE}|\.)){{0,5}}(?:{'|'.join(ENDINGS)}|[0-9]+)\b)"
-#: One step of the transducer, longest forms first. Sources of a rewritten piece are whole matches.
-_REWRITE = re.compile(
-    rf"(?P<at>{_OPEN}{_AT}{_CLOSE}|(?<=[A-Za-z0-9])(?:\s+(?:at|arroba)\s+(?=[A-Za-z0-9.-]+(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}{_LEADS_ON}))|\s+@\s*|\s*@\s+)(?=[A-Za-z0-9]))"
-    rf"|(?P<dot>{_OPEN}{_DOT}{_CLOSE}|(?<=[A-Za-z0-9]){_BARE_DOT}{_LEADS_ON})"
-    rf"|(?P<plus>\bplus\s+(?={_TOKEN}))"
-    rf"|(?P<run>\b{_TOKEN}(?:[ ,.-]{{1,2}}{_TOKEN})+)",
+_AT, _DOT = "(?:at|arroba|arobase|@)", "(?:dot|punto|punkt|point|\\.)"
+#: What may stand for an at or a dot sign, and the signs themselves, which lead on to others.
+_LINK = re.compile(
+    rf"(?P<at>{_OPEN}{_AT}{_CLOSE})|(?P<dot>{_OPEN}{_DOT}{_CLOSE})"
+    r"|(?<=[A-Za-z0-9])(?:\s++(?P<at_word>at|arroba|arobase)\s++|(?P<at_spaced>\s++@\s*+|\s*+@\s++)|\s++(?P<dot_word>dot|punto|punkt|point)\s++)(?=[A-Za-z0-9])"
+    r"|(?P<at_plain>@)(?=[A-Za-z0-9])|(?P<dot_plain>\.)(?=[A-Za-z0-9])",
     re.IGNORECASE,
 )
+_LABEL = re.compile(r"[A-Za-z0-9-]*+")
+_ENDING = re.compile(r"[A-Za-z]{2,}+|xn--[A-Za-z0-9-]++", re.IGNORECASE)
+#: The other steps of the transducer. Sources of a rewritten piece are whole matches.
+_REWRITE = re.compile(rf"(?P<plus>\bplus\s+(?={_TOKEN}))|(?P<run>\b{_TOKEN}(?:[ ,.-]{{1,2}}{_TOKEN})+)", re.IGNORECASE)
 _RUN_TOKEN = re.compile(_SPELLED_WORD + "|[0-9]+", re.IGNORECASE)
-#: Signs in a lower-cased text that the second step has something to rewrite; each is sought only where its letters occur.
+#: Signs in a lower-cased text that a step has something to rewrite; each is sought only where its letters occur.
+_SPACED = re.compile(r"\s@|@\s")
 _BRACKETED = re.compile(rf"[(\[{{<]\s*(?:{_AT}|{_DOT})\s*[)\]}}>]")
-_WRITTEN_DOT = re.compile(r"\s(?:dot|punto|punkt)\s")
+_WRITTEN_DOT = re.compile(r"\s(?:dot|punto|punkt|point)\s")
+_WRITTEN_AT = re.compile(r"\s(?:at|arroba|arobase)\s++[a-z0-9-]++\.[a-z0-9]")
 _SPELLED_RUN = re.compile(rf"{_SPELLED_WORD}[ ,.-]{{1,2}}{_TOKEN}[ ,.-]{{1,2}}{_TOKEN}")
 
 
-def _disguised(text: str) -> bool:
+def _linked(text: str) -> bool:
     low = text.lower()
     return bool(
-        ("@" in low and (" @" in low or "@ " in low))
+        ("@" in low and _SPACED.search(low))
         or (any(c in low for c in "([{<") and _BRACKETED.search(low))
-        or (any(w in low for w in ("dot", "punto", "punkt")) and _WRITTEN_DOT.search(low))
-        or _SPELLED_RUN.search(low)
+        or (any(w in low for w in ("dot", "punto", "punkt", "point")) and _WRITTEN_DOT.search(low))
+        or _WRITTEN_AT.search(low)
     )
 
 
@@ -184,16 +190,79 @@ def _glyphs(text: str) -> Iterator[tuple[int, int, str]]:
         yield m.start(), m.end(), table[ord(m.group())]
 
 
+class _Link:
+    """One match of _LINK, with the label behind it."""
+
+    def __init__(self, m: re.Match):
+        kind, _, form = m.lastgroup.partition("_")
+        self.sign, self.form, self.start, self.end = "@" if kind == "at" else ".", form, m.start(), m.end()
+        self.word = m.group(m.lastgroup).lower() if form == "word" else ""
+        self.stop = _LABEL.match(m.string, self.end).end()
+        self.label = m.string[self.end : self.stop].lower()
+        # Brackets and an at sign with white space are never prose.
+        self.rewritten = form in ("", "spaced")
+
+
+def _listed(link: _Link, text: str) -> bool:
+    """Whether a dot leads to a number or a known ending."""
+    head, after = link.label.partition("-")[0], text[link.stop : link.stop + 1]
+    return (head in ENDINGS or head.isdigit()) and (head != link.label or not (after.isalnum() or after == "_"))
+
+
+def _ends(at: _Link, before: str, dot: _Link, disguised: bool) -> bool:
+    """Whether the label behind a dot can end the host of an at sign; before is the label in front of the dot."""
+    if dot.label.isdigit():
+        return disguised
+    if not _ENDING.fullmatch(dot.label):
+        return False
+    if dot.word == "point" and at.word == "at":
+        return dot.label in ENDINGS - _PROSE_ENDINGS and before not in DETERMINERS
+    if dot.word == "point":
+        return len(dot.label) == 2 or dot.label in ENDINGS or before not in ENDINGS
+    if dot.word and at.word == "at":
+        return dot.label in ENDINGS or before not in DETERMINERS
+    # Sites are not mail hosts: "visit us at www.example.com".
+    return disguised or at.word != "at" or at.label != "www"
+
+
+def _links(text: str) -> Iterator[tuple[int, int, str]]:
+    """At and dot signs that are written out, spaced or in brackets. Every link is looked at a fixed number of times."""
+    links = [_Link(m) for m in _LINK.finditer(text)]
+    follows = [bool(a.label) and a.stop == b.start for a, b in zip(links, links[1:], strict=False)] + [False]
+    leads = False
+    for i in range(len(links) - 1, -1, -1):  # dots without an at sign before the host
+        link = links[i]
+        leads = link.sign == "." and (_listed(link, text) or (follows[i] and leads))
+        numbers = link.label[:1].isdigit() and text[link.start - 1 : link.start].isdigit()
+        link.rewritten |= leads and (link.word != "point" or numbers)
+    for i, at in enumerate(links):
+        if at.sign != "@":
+            continue
+        last, j, disguised = i, i, False
+        while follows[j] and links[j + 1].sign == ".":
+            before, j = links[j].label, j + 1
+            disguised |= links[j].form != "plain"
+            if _ends(at, before, links[j], disguised):
+                last = j
+        if last == i and not at.rewritten and at.form != "plain":
+            continue
+        for link in links[i : last + 1]:
+            link.rewritten = True
+        j = i - 1  # dots of the local part
+        while j >= 0 and links[j].sign == "." and links[j].end < links[j + 1].start and _LOCAL.issuperset(text[links[j].end : links[j + 1].start]):
+            links[j].rewritten |= links[j].word != "point" or at.word != "at"
+            j -= 1
+    yield from ((k.start, k.end, k.sign) for k in links if k.rewritten and k.form != "plain")
+
+
 def _signs(text: str) -> Iterator[tuple[int, int, str]]:
     for m in _REWRITE.finditer(text):
-        kind = m.lastgroup
-        if kind == "run":
-            words = list(_RUN_TOKEN.finditer(text, *m.span()))
-            if sum(w.group().lower() in SPELLED for w in words) >= LEAST_SPELLED:
-                yield from ((w.start(), w.end(), SPELLED[w.group().lower()]) for w in words if w.group().lower() in SPELLED)
-                # Commas and dots between spelled digits separate them like spaces.
-        else:
-            yield m.start(), m.end(), {"at": "@", "dot": ".", "plus": "+"}[kind]
+        if m.lastgroup == "plus":
+            yield m.start(), m.end(), "+"
+            continue
+        words = list(_RUN_TOKEN.finditer(text, *m.span()))
+        if sum(w.group().lower() in SPELLED for w in words) >= LEAST_SPELLED:
+            yield from ((w.start(), w.end(), SPELLED[w.group().lower()]) for w in words if w.group().lower() in SPELLED)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -205,7 +274,11 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     if not text.isascii() and not _glyph_set().isdisjoint(text):
         steps.append(_rewritten(text, _glyphs(text)))
     last = steps[-1].text() if steps else text
-    if _disguised(last):
+    linked = _linked(last)
+    if linked:
+        steps.append(_rewritten(last, _links(last)))
+        last = steps[-1].text()
+    if linked or _SPELLED_RUN.search(last.lower()):
         steps.append(_rewritten(last, _signs(last)))
         last = steps[-1].text()
     if not steps:

@@ -103,3 +103,32 @@ def test_a_plain_part_does_not_hide_the_disguised_whole(kind, text):
 def test_disguised_parts_of_plain_spans_are_not_added():
     text = "é bob@mail.example.com 4539578763621486"
     assert pii.added_spans(text, pii.plain_spans(text)) == []
+
+
+@pytest.mark.parametrize("text", [
+    "john at gmail.com", "ana arroba correo.es", "Ana AT mail.correo.hu", "bob at firma dot hu", "bob at firma dot co dot ru", "bob (at) firma dot jp",
+    "bob@firma dot hu", "bob @ firma dot museum", "jean arobase exemple point fr", "jean at exemple point fr", "jean@mail point exemple point ru",
+    "jean point dupont arobase exemple point fr", "john dot smith at gmail dot com", "bob at " + "a dot " * 40 + "com", "bob[arobase]exemple[point]fr",
+])
+def test_written_out_addresses(text):
+    around = f"é, {text}, é"
+    base = pii.plain_spans(around)
+    assert [s for s in pii.added_spans(around, base) if s[0] == 0] == [(0, 3, 3 + len(text))]
+    assert pii.redacted(around) == "é, [EMAIL], é"
+
+
+@pytest.mark.parametrize("text", [
+    "look at the dot over there", "at this point in time", "at the point where we are", "at one point me and you", "come at 3.30 or at 12.5", "he is at home. Then",
+    "un point de vue", "visit us at www.example.com", "at a dot beside it", "at noon, e.g. at e.g. noon",
+])
+def test_prose_with_at_and_dot_gets_no_spans(text):
+    assert pii.plain_spans(text) + pii.added_spans(text, pii.plain_spans(text)) == []
+
+
+def test_written_out_hosts_are_linear():
+    import time
+
+    start = time.process_time()
+    for text in ("a at b dot " * 100_000, "a dot " * 200_000, "a at " * 200_000, "a at b." * 150_000, "a arobase b point " * 60_000, "a.b@" * 200_000, "a-" * 500_000 + " at b.c"):
+        pii.added_spans(text, pii.plain_spans(text))
+    assert time.process_time() - start < 60
