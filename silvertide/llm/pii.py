@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -53,7 +53,7 @@ _PROSE_ENDINGS = frozenset("at it me us".split())
 DETERMINERS = frozenset("the a an this that these those each every any some no one which what another its his her my your our their same".split())
 #: Unicode has no compatibility form of a single ASCII character from here on.
 MOST_CODE = 0x20000
-#: Words that must follow one another before they are read as digits; prose has single ones.
+#: Words without digits among them must be so many before they are read as digits; no identifier is shorter.
 LEAST_SPELLED = 3
 
 _SPELLED_WORD = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + ")"
@@ -70,14 +70,21 @@ _LINK = re.compile(
 _LABEL = re.compile(r"[A-Za-z0-9-]*+")
 _ENDING = re.compile(r"[A-Za-z]{2,}+|xn--[A-Za-z0-9-]++", re.IGNORECASE)
 #: The other steps of the transducer. Sources of a rewritten piece are whole matches.
-_REWRITE = re.compile(rf"(?P<plus>\bplus\s+(?={_TOKEN}))|(?P<run>\b{_TOKEN}(?:[ ,.-]{{1,2}}{_TOKEN})+)", re.IGNORECASE)
-_RUN_TOKEN = re.compile(_SPELLED_WORD + "|[0-9]+", re.IGNORECASE)
+_PLUS = re.compile(rf"\bplus\s++(?={_TOKEN})", re.IGNORECASE)
+_RUN = re.compile(rf"\b{_TOKEN}(?:[ ,.-]{{1,2}}{_TOKEN})+", re.IGNORECASE)
+_SPELLED = re.compile(rf"\b{_SPELLED_WORD}\b", re.IGNORECASE)
 #: Signs in a lower-cased text that a step has something to rewrite; each is sought only where its letters occur.
 _SPACED = re.compile(r"\s@|@\s")
 _BRACKETED = re.compile(rf"[(\[{{<]\s*(?:{_AT}|{_DOT})\s*[)\]}}>]")
 _WRITTEN_DOT = re.compile(r"\s(?:dot|punto|punkt|point)\s")
+_SPELLED_PAIR = re.compile(rf"{_SPELLED_WORD}[ ,.-]{{1,2}}{_TOKEN}")
+_SPELLED_BEHIND = re.compile(rf"[0-9][ ,.-]{{1,2}}{_SPELLED_WORD}\b")
 _WRITTEN_AT = re.compile(r"\s(?:at|arroba|arobase)\s++[a-z0-9-]++\.[a-z0-9]")
-_SPELLED_RUN = re.compile(rf"{_SPELLED_WORD}[ ,.-]{{1,2}}{_TOKEN}[ ,.-]{{1,2}}{_TOKEN}")
+
+
+def _spelled(text: str) -> bool:
+    low = text.lower()
+    return bool(_SPELLED_BEHIND.search(low) or _SPELLED_PAIR.search(low))
 
 
 def _linked(text: str) -> bool:
@@ -174,7 +181,7 @@ class Normalised:
         return begin, stop, any(self.changed[i : j + 1])
 
 
-def _rewritten(text: str, step: Iterator[tuple[int, int, str]]) -> Normalised:
+def _rewritten(text: str, step: Iterable[tuple[int, int, str]]) -> Normalised:
     out, done = Normalised(text), 0
     for start, end, new in step:
         out.add(text[done:start], done, False)
@@ -232,8 +239,9 @@ def _links(text: str) -> Iterator[tuple[int, int, str]]:
     leads = False
     for i in range(len(links) - 1, -1, -1):  # dots without an at sign before the host
         link = links[i]
-        leads = link.sign == "." and (_listed(link, text) or (follows[i] and leads))
-        numbers = link.label[:1].isdigit() and text[link.start - 1 : link.start].isdigit()
+        after_number = text[link.start - 1 : link.start].isdigit() or (i > 0 and follows[i - 1] and links[i - 1].label in SPELLED)
+        numbers = after_number and (link.label[:1].isdigit() or link.label in SPELLED)
+        leads = link.sign == "." and (numbers or _listed(link, text) or (follows[i] and leads))
         link.rewritten |= leads and (link.word != "point" or numbers)
     for i, at in enumerate(links):
         if at.sign != "@":
@@ -255,14 +263,17 @@ def _links(text: str) -> Iterator[tuple[int, int, str]]:
     yield from ((k.start, k.end, k.sign) for k in links if k.rewritten and k.form != "plain")
 
 
-def _signs(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in _REWRITE.finditer(text):
-        if m.lastgroup == "plus":
-            yield m.start(), m.end(), "+"
-            continue
-        words = list(_RUN_TOKEN.finditer(text, *m.span()))
-        if sum(w.group().lower() in SPELLED for w in words) >= LEAST_SPELLED:
-            yield from ((w.start(), w.end(), SPELLED[w.group().lower()]) for w in words if w.group().lower() in SPELLED)
+def _plus(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in _PLUS.finditer(text):
+        yield m.start(), m.end(), "+"
+
+
+def _digits(text: str, mixed: bool) -> Iterator[tuple[int, int, str]]:
+    """Spelled digits of runs of spelled ones, and if mixed also of runs in which any stands among written ones."""
+    for m in _RUN.finditer(text):
+        words = [w for w in _SPELLED.finditer(text, *m.span()) if w.group().lower() in SPELLED]
+        if len(words) >= LEAST_SPELLED or (mixed and words and _DIGIT.search(m.group())):
+            yield from ((w.start(), w.end(), SPELLED[w.group().lower()]) for w in words)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -270,28 +281,46 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
 
     A base span may be the plain part of a disguised identifier; both are kept then.
     """
-    steps = []
+    steps, found, last = [], set(), text
+
+    def collect() -> None:
+        for kind, start, end in plain_spans(last):
+            changed = False
+            for step in reversed(steps):
+                start, end, own = step.back(start, end)
+                changed |= own
+            if changed:
+                found.add((kind, start, end))
+
     if not text.isascii() and not _glyph_set().isdisjoint(text):
         steps.append(_rewritten(text, _glyphs(text)))
-    last = steps[-1].text() if steps else text
-    linked = _linked(last)
-    if linked:
-        steps.append(_rewritten(last, _links(last)))
         last = steps[-1].text()
-    if linked or _SPELLED_RUN.search(last.lower()):
-        steps.append(_rewritten(last, _signs(last)))
+        collect()
+    if _linked(last) and (changes := list(_links(last))):
+        steps.append(_rewritten(last, changes))
+        last = steps[-1].text()
+        collect()
+    if changes := list(_plus(last)):
+        steps.append(_rewritten(last, changes))
         last = steps[-1].text()
-    if not steps:
-        return []
-    out, taken = [], [[s[1:] for s in base if s[0] == k] for k in range(len(KINDS))]
-    for kind, start, end in plain_spans(last):
-        changed = False
-        for step in reversed(steps):
-            start, end, own = step.back(start, end)
-            changed |= own
+        collect()
+    # A prose word behind an identifier can spoil it, so each way of reading digits adds what it finds.
+    before, seen = last, []
+    for mixed in (False, True) if _spelled(before) else ():
+        changes = list(_digits(before, mixed))
+        if changes != seen:
+            steps.append(_rewritten(before, changes))
+            last = steps[-1].text()
+            collect()
+            steps.pop()
+        seen = changes
+    # Of what lies within another span of its kind, only the other stays.
+    out, taken, reach = [], [[s[1:] for s in base if s[0] == k] for k in range(len(KINDS))], [0] * len(KINDS)
+    for kind, start, end in sorted(found, key=lambda s: (s[0], s[1], -s[2])):
         at = bisect_right(taken[kind], (start, len(text)))
-        if changed and not (at and end <= taken[kind][at - 1][1]):
+        if end > reach[kind] and not (at and end <= taken[kind][at - 1][1]):
             out.append((kind, start, end))
+        reach[kind] = max(reach[kind], end)
     return out
 
 

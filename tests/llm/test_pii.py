@@ -132,3 +132,29 @@ def test_written_out_hosts_are_linear():
     for text in ("a at b dot " * 100_000, "a dot " * 200_000, "a at " * 200_000, "a at b." * 150_000, "a arobase b point " * 60_000, "a.b@" * 200_000, "a-" * 500_000 + " at b.c"):
         pii.added_spans(text, pii.plain_spans(text))
     assert time.process_time() - start < 60
+
+
+@pytest.mark.parametrize("kind, text", [
+    ("card", "4539 5787 6362 14 eight six"), ("card", "4539 5787 6362 148 Six"), ("ip", "10.0.one.two"), ("ip", "10 dot 0 dot 1 dot two"),
+    ("phone", "+49 170 12 three 4567"), ("phone", "plus 49 170 1234567"), ("phone", "plus 49 170 12 drei 4567"),
+])
+def test_single_spelled_digits(kind, text):
+    around = f"call: {text}; end"
+    base = pii.plain_spans(around)
+    assert (pii.KINDS.index(kind), 6, 6 + len(text)) in pii.added_spans(around, base)
+    assert pii.redacted(around) == f"call: [{kind.upper()}]; end"
+    elsewhere = around + " a @ b"
+    assert pii.redacted(elsewhere) == pii.redacted(around) + " a @ b"
+
+
+@pytest.mark.parametrize("text, span", [
+    ("card 4539\u200b5787\u200b6362\u200b1486 one more", "4539\u200b5787\u200b6362\u200b1486"),
+    ("ip 192 dot 168 dot 1 dot 10 un deux trois quatre", "192 dot 168 dot 1 dot 10"),
+])
+def test_a_word_behind_does_not_spoil_an_identifier(text, span):
+    assert span in [text[s:e] for _, s, e in pii.added_spans(text, pii.plain_spans(text))]
+
+
+@pytest.mark.parametrize("text", ["un 12 et deux 3", "fİve six 7 sİx", "page 5 one two", "plus 3 or plus one", "one 1 two 2", "in 10.0 one"])
+def test_numbers_in_prose_get_no_spans(text):
+    assert pii.plain_spans(text) + pii.added_spans(text, pii.plain_spans(text)) == []
