@@ -2,7 +2,7 @@
 
 A page is good or not if the document that its path names is labelled. Outcomes are counted per host; a host's rate is
 shrunk towards that of its registered domain, that towards its suffix, and that towards the whole, each by a beta-binomial
-prior. The strength of a level's prior is estimated by moments from how much the rates below it differ beyond chance.
+prior. Suffixes of several labels are those of SHARED_SUFFIXES; an address is a domain and a suffix of its own. The strength of a level's prior is estimated by moments from how much the rates below it differ beyond chance.
 A host is blocked if even the upper bound of its posterior is below the bar. Everything is counted over all pages.
 """
 
@@ -18,6 +18,29 @@ RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
+# Suffixes of several labels below which anybody may register a name, by what they end in.
+SHARED_SUFFIXES = frozenset(
+    f"{label}.{ending}" for ending, labels in {
+        "uk": "ac co gov ltd me net nhs org plc police sch", "au": "asn com edu gov id net org", "nz": "ac co geek gen govt iwi kiwi maori net org school",
+        "za": "ac co edu gov law net nom org school web", "br": "adv art blog com eco edu eng far gov ind inf jus leg med mil net org tur tv",
+        "ar": "com edu gob gov int mil net org tur", "mx": "com edu gob net org", "co": "com edu gov mil net nom org", "pe": "com edu gob mil net nom org",
+        "ve": "co com edu gob info net org web", "uy": "com edu gub mil net org", "py": "com coop edu gov mil net org", "ec": "com edu fin gob gov info med net org pro",
+        "bo": "com edu gob int mil net org tv", "cl": "co gob gov mil", "cr": "ac co ed fi go or sa", "gt": "com edu gob ind mil net org", "do": "com edu gob gov mil net org web",
+        "jp": "ac ad co ed go gr lg ne or", "kr": "ac co go hs kg mil ms ne or pe re sc", "cn": "ac com edu gov mil net org", "tw": "club com edu game gov idv mil net org",
+        "hk": "com edu gov idv net org", "mo": "com edu gov net org", "sg": "com edu gov net org per", "my": "com edu gov mil name net org", "th": "ac co go in mi net or",
+        "id": "ac biz co desa go mil my net or sch web", "ph": "com edu gov mil net ngo org", "vn": "ac biz com edu gov health info int name net org pro",
+        "in": "ac co edu firm gen gov ind mil net nic org res", "pk": "biz com edu fam gob gov net org web", "bd": "ac com edu gov mil net org", "lk": "ac com edu gov net org sch",
+        "np": "com edu gov mil net org", "il": "ac co gov idf k12 muni net org", "tr": "av bel biz com dr edu gen gov info k12 name net org pol web", "sa": "com edu gov med net org pub sch",
+        "ae": "ac co gov mil net org sch", "qa": "com edu gov mil name net org sch", "kw": "com edu gov net org", "lb": "com edu gov net org", "jo": "com edu gov mil net org sch",
+        "eg": "com edu gov mil net org sci", "ma": "ac co gov net org press", "ng": "com edu gov mil mobi net org sch", "ke": "ac co go info me mobi ne or sc", "gh": "com edu gov mil org",
+        "tz": "ac co go ne or sc", "ug": "ac co com go ne or org sc", "zw": "ac co gov mil org", "pl": "com edu gov info net org waw", "hu": "co info org", "at": "ac co gv or",
+        "es": "com edu gob nom org", "pt": "com edu gov int net org publ", "fr": "asso com gouv nom prd tm", "it": "edu gov", "gr": "com edu gov net org", "cy": "ac biz com gov ltd net org",
+        "ua": "com edu gov in net org", "ru": "ac com edu gov int mil msk net org pp spb", "rs": "ac co edu gov in org", "ro": "arts com info nom org store www", "mt": "com edu net org",
+        "se": "ac org pp", "us": "ca fl ny tx wa", "com": "appspot blogspot br cn de eu firebaseapp gb githubusercontent herokuapp jpn onrender uk us wordpress za",
+        "net": "azurewebsites cloudfront gb se uk", "org": "ae eu us", "io": "github gitlab ngrok readthedocs", "app": "netlify vercel web", "dev": "deno fly pages workers",
+        "sh": "surge vercel",
+    }.items() for label in labels.split()
+) | {"s3.amazonaws.com", "k12.ca.us", "k12.tx.us", "k12.ny.us"}
 #: Share of good pages that a host must be able to have, and the width of the bound in standard deviations.
 BAR, WIDTH = 0.5, 1.645
 #: Strength of a prior in pages: the least, and the largest where rates differ by no more than chance.
@@ -79,13 +102,24 @@ def _shrunk(level: DataFrame) -> DataFrame:
     return level.withColumns({"mean": (F.col("good") + k * above) / (n + k), "weight": n + k})
 
 
+def with_domain(hosts: DataFrame) -> DataFrame:
+    """hosts with domain, the registered one, and suffix; user part, port and a last dot do not count."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("host", "(?s)^.*@", ""), ":[0-9]*$", ""), r"\.$", "")
+    address = F.col("bare").rlike(r"^([0-9]+\.){3}[0-9]+$|^\[")
+    parts, size = F.split("bare", "\\."), F.size(F.split("bare", "\\."))
+    last = lambda n: F.when(size <= n, F.col("bare")).otherwise(F.concat_ws(".", F.slice(parts, -F.least(n, size), n)))
+    shared = sorted(SHARED_SUFFIXES)
+    labels = F.when(last(F.lit(3)).isin(shared), 3).when(last(F.lit(2)).isin(shared), 2).otherwise(1)
+    named = hosts.withColumn("bare", bare).withColumn("labels", labels)
+    return named.withColumns({
+        "domain": F.when(address, F.col("bare")).otherwise(last(F.col("labels") + 1)),
+        "suffix": F.when(address, F.col("bare")).otherwise(last(F.col("labels"))),
+    }).drop("bare", "labels")
+
+
 def reputation(hosts: DataFrame) -> DataFrame:
     """(host, mean, deviation) of the posterior rate of good pages, from outcomes()."""
-    parts = F.split("host", "\\.")
-    named = materialize(hosts.select(
-        "host", "good", "n", F.concat_ws(".", F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2)).alias("domain"),
-        F.element_at(parts, -1).alias("suffix"),
-    ), "hosts")
+    named = materialize(with_domain(hosts.select("host", "good", "n")), "hosts")
     total = named.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     counts = [F.sum("good").alias("good"), F.sum("n").alias("n")]
     suffixes = _shrunk(named.groupBy("suffix").agg(*counts).withColumn("above", F.lit(((total.good or 0) + 1) / ((total.n or 0) + 2))))

@@ -47,3 +47,23 @@ def test_strength_by_moments():
     assert host_reputation.strength(10.0, 10, 1000) == host_reputation.STRONGEST
     assert host_reputation.strength(10 + 0.1 * 990, 10, 1000) == pytest.approx(9.0)
     assert host_reputation.strength(1e9, 10, 1000) == host_reputation.WEAKEST
+
+
+@pytest.mark.parametrize("host, domain, suffix", [
+    ("www.shop.co.uk", "shop.co.uk", "co.uk"), ("shop.com.br", "shop.com.br", "com.br"), ("co.uk", "co.uk", "co.uk"), ("me.github.io", "me.github.io", "github.io"),
+    ("u:p@a.h.net:80", "h.net", "net"), ("h.net.", "h.net", "net"), ("192.168.0.1:8080", "192.168.0.1", "192.168.0.1"), ("10.0.0.1", "10.0.0.1", "10.0.0.1"),
+    ("[2001:db8::1]:80", "[2001:db8::1]", "[2001:db8::1]"), ("b.s3.amazonaws.com", "b.s3.amazonaws.com", "s3.amazonaws.com"), ("", "", ""), ("net", "net", "net"),
+    ("a.b.example.org", "example.org", "org"),
+])
+def test_registered_domain(spark, host, domain, suffix):
+    row = host_reputation.with_domain(spark.createDataFrame([(host,)], "host string")).first()
+    assert (row.host, row.domain, row.suffix) == (host, domain, suffix)
+
+
+def test_owners_below_a_shared_suffix_do_not_share_a_prior(spark, labels):
+    urls = [f"http://{h}.bad.co.uk/en/{i}" for i in range(200) for h in "ab"] + [f"http://good{i % 9}.net/en/{500 + i}" for i in range(400)]
+    urls += [f"http://fine{i % 30}.co.uk/en/{500 + i}" for i in range(400)] + ["http://new.bad.co.uk/x", "http://other.co.uk/x"]
+    marks = [(i, 0, 0) for i in range(200)] + [(500 + i, 1, 0) for i in range(400)]
+    pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.host: r.verdict for r in host_reputation.judge(pages, labels(marks)).collect()}
+    assert got["new.bad.co.uk"] == "block" and got["other.co.uk"] == "allow"
