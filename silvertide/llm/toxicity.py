@@ -1,4 +1,4 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by the nearest labelled examples: TF-IDF cosine, exact over the chosen terms, by a block-max inverted index.
 
 Terms are words, the beginnings of words and repeated beginnings, lower-cased, as 64-bit hashes. The vocabulary is what tells the classes of
 the labelled sample apart most, by chi-squared; document frequencies are counted over all documents. The index holds for
