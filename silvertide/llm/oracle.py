@@ -102,6 +102,91 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM doc LEFT JOIN hit_words USING (r) LEFT JOIN found USING (r)
 """
 
+# CRC-32 from the polynomial: a table of 256 entries by rule, then one look-up per byte.
+_CRC_TABLE = """
+    crc_table AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)), lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY i) AS entries
+        FROM (SELECT unnest(range(256)) AS i)
+    )"""
+
+
+def _crc(value: str) -> str:
+    """CRC-32 of a text, from crc_table's entries."""
+    bytes_ = f"list_transform(range(strlen({value})), lambda k: ('0x' || substr(hex(encode({value})), 2 * k + 1, 2))::BIGINT)"
+    step = "lambda v, b: xor(v >> 8, entries[(xor(v, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), {step}), 4294967295)"
+
+
+_TURN_WORDS = r"len(regexp_extract_all(text, '[^\x{20}\x{09}-\x{0D}]+'))"
+
+OP12 = rf"""
+WITH {_CRC_TABLE},
+    turns AS (
+        SELECT conv_id, turn, words, md5(length(role) || ':' || role || text) AS mark
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, {_TURN_WORDS} AS words FROM
+            (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL))
+    ),
+    own AS (SELECT conv_id, list({{'mark': mark, 'words': words}} ORDER BY turn NULLS FIRST, mark) AS seq FROM turns GROUP BY conv_id),
+    heads AS (SELECT conv_id, seq, {_crc("conv_id::VARCHAR")} % 4 AS h FROM own, crc_table),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(b.seq, [])[1 : c.h], c.seq[c.h + 1 :]) AS seq
+        FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+    ),
+    paths AS (
+        SELECT conv_id, d, len(seq) = d AS ends, CASE WHEN d > 0 THEN seq[d].words ELSE 0 END AS words,
+            array_to_string(list_transform(seq[1 : d], lambda x: x.mark), '') AS path
+        FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM rebuilt)
+    ),
+    nodes AS (
+        SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+        FROM paths GROUP BY path
+    ),
+    children AS (SELECT substr(path, 1, 32 * (depth::INT - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    sums AS (
+        SELECT substr(path, 1, 32 * k::INT) AS path, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+        FROM (SELECT path, n_children, n_convs, words, unnest(range(depth + 1)) AS k FROM nodes LEFT JOIN children USING (path)) GROUP BY 1
+    )
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = substr(n.path, 1, 32 * (n.depth::INT - 1))
+"""
+
+OP13 = rf"""
+WITH {_CRC_TABLE},
+    texts AS (
+        SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents
+    ),
+    own AS (SELECT r, unnest(words) AS word FROM texts),
+    wanted AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+    buckets AS (SELECT word, {_crc("word")} % 10000 AS bucket FROM (SELECT word FROM own UNION SELECT word FROM wanted), crc_table),
+    s AS (SELECT bucket, count(*) AS n FROM own JOIN buckets USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS n FROM wanted JOIN buckets USING (word) GROUP BY bucket),
+    sizes AS (SELECT (SELECT count(*) FROM own) + 10000 AS s_all, (SELECT count(*) FROM wanted) + 10000 AS t_all),
+    gains AS (
+        SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * s_all / ((s.n + 1)::DOUBLE * t_all)))::BIGINT AS gain
+        FROM s LEFT JOIN t USING (bucket), sizes
+    ),
+    weights AS (
+        SELECT r, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM own JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r
+    ),
+    scored AS (
+        SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+            coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+        FROM texts LEFT JOIN weights USING (r)
+    ),
+    ranked AS (
+        SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features DESC) END AS place,
+            count(*) FILTER (WHERE n_features >= 20) OVER () AS n
+        FROM scored
+    )
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank FROM ranked
+"""
+
 
 def all_statements() -> dict[str, str]:
-    return {"op3_host_reputation": OP3, "op8_warc": OP8, "op10_decontaminate": OP10}
+    return {
+        "op3_host_reputation": OP3, "op8_warc": OP8, "op10_decontaminate": OP10, "op12_prefix_trie": OP12,
+        "op13_importance_resampling": OP13,
+    }

@@ -62,6 +62,28 @@ def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Co
     return df.withColumnsRenamed(aside), [named(aside.get(c, c)).alias(c) for c in df.columns]
 
 
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """df with the place (1, 2, 3, ...) of each row in the given order, without a task that sees all rows.
+
+    Rows are sorted by range and written; rows that the order cannot tell apart are spread by their place in df, which
+    should be a stored table. One row per range, a number that the cluster sets, gives the places to start from.
+    """
+    at, salt = spare_name(df, "at"), spare_name(df, "salt")
+    salted = df.withColumn(salt, F.monotonically_increasing_id())
+    ranged = salted.repartitionByRange(*order, salt).sortWithinPartitions(*order, salt).drop(salt)
+    stored = materialize(ranged.withColumn(at, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(named(at), 33)
+    sizes = {r[0]: r[1] for r in stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, starts = 0, []
+    for i in sorted(sizes):
+        starts.append((i, before))
+        before += sizes[i]
+    begin, range_no = spare_name(stored, "begin"), spare_name(stored, "range_no")
+    table = df.sparkSession.createDataFrame(starts, f"{range_no} long, {begin} long")
+    place = named(begin) + named(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return stored.join(F.broadcast(table), part == named(range_no)).withColumn(name, place).drop(at, begin, range_no)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes what this session has written by new_path(); call it when the results have been stored."""
     jvm = spark.sparkContext._jvm
