@@ -19,86 +19,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silvertide.llm.shared import materialize
-from silvertide.llm.text_buffers import ALNUM, LOWER, buffers, joined_words, pieces, word_spans
+from silvertide.llm.text_buffers import ALNUM, Words, buffers, pieces
 
 WINDOW = 10
 GRAM = 5
 #: Bytes of benchmark text that one broadcast index holds; a larger benchmark is taken in several blocks.
 BLOCK_BYTES = 16 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_STEP = np.uint64(0xD6E8FEB86659FD93)
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Words:
-    """Words of several texts: hashes, the text that each belongs to, and their bytes."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data = LOWER[data]
-        self.starts, self.stops, self.counts = word_spans(self.data, offsets, ALNUM)
-        self.row = np.repeat(np.arange(len(self.counts)), self.counts)
-        self.firsts = np.concatenate([[0], np.cumsum(self.counts)])
-        if len(self.data):
-            sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(self.data))[:-1], out=sums[1:])
-            raw = (sums[self.stops] - sums[self.starts]) * _powers(_INVERSE, len(self.data))[self.starts]
-            self.hashes = _mix(raw + (self.stops - self.starts).astype(np.uint64))
-        else:
-            self.hashes = np.zeros(0, np.uint64)
-
-    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the k words from each word on, and whether they lie in one text."""
-        n = len(self.hashes) - k + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        out = self.hashes[:n].copy()
-        for j in range(1, k):
-            out = out * _STEP + self.hashes[j : n + j]
-        return _mix(out), self.row[:n] == self.row[k - 1 :]
-
-    def winnowed(self, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the k-grams that are the least of a window of so many words inside one text."""
-        gram, _ = self.grams(k)
-        wide, n = window - k + 1, len(self.hashes) - window + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), gram[:0]
-        least = gram[:n].copy()
-        for j in range(1, wide):
-            np.minimum(least, gram[j : n + j], out=least)
-        least[self.row[:n] != self.row[window - 1 :]] = np.uint64(0xFFFFFFFFFFFFFFFF)
-        chosen = np.zeros(len(gram), bool)
-        for j in range(wide):
-            chosen[j : n + j] |= gram[j : n + j] == least
-        at = np.flatnonzero(chosen)
-        return at, gram[at]
-
-    def same(self, i: int, other: Words, j: int, n: int) -> bool:
-        """Whether n words from i on equal n words of other from j on, byte for byte."""
-        own, _, _ = joined_words(self.data, self.starts[i : i + n], self.stops[i : i + n])
-        its, _, _ = joined_words(other.data, other.starts[j : j + n], other.stops[j : j + n])
-        return len(own) == len(its) and bool((own == its).all())
-
-
 class Index:
     """Fingerprints of a block of benchmark items, for all lengths of window that occur."""
 
     def __init__(self, item_ids: list, texts: list[str]):
         column = pa.array(texts, pa.large_string())
         self.ids = item_ids
-        self.words = Words(*buffers(column))
+        self.words = Words(*buffers(column), ALNUM)
         self.tables = []
         at, gram = self.words.winnowed(GRAM, WINDOW)
         if len(at):
@@ -202,7 +136,7 @@ def _marker(block):
         ids, texts = block.value
         index = Index([None if x is None else str(x) for x in ids], texts)
         for rows, data, offsets in pieces(batches, "text"):
-            doc = Words(data, offsets)
+            doc = Words(data, offsets, ALNUM)
             hit, found = index.hits(doc)
             ranges, items = [[] for _ in doc.counts], [[] for _ in doc.counts]
             old_ranges, old_items = rows.column("hit_ranges"), rows.column("hit_items")

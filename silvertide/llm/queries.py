@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvertide.llm import (
-    decontaminate, host_reputation, importance, line_crf, mixing, pii, prefix_trie, quality_rules, simhash, slots, toxicity, warc,
+    decontaminate, host_reputation, importance, line_crf, lsh_forest, mixing, pii, prefix_trie, quality_rules, simhash,
+    slots, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicate_report(_table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -78,6 +83,6 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     named = (
         op1_simhash, op2_pii, op3_host_reputation, op4_mixing, op5_quality_rules, op6_toxicity, op7_virtual_slots, op8_warc,
-        op9_line_crf, op10_decontaminate, op12_prefix_trie, op13_importance_resampling,
+        op9_line_crf, op10_decontaminate, op11_lsh_forest, op12_prefix_trie, op13_importance_resampling,
     )
     return {f.__name__: f for f in named}
