@@ -16,9 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvertide.llm.decontaminate import _mix
 from silvertide.llm.labelled import Platt, fit_platt, fold, labelled_sample
-from silvertide.llm.text_buffers import NON_SPACE, byte_set, pieces, word_spans
+from silvertide.llm.text_buffers import NON_SPACE, byte_set, mixed, pieces, word_spans
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 #: Bounds of the labelled sample, by label.
@@ -45,7 +44,7 @@ def _span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.
     powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(position), base, np.uint64)]))
     back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(position), inverse, np.uint64)]))
     sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
-    return _mix((sums[stops] - sums[starts]) * back[starts] + (stops - starts).astype(np.uint64))
+    return mixed((sums[stops] - sums[starts]) * back[starts] + (stops - starts).astype(np.uint64))
 
 
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,10 +65,10 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     repeats = np.zeros(len(begins))
     if len(hashes) >= 3:
         inside = own[:-2] == own[2:]
-        windows = _mix(hashes[:-2] * np.uint64(3) + hashes[1:-1] * np.uint64(5) + hashes[2:] * np.uint64(7))
-        _, place, times = np.unique(_mix(windows + own[:-2].astype(np.uint64)), return_inverse=True, return_counts=True)
+        windows = mixed(hashes[:-2] * np.uint64(3) + hashes[1:-1] * np.uint64(5) + hashes[2:] * np.uint64(7))
+        _, place, times = np.unique(mixed(windows + own[:-2].astype(np.uint64)), return_inverse=True, return_counts=True)
         repeats = np.bincount(line[:-2], (times[place] > 1) & inside, len(begins))
-    whole = _mix(_span_hashes(data, begins[used], ends[used] - (data[ends[used] - 1] == 0x0A)) + row[used].astype(np.uint64))
+    whole = mixed(_span_hashes(data, begins[used], ends[used] - (data[ends[used] - 1] == 0x0A)) + row[used].astype(np.uint64))
     _, place, times = np.unique(whole, return_inverse=True, return_counts=True)
     letters = np.bincount(line, stops - starts, len(begins))
     share = lambda x, y: x[used] / np.maximum(y[used], 1)

@@ -18,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvertide.llm.decontaminate import Words, _mix
 from silvertide.llm.labelled import Platt, fit_platt, fold, labelled_sample
 from silvertide.llm.shared import materialize
-from silvertide.llm.text_buffers import pieces
+from silvertide.llm.text_buffers import ALNUM, Words, mixed, pieces
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 #: Bounds of the labelled sample.
@@ -46,16 +45,16 @@ def _beginnings(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     begin = np.zeros(len(longer), np.uint64)
     for j in range(size):
         begin = begin * np.uint64(256) + words.data[words.starts[longer] + j].astype(np.uint64)
-    return longer, _mix(begin + np.uint64(size << 40))
+    return longer, mixed(begin + np.uint64(size << 40))
 
 
 def _repeated(terms: np.ndarray, times: int) -> np.ndarray:
     """The terms that say that a beginning occurs at least so often in a text."""
-    return _mix(terms + np.uint64(times))
+    return mixed(terms + np.uint64(times))
 
 
 def _unmixed(x: np.ndarray) -> np.ndarray:
-    """What _mix() has made x of."""
+    """What mixed() has made x of."""
     x = (x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))) * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
     x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
     return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
@@ -75,7 +74,7 @@ def term_counts(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None
     Terms are words, beginnings of words, and beginnings that occur repeatedly. wanted: a table of the low bits of the
     hashes that matter; others are left out early, beginnings that repeat among them.
     """
-    words = Words(data, offsets)
+    words = Words(data, offsets, ALNUM)
     low = np.uint64((1 << 20) - 1)
     kept = lambda terms: np.arange(len(terms)) if wanted is None else np.flatnonzero(wanted[terms & low])
     near = kept(words.hashes)
