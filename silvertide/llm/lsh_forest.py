@@ -220,9 +220,10 @@ def _regions(nodes: DataFrame, most_docs: int, most_shingles: int) -> tuple[Data
     def split(keys: str, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
         keyed = chosen.select(F.explode(keys).alias("key"), "node", "n_shingles")
         sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("load")).where("docs > 1")
-        sized = keyed.join(sizes, "key")
         parts = F.greatest(F.ceil(F.col("docs") / most_docs), F.ceil(F.col("load") / most_shingles)).cast("int")
-        return sized.where(fits).select("key", "node"), sized.where(~fits).select("key", "node", parts.alias("parts"))
+        # Stored, as both results come from this join.
+        sized = materialize(keyed.join(sizes, "key").select("key", "node", parts.alias("parts"), fits.alias("fits")), "forest-regions")
+        return sized.where("fits").select("key", "node"), sized.where("NOT fits").select("key", "node", "parts")
 
     units, dense = split("shallow", nodes)
     deep_units, hot = split("deep", nodes.join(dense.select("node").distinct(), "node"))
@@ -246,7 +247,6 @@ def _chunk(parts: Column) -> Column:
 def _large_links(nodes: DataFrame, sets: DataFrame, most_docs: int, most_shingles: int) -> DataFrame:
     """Links within clusters that do not fit one task, region by region."""
     units, hot = _regions(nodes, most_docs, most_shingles)
-    hot = materialize(hot, "forest-hot")
     pivots = hot.groupBy("key", "parts").agg(F.min("node").alias("node")).select("key", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("chunk"))
     chunks = hot.select("key", "node", _chunk(F.col("parts")).alias("chunk")).union(pivots).distinct()
     first = units.union(chunks.select(F.xxhash64("key", "chunk").alias("key"), "node"))
