@@ -13,6 +13,7 @@ from silvertide.plans import adapters as A
 from silvertide.plans import marts, model, staging
 from silvertide.plans.deidentify import Keys, conform_requests, deidentify_clients, deidentify_transactions
 from silvertide.session import prepare, scratch_path
+from silvertide.sources import versions
 from silvertide.sources.tables import publish_gold
 
 # Test keys only; a deployment passes its own.
@@ -122,7 +123,7 @@ def published(t: Layers, name: str) -> DataFrame:
         path = t.scratch(name)
         publish_gold(_GOLD[name](t), path, *_LAYOUT.get(name, ()))
         _PUBLISHED[key] = path
-    return spark.read.parquet(_PUBLISHED[key])
+    return versions.read(spark, _PUBLISHED[key])
 
 
 def _ml(t: Layers) -> DataFrame:

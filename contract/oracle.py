@@ -569,6 +569,13 @@ def _aspect_rows() -> str:
     )
 
 
+def _aspects_of(names: tuple[str, ...]) -> str:
+    """The rows of published_aspects: those of the named tables, and one without aspects."""
+    own = f"SELECT * FROM ({_aspect_rows()}) WHERE tabla IN ({_list(names)})"
+    none = "NULL::VARCHAR, NULL::BOOLEAN, NULL::BOOLEAN, NULL::VARCHAR, NULL::INTEGER, NULL::BOOLEAN"
+    return f"{own} UNION ALL SELECT 'sin_aspectos', {none}, (SELECT count(*) FROM req)"
+
+
 def _preset(name: str, where: str) -> str:
     return (
         f"SELECT '{name}' AS periodo, count(*) AS n, CAST(min(fecha) AS VARCHAR) AS desde, "
@@ -590,6 +597,11 @@ SELECTS: dict[str, str] = {
     "backfill_hours": f"""SELECT id_transaccion, monto_clp, {_day('fecha')} AS fecha, nivel_riesgo_anomalia, es_registro_valido,
         coalesce(es_registro_valido AND NOT es_duplicado AND monto_clp >= 0, false) AS clasificada
         FROM fact WHERE hour(fecha_hora) BETWEEN 8 AND 19""",
+    "reload_hours": f"""SELECT if(hora = 10, 'ilegible', 'silver') AS tabla, CAST(fecha AS VARCHAR) AS fecha, hora, count(*) AS filas
+        FROM (SELECT CAST({_CAST_TS} AS DATE) AS fecha, CAST(hour({_CAST_TS}) AS INTEGER) AS hora FROM txn1) GROUP BY ALL""",
+    "published_versions": """SELECT 'anterior' AS version, canal, count(*) AS filas FROM fact WHERE canal = 'WEB' GROUP BY canal
+        UNION ALL SELECT 'actual', canal, count(*) FROM fact GROUP BY canal""",
+    "published_aspects": _aspects_of(("mart_anomalias", "dim_cliente", "fact_transacciones")),
     "pseudonymize": f"SELECT id_cliente, rut, left(sha256('{SALT}:' || rut), 16) AS rut_pseudo FROM cli",
     "mask_middle": f"""SELECT id_cliente, {_mask_middle('num_tarjeta', '*', 4, 4)} AS tarjeta,
         {_mask_middle('region', '#', 1, 0)} AS region, {_mask_middle('genero', '*', 1, 0)} AS genero FROM cli""",

@@ -22,7 +22,7 @@ from silvertide.plans import adapters as A
 from silvertide.plans import deidentify as D
 from silvertide.plans import governance as G
 from silvertide.plans import marts, model, serving, staging
-from silvertide.sources import bronze, tables
+from silvertide.sources import bronze, tables, versions
 from silvertide.streaming import silver as ST
 
 from .gold import TEST_KEYS, Layers, layers, plain, published
@@ -79,7 +79,7 @@ def silver_schema_cast(t: Layers) -> DataFrame:
     path = t.scratch("clientes_deidentified")
     for _ in range(2):
         tables.load_silver(t.silver_clients, path, schemas.SILVER_CLIENTS, "truncate")
-    return t.spark.read.parquet(path)
+    return versions.read(t.spark, path)
 
 
 @query("gold_partitioned")
@@ -122,6 +122,50 @@ def backfill_hours(t: Layers) -> DataFrame:
     )
 
 
+@query("reload_hours")
+def reload_hours(t: Layers) -> DataFrame:
+    """Two hours of every day are loaded again: one whose lines have all become unreadable, one that has been repaired."""
+    source, silver, rejected = t.scratch("transacciones"), t.scratch("silver"), t.scratch("rechazadas")
+    rows = A.with_hour(t.single_transactions)
+    without = F.when(F.col("hora") != 11, F.col("id_transaccion"))
+    bronze.write_bronze(rows.withColumn("id_transaccion", without), source)
+    span = t.raw("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    load = lambda hours: tables.load_hours(
+        t.spark, source, silver, bronze.days_between(*span), hours, A.TRANSACTIONS_AS_OF, TEST_KEYS, rejected
+    )
+    load(range(24))
+    bronze.write_bronze(rows.where("hora = 11"), source)
+    broken = rows.where("hora = 10").select(F.concat(F.lit("{"), "id_transaccion").alias("value"), "fecha", "hora")
+    broken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fecha", "hora").text(source)
+    load([10, 11])
+    kept = versions.read(t.spark, silver).select(F.lit("silver").alias("tabla"), "fecha", "hora")
+    refused = versions.read(t.spark, rejected).select(F.col("motivo").alias("tabla"), "fecha", "hora")
+    return kept.unionByName(refused).groupBy("tabla", "fecha", "hora").agg(F.count("*").alias("filas"))
+
+
+@query("published_versions")
+def published_versions(t: Layers) -> DataFrame:
+    """A table is replaced while its last version is being read: rows that each of the two readers sees."""
+    path = t.scratch("fact")
+    before = tables.publish_gold(t.fact.where("canal = 'WEB'"), path, ["fecha"])
+    after = tables.publish_gold(t.fact, path, ["fecha"])
+    count = lambda df, name: df.groupBy("canal").agg(F.count("*").alias("filas")).withColumn("version", F.lit(name))
+    return count(before, "anterior").unionByName(count(after, "actual"))
+
+
+@query("published_aspects")
+def published_aspects(t: Layers) -> DataFrame:
+    """Aspects that come with publication, and the one table that was published without them, each with its rows."""
+    frames = {"mart_anomalias": marts.build_anomaly_mart(t.fact), "dim_cliente": t.dim, "fact_transacciones": t.fact, "sin_aspectos": t.stg_requests}
+    paths = {name: t.scratch(name) for name in frames}
+    counts = None
+    for name, df in frames.items():
+        out = tables.publish_gold(df, paths[name], aspects=G.TABLE_ASPECTS.get(name))
+        row = out.agg(F.count("*").alias("filas")).withColumn("tabla", F.lit(name))
+        counts = row if counts is None else counts.unionByName(row)
+    return tables.published_aspects(t.spark, paths).join(counts, "tabla")
+
+
 # --- de-identification ------------------------------------------------------
 
 
@@ -788,7 +832,7 @@ def stream_silver(t: Layers) -> DataFrame:
     source, sink, checkpoint = _bronze_hours(t), t.scratch("silver"), t.scratch("checkpoint")
     for _ in range(2):  # the second run finds nothing new
         ST.stream_silver(t.spark, source, sink, checkpoint, A.CLIENTS_AS_OF, TEST_KEYS)
-    return t.spark.read.parquet(sink).drop("fecha", "hora")
+    return versions.read(t.spark, sink).drop("fecha", "hora")
 
 
 @query("stream_dedupe")

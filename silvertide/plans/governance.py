@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,22 +67,29 @@ def _quoted(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def as_properties(found: Aspects) -> dict[str, str]:
+    """Aspects as properties of a table."""
+    return {_PREFIX + name: str(value).lower() if isinstance(value, bool) else str(value) for name, value in vars(found).items()}
+
+
 def set_aspects(spark: SparkSession, table: str, aspects: Aspects) -> None:
-    """Record the aspects as properties of a published table."""
-    pairs = ", ".join(
-        f"'{_PREFIX}{name}' = '{_quoted(str(value).lower() if isinstance(value, bool) else str(value))}'"
-        for name, value in vars(aspects).items()
-    )
+    """Record the aspects as properties of a catalog table."""
+    pairs = ", ".join(f"'{name}' = '{_quoted(value)}'" for name, value in as_properties(aspects).items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
 def aspects(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
-    """Aspects of some published tables, one row each, read back from the catalog."""
-    names = list(Aspects.__dataclass_fields__)
-    rows = []
+    """Aspects of some catalog tables, one row each, read back from the catalog."""
+    found = {}
     for table in tables:
-        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-        rows.append((table.split(".")[-1], *[props.get(_PREFIX + n) for n in names]))
+        found[table.split(".")[-1]] = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return aspects_frame(spark, found)
+
+
+def aspects_frame(spark: SparkSession, properties: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """One row per table from its properties; what is not set is null."""
+    names = list(Aspects.__dataclass_fields__)
+    rows = [(table, *[own.get(_PREFIX + n) for n in names]) for table, own in properties.items()]
     text = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in ("tabla", *names)))
     return text.select(
         "tabla", "sensitivity_level",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,16 +40,25 @@ def readable(lines: DataFrame) -> DataFrame:
     return lines.where(broken.isNull()).drop(CORRUPT)
 
 
-def split_rejected(lines: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows that can be loaded, and the others with `motivo`: unreadable, or without a required value."""
+def mark_rejected(lines: DataFrame, required: Sequence[str]) -> DataFrame:
+    """`motivo` says why a line cannot be loaded: unreadable, or without a required value. Null for all others."""
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
     reason = F.when(F.col(CORRUPT).isNotNull(), "ilegible").when(
         F.size(F.array_compact(F.array(*missing))) > 0, F.concat(F.lit("falta "), F.array_join(F.array(*missing), ", "))
     )
-    marked = lines.withColumn("motivo", reason)
+    return lines.withColumn("motivo", reason)
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be loaded, and the others with `motivo`."""
     return marked.where("motivo IS NULL").drop("motivo", CORRUPT), marked.where("motivo IS NOT NULL")
 
 
+def split_rejected(lines: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be loaded, and the others with `motivo`; each side reads the lines again."""
+    return split_marked(mark_rejected(lines, required))
+
+
 def rejected_lines(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
     """What `read_bronze` leaves out, and rows without a required value."""
     return split_rejected(read_bronze(spark, path, schema, keep_corrupt=True), required)[1]
@@ -89,6 +98,31 @@ def read_bronze_hours(
     return readable(lines)
 
 
+def read_named_hours(
+    spark: SparkSession, root: str, schema: T.StructType, hours: Collection[tuple[str, int]]
+) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """Lines of exactly the named (day, hour) pairs, broken ones kept, and the pairs that have arrived.
+
+    Folders are looked up with one pattern and read by their paths in one pass. Hours that have not arrived are skipped
+    with a warning.
+    """
+    named = {(str(d), int(h)) for d, h in hours}
+    typed = with_hour_partitions(with_corrupt(schema))
+    pattern = hour_paths(root, sorted({d for d, _ in named}), sorted({h for _, h in named})) if named else root
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = (target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target) or []) if named else []
+    paths: dict[str, tuple[str, int]] = {}
+    for f in found:
+        day, hour = (x.split("=", 1)[1] for x in str(f.getPath()).split("/")[-2:])
+        if (day, int(hour)) in named:
+            paths[str(f.getPath())] = (day, int(hour))
+    if missing := len(named) - len(set(paths.values())):
+        print(f"no input for {missing} of {len(named)} hours at {root}")
+    if not paths:
+        return spark.createDataFrame([], typed), []
+    return _reader(spark, typed).option("basePath", root).json(sorted(paths)), sorted(set(paths.values()))
+
+
 def previous_hour(as_of: datetime | str) -> tuple[str, int]:
     """Day and hour before the one of a run; just after midnight it is 23 of the day before."""
     moment = datetime.fromisoformat(str(as_of)) - timedelta(hours=1)

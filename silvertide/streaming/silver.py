@@ -13,7 +13,7 @@ from silvertide.functions.rules import money
 from silvertide.operators.latest import latest_per_key
 from silvertide.plans.deidentify import Keys
 from silvertide.sources.bronze import path_exists, readable
-from silvertide.sources.tables import load_hours
+from silvertide.sources.tables import load_named_hours
 
 
 def stream_bronze(spark: SparkSession, root: str, max_files: int | None = None, by_hour: bool = False) -> DataFrame:
@@ -49,15 +49,9 @@ def stream_silver(
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        # One row per hour that has new files; days with the same hours are loaded together.
-        hours: dict[str, list[int]] = {}
-        for r in batch.select(F.col("fecha").cast("string").alias("fecha"), F.col("hora").cast("int").alias("hora")).distinct().collect():
-            hours.setdefault(r.fecha, []).append(r.hora)
-        days: dict[tuple[int, ...], list[str]] = {}
-        for day, own in sorted(hours.items()):
-            days.setdefault(tuple(sorted(own)), []).append(day)
-        for own, together in days.items():
-            load_hours(spark, root, sink, together, own, as_of, keys, rejected)
+        # One row per hour that has new files; all of them are loaded in one step.
+        touched = batch.select(F.col("fecha").cast("string").alias("fecha"), F.col("hora").cast("int").alias("hora")).distinct().collect()
+        load_named_hours(spark, root, sink, [(r.fecha, r.hora) for r in touched], as_of, keys, rejected)
 
     run_batches(stream_bronze(spark, root, max_files, by_hour=True), write, checkpoint)
 

@@ -6,7 +6,7 @@ from contract.gold import TEST_KEYS
 from silvertide import schemas
 from silvertide.plans import adapters as A
 from silvertide.plans.deidentify import deidentify_transactions
-from silvertide.sources import bronze, tables
+from silvertide.sources import bronze, tables, versions
 from silvertide.streaming import silver as ST
 
 
@@ -26,10 +26,10 @@ def test_stream_equals_batch_and_runs_once(spark, layers, tmp_path):
     run()
     run()
     want = deidentify_transactions(layers.single_transactions, A.CLIENTS_AS_OF, TEST_KEYS)
-    got = spark.read.parquet(sink)
+    got = versions.read(spark, sink)
     assert got.count() == 1000 and got.drop("fecha", "hora").exceptAll(want).count() == 0
     tables.load_hours(spark, source, sink, bronze.days_between("2024-01-01", "2024-01-31"), range(24), A.CLIENTS_AS_OF, TEST_KEYS)
-    assert spark.read.parquet(sink).count() == 1000  # batch and stream replace the same partitions
+    assert versions.read(spark, sink).count() == 1000  # batch and stream replace the same partitions
 
 
 def test_late_files_and_broken_lines(spark, tmp_path):
@@ -38,13 +38,13 @@ def test_late_files_and_broken_lines(spark, tmp_path):
     hour = tmp_path / "in" / "fecha=2026-03-25" / "hora=10"
     _drop(hour, "1.json", [_txn("a", "2026-03-25T10:10:00Z"), "{broken", {"region": "R1"}])
     run()
-    assert [r.id_transaccion for r in spark.read.parquet(sink).collect()] == ["a"]
-    bad = {(r.motivo, r._corrupt_record, r.hora) for r in spark.read.parquet(rejected).collect()}
+    assert [r.id_transaccion for r in versions.read(spark, sink).collect()] == ["a"]
+    bad = {(r.motivo, r._corrupt_record, r.hora) for r in versions.read(spark, rejected).collect()}
     assert bad == {("ilegible", "{broken", 10), ("falta id_transaccion", None, 10)}
     _drop(hour, "2.json", [_txn("b", "2026-03-25T09:00:00Z")])
     _drop(tmp_path / "in" / "fecha=2026-03-24" / "hora=23", "3.json", [_txn("c", "2026-03-24T23:30:00Z")])
     run()
-    assert sorted(r.id_transaccion for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
+    assert sorted(r.id_transaccion for r in versions.read(spark, sink).collect()) == ["a", "b", "c"]
     lost = bronze.rejected_lines(spark, str(hour), schemas.BRONZE_TRANSACTIONS, ["id_transaccion"])
     assert lost.count() == 2 and bronze.read_bronze(spark, str(hour), schemas.BRONZE_TRANSACTIONS).count() == 3
 

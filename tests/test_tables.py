@@ -7,7 +7,7 @@ from silvertide.plans import adapters as A
 from silvertide.plans import deidentify as D
 from silvertide.plans import governance as G
 from silvertide.plans import marts, model, serving, staging
-from silvertide.sources import bronze, tables
+from silvertide.sources import bronze, tables, versions
 
 
 @pytest.fixture
@@ -59,13 +59,13 @@ def test_hours_load_again_in_place(spark, hourly, tmp_path):
         spark, hourly, sink, bronze.days_between("2024-01-01", "2024-01-30"), hours, when, TEST_KEYS
     )
     run(range(24), "2024-02-01 00:00:00")
-    assert spark.read.parquet(sink).count() == 1000
+    assert versions.read(spark, sink).count() == 1000
     run([8, 9], "2024-02-02 00:00:00")
-    stamps = spark.read.parquet(sink).groupBy("fecha_deidentify", F.col("hora").isin(8, 9).alias("again")).count().collect()
+    stamps = versions.read(spark, sink).groupBy("fecha_deidentify", F.col("hora").isin(8, 9).alias("again")).count().collect()
     assert sum(r["count"] for r in stamps) == 1000
     assert all(r["fecha_deidentify"].startswith("2024-02-02") == r["again"] for r in stamps)
     tables.load_hours(spark, hourly, sink, ["2030-01-01"], [1], "2024-02-02", TEST_KEYS)
-    assert spark.read.parquet(sink).count() == 1000
+    assert versions.read(spark, sink).count() == 1000
 
 
 def test_previous_hour_of_a_run(spark, hourly, tmp_path):
@@ -73,7 +73,7 @@ def test_previous_hour_of_a_run(spark, hourly, tmp_path):
     assert bronze.previous_hour("2026-01-01T11:59:00") == ("2026-01-01", 10)
     sink = str(tmp_path / "silver")
     tables.load_previous_hour(spark, hourly, sink, "2024-01-10 14:20:00", TEST_KEYS)
-    assert {(str(r.fecha), r.hora) for r in spark.read.parquet(sink).select("fecha", "hora").distinct().collect()} == {("2024-01-10", 13)}
+    assert {(str(r.fecha), r.hora) for r in versions.read(spark, sink).select("fecha", "hora").distinct().collect()} == {("2024-01-10", 13)}
 
 
 def test_backfill_rebuilds_gold(spark, layers, hourly, tmp_path):
@@ -81,22 +81,27 @@ def test_backfill_rebuilds_gold(spark, layers, hourly, tmp_path):
     tables.load_clients(layers.clients, f"{silver}/clientes", A.CLIENTS_AS_OF, TEST_KEYS)
     for _ in range(2):
         tables.load_requests(layers.requests, f"{silver}/solicitudes", "2024-02-01")
-    assert spark.read.parquet(f"{silver}/solicitudes").count() == layers.requests.count()
+    assert versions.read(spark, f"{silver}/solicitudes").count() == layers.requests.count()
     run = lambda hours: tables.backfill(spark, hourly, silver, gold, "2024-01-01", "2024-01-30", hours, A.TRANSACTIONS_AS_OF, TEST_KEYS)
     first, second = run(range(12)), run(range(12, 24))
     assert set(first) == set(tables.GOLD_LAYOUT)
     counts = [made["fact_transacciones"].count() for made in (first, second)]
     assert 0 < counts[0] < counts[1] == layers.fact.count()
     assert second["fact_transacciones_ml"].count() == layers.distances.count()
+    # Another process finds the last complete set; every table carries its aspects.
+    found = tables.current_gold(spark, gold)
+    assert set(found) == set(first) and found["fact_transacciones"].count() == counts[1]
+    paths = {n: f"{gold}/{n}" for n in G.TABLE_ASPECTS if n in tables.GOLD_LAYOUT} | {t: f"{silver}/{n}" for n, t in tables.SILVER_TABLES.items()}
+    assert len(paths) == 9 and tables.published_aspects(spark, paths).where("data_owner IS NULL").count() == 0
 
 
 def test_load_modes_and_required_key(spark, layers, tmp_path):
     sink = str(tmp_path / "clients")
     load = lambda df, mode: tables.load_silver(df, sink, schemas.SILVER_CLIENTS, mode)
     assert load(layers.silver_clients, "append") and load(layers.silver_clients, "append")
-    assert spark.read.parquet(sink).count() == 300
-    assert load(layers.silver_clients, "truncate") and spark.read.parquet(sink).count() == 150
-    assert not load(layers.silver_clients.limit(0), "truncate") and spark.read.parquet(sink).count() == 150
+    assert versions.read(spark, sink).count() == 300
+    assert load(layers.silver_clients, "truncate") and versions.read(spark, sink).count() == 150
+    assert not load(layers.silver_clients.limit(0), "truncate") and versions.read(spark, sink).count() == 150
     with pytest.raises(Exception, match="id_cliente is required"):
         load(layers.silver_clients.withColumn("id_cliente", F.lit(None).cast("string")), "append")
     with pytest.raises(ValueError):
