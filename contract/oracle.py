@@ -741,6 +741,11 @@ SELECTS: dict[str, str] = {
         JOIN nation ON n_name = c.comuna JOIN region r ON r_regionkey = n_regionkey WHERE c.region <> r.r_name""",
     "business_days": f"""SELECT o_orderkey, {_day('dia')} AS dia, habil FROM orders
         JOIN cal ON cal.dia = CAST(o_orderdate AS DATE)""",
+    "business_calendar": f"""SELECT {_day('c.dia')} AS dia, habil, strftime(c.dia, '%m-%d') IN ({_FEASTS}) AS festivo,
+        CAST(c.ordinal AS INTEGER) AS ordinal, {_day('w.dia')} AS siguiente_habil, coalesce(pedidos, 0) AS pedidos
+        FROM cal c JOIN workday w ON w.ordinal = c.ordinal + 1
+        LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS dia, count(*) AS pedidos FROM orders GROUP BY 1) o ON o.dia = c.dia
+        WHERE c.dia <= (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)""",
     "add_business_days": f"""SELECT o_orderkey, {_day('cal.dia')} AS dia, {_day('w.dia')} AS limite FROM orders
         JOIN cal ON cal.dia = CAST(o_orderdate AS DATE) JOIN workday w ON w.ordinal = cal.ordinal + 15""",
     "request_state": f"""SELECT id_solicitud, {_day('visto')} AS visto, {_day('limite')} AS limite, {_day('resolucion')} AS resolucion,
@@ -775,6 +780,11 @@ SELECTS: dict[str, str] = {
     "training_count": "SELECT count(*) AS total FROM dist WHERE arcop_estado <> 'ELIMINADO'",
     "stream_silver": f"SELECT {_S_TXN}, {_iso(f'CAST({CLIENTS_DAY} AS TIMESTAMP)')} AS fecha_deidentify FROM txn1",
     "stream_dedupe": f"""SELECT DISTINCT id_transaccion, id_cliente, monto_clp, {_stamp(_CAST_TS)} AS fecha_hora FROM txn""",
+    "stream_alert_windows": f"""SELECT {_stamp('inicio')} AS desde, {_stamp("inicio + INTERVAL 1 HOUR")} AS hasta, region, count(*) AS total_alertas,
+        CAST(sum({_money('monto_clp')}) AS DOUBLE) AS monto_total_alertado, max(monto_clp) AS monto_maximo
+        FROM (SELECT *, date_trunc('hour', momento) AS inicio, max(momento) OVER () AS ultimo
+              FROM (SELECT *, {_CAST_TS} AS momento FROM txn1 WHERE score_anomalia >= 0.5))
+        WHERE inicio + INTERVAL 1 HOUR <= ultimo - INTERVAL 1 DAY GROUP BY inicio, region""",
     "stream_alerts": f"""SELECT {_stamp('inicio')} AS desde, region, count(*) AS total_alertas,
         CAST(sum({_money('monto_clp')}) AS DOUBLE) AS monto_total_alertado, max(monto_clp) AS monto_maximo
         FROM (SELECT *, date_trunc('hour', {_CAST_TS}) AS inicio FROM txn1 WHERE score_anomalia >= 0.5) GROUP BY inicio, region""",

@@ -695,6 +695,14 @@ def business_days(t: Layers) -> DataFrame:
     return orders.withColumn("habil", C.is_workday("dia"))
 
 
+@query("business_calendar")
+def business_calendar(t: Layers) -> DataFrame:
+    """The calendar of the days from the first order to the last, with the orders of each day."""
+    days = t.raw("orders").groupBy(F.to_date("o_orderdate").alias("dia")).agg(F.count("*").alias("pedidos"))
+    span = t.raw("orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    return C.business_calendar(t.spark, *span).join(days, "dia", "left").withColumn("pedidos", F.coalesce("pedidos", F.lit(0)))
+
+
 @query("add_business_days")
 def add_business_days(t: Layers) -> DataFrame:
     orders = t.raw("orders").select("o_orderkey", F.to_date("o_orderdate").alias("dia"))
@@ -847,6 +855,18 @@ def stream_dedupe(t: Layers) -> DataFrame:
     return t.spark.read.parquet(sink)
 
 
+@query("stream_alert_windows")
+def stream_alert_windows(t: Layers) -> DataFrame:
+    """Hourly windows that the watermark has closed, over three runs in the order of the event time."""
+    source, sink, checkpoint = t.scratch("bronze"), t.scratch("windows"), t.scratch("checkpoint")
+    day = F.dayofmonth("fecha_hora")
+    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        bronze.write_bronze(t.single_transactions.where(part), source, (), mode="append")
+        rows = ST.stream_bronze(t.spark, source).where(F.col("score_anomalia") >= 0.5)
+        ST.stream_alert_windows(rows, sink, checkpoint, delay="1 day")
+    return t.spark.read.parquet(sink)
+
+
 @query("stream_alerts")
 def stream_alerts(t: Layers) -> DataFrame:
     source, sink, checkpoint = t.scratch("bronze"), t.scratch("alerts"), t.scratch("checkpoint")

@@ -1,8 +1,9 @@
-"""Incremental forms of the hourly batches: each micro-batch ends in a write that can be repeated."""
+"""Incremental forms of the hourly batches: writes that can be repeated, and keyed state bounded by a watermark."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,8 @@ from pyspark.sql import functions as F
 
 from silvertide import schemas
 from silvertide.functions.rules import money
-from silvertide.operators.latest import latest_per_key
 from silvertide.plans.deidentify import Keys
-from silvertide.sources.bronze import path_exists, readable
+from silvertide.sources.bronze import readable
 from silvertide.sources.tables import load_named_hours
 
 
@@ -56,21 +56,64 @@ def stream_silver(
     run_batches(stream_bronze(spark, root, max_files, by_hour=True), write, checkpoint)
 
 
-def stream_dedupe(df: DataFrame, sink: str, checkpoint: str, keys: Sequence[str]) -> None:
-    """Append the rows whose key the sink does not have yet, however late they come.
+@dataclass(frozen=True)
+class Run:
+    """What a run over all available input did; late rows are those behind the watermark, which were dropped."""
+
+    batches: int
+    rows: int
+    late: int
+    most_state_rows: int
+
+
+def run_appended(df: DataFrame, sink: str, checkpoint: str) -> Run:
+    """Append a stateful stream's finished rows to a Parquet sink that takes each batch once, and stop."""
+    spark, kept = df.sparkSession, "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "1000000")
+    try:
+        query = df.writeStream.format("parquet").outputMode("append").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        steps = query.recentProgress
+    finally:
+        spark.conf.set(kept, before)
+    operators = [[o for o in step.stateOperators] for step in steps]
+    return Run(
+        len(steps), sum(step.numInputRows for step in steps), sum(o.numRowsDroppedByWatermark for own in operators for o in own),
+        max((sum(o.numRowsTotal for o in own) for own in operators), default=0),
+    )
+
+
+def stream_dedupe(
+    df: DataFrame, sink: str, checkpoint: str, keys: Sequence[str], event_time: str = "fecha_hora", delay: str = "40 days", salts: int = 8
+) -> Run:
+    """Append the first row of each key; a repetition within `delay` of event time is dropped, in whatever batch it comes.
 
-    Within a batch one row per key is kept, the first in the order of all columns; a key that an earlier batch brought
-    stays as it was. The sink's keys are joined by their columns alone; a batch that is run again finds its keys there.
+    The keys seen are state that is let go once the watermark, the latest event time less `delay`, has passed them; the
+    sink is never read. Rows behind the watermark are dropped and counted. A key that holds many rows is thinned on
+    `salts` tasks before its rows meet. Rows without an event time are told apart within their batch only.
     """
-    spark = df.sparkSession
+    at, salt = "_evento", "_reparto"
+    timed = df.withColumns({at: F.col(event_time).cast("timestamp"), salt: F.spark_partition_id() % salts}).withWatermark(at, delay)
+    single = timed.dropDuplicatesWithinWatermark([*keys, salt]).dropDuplicatesWithinWatermark(list(keys))
+    return run_appended(single.drop(at, salt), sink, checkpoint)
 
-    def write(batch: DataFrame, _: int) -> None:
-        new = latest_per_key(batch, keys, [])
-        if path_exists(spark, sink):
-            new = new.join(spark.read.parquet(sink).select(*keys), list(keys), "left_anti")
-        new.write.mode("append").parquet(sink)
 
-    run_batches(df, write, checkpoint)
+def stream_alert_windows(
+    df: DataFrame, sink: str, checkpoint: str, event_time: str = "fecha_hora", delay: str = "2 hours", width: str = "1 hour"
+) -> Run:
+    """Append alert counts by window of event time and region, each once and final, when the watermark has passed its end.
+
+    A row up to `delay` behind the latest event time still counts, one behind the watermark is dropped and counted in the
+    result of the run. Rows without an event time belong to no window. Partial sums are formed before rows are shuffled.
+    """
+    at = "_evento"
+    timed = df.withColumn(at, F.col(event_time).cast("timestamp")).withWatermark(at, delay)
+    closed = timed.groupBy(F.window(at, width).alias("ventana"), "region").agg(
+        F.count("*").alias("total_alertas"), F.sum(money("monto_clp")).alias("monto_total_alertado"), F.max("monto_clp").alias("monto_maximo")
+    )
+    final = closed.select(F.col("ventana.start").alias("desde"), F.col("ventana.end").alias("hasta"), "region", "total_alertas", "monto_total_alertado", "monto_maximo")
+    return run_appended(final, sink, checkpoint)
 
 
 def stream_alerts(df: DataFrame, sink: str, checkpoint: str, event_time: str = "fecha_hora") -> None:

@@ -196,6 +196,26 @@ def test_dates_out_of_range_touch_only_their_row(spark):
     assert [r["out"] for r in got] == [_walk(date(1, 1, 1), 5), None, date(9999, 12, 31), date(2026, 3, 9), None, None, None]
 
 
+def test_calendar_against_a_walk(spark):
+    got = C.business_calendar(spark, "2023-12-20", "2028-03-05").orderBy("dia").collect()
+    count = 0
+    for r in got:
+        work = _walk(r["dia"] - timedelta(days=1), 1) == r["dia"]
+        count += work
+        assert (r["habil"], r["ordinal"], r["siguiente_habil"]) == (work, count, _walk(r["dia"], 1))
+    assert len(got) == (date(2028, 3, 5) - date(2023, 12, 20)).days + 1 and sum(r["festivo"] for r in got) > 60
+    assert C.business_calendar(spark, "2026-01-02", "2026-01-01").count() == 0
+
+
+def test_calendar_of_other_holidays(spark):
+    df = spark.createDataFrame([(date(2024, 2, 28), 1), (date(2023, 2, 28), 1), (date(2399, 12, 31), 3), (date(1999, 12, 31), 521)], "d date, n int")
+    after = lambda pattern: [r[0] for r in df.select(C.business_days_after("d", "n", pattern)).collect()]
+    assert after(["2024-02-29"])[:2] == [date(2024, 3, 1), date(2023, 3, 1)] and after([])[:2] == [date(2024, 2, 29), date(2023, 3, 1)]
+    assert after([])[2:] == [date(2400, 1, 5), date(2001, 12, 31)]
+    every = [str(date(2024, 1, 1) + timedelta(days=i)) for i in range(366)]
+    assert after(every) == [None] * 4
+
+
 def test_workdays(spark):
     df = spark.createDataFrame([(date(2026, 1, 1) + timedelta(days=i),) for i in range(800)] + [(None,)], "d date")
     for r in df.select("d", C.is_workday("d").alias("w")).collect():
