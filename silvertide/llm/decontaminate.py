@@ -109,8 +109,9 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[list, list[str]]]
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of docs plus n_words, hit_ranges (begin and end of hit words, disjoint, in order) and hit_items.
 
-    hit_items holds the ids of the items that occur, as strings, without order. Null and empty texts have no words and
-    are never hit; null or empty items have no window. Items with the same id or text each count. Columns of docs named
+    hit_items holds the distinct ids of the items that occur, as sorted strings: several items with one id count once, and
+    items without an id hit words but have no id to list. Null and empty texts have no words and are never hit; null or
+    empty items have no window. Columns of docs named
     like the new ones are replaced. A benchmark above block_bytes is broadcast in blocks, one after the other, with
     the table written between them, so no task ever holds more than one block.
     """
@@ -140,13 +141,13 @@ def _marker(block):
             hit, found = index.hits(doc)
             ranges, items = [[] for _ in doc.counts], [[] for _ in doc.counts]
             old_ranges, old_items = rows.column("hit_ranges"), rows.column("hit_items")
-            for r in {int(x) for x in np.unique(doc.row[hit])} | set(np.flatnonzero(pc.list_value_length(old_items).to_numpy(zero_copy_only=False)).tolist()):
+            for r in {int(x) for x in np.unique(doc.row[hit])} | set(np.flatnonzero(pc.list_value_length(old_ranges).to_numpy(zero_copy_only=False)).tolist()):
                 own = np.concatenate([[False], hit[doc.firsts[r] : doc.firsts[r + 1]], [False]])
                 for x in old_ranges[r].as_py():
                     own[x["begin"] + 1 : x["end"] + 1] = True
                 turns = np.flatnonzero(own[1:] != own[:-1]).tolist()
                 ranges[r] = [{"begin": b, "end": e} for b, e in zip(turns[::2], turns[1::2], strict=True)]
-                items[r] = old_items[r].as_py() + [index.ids[i] for i in sorted(found[r]) if index.ids[i] is not None]
+                items[r] = sorted({*old_items[r].as_py(), *(index.ids[i] for i in found[r] if index.ids[i] is not None)})
             new = {"n_words": pa.array(doc.counts.astype(np.int64)), "hit_ranges": pa.array(ranges, ranges_type), "hit_items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new.get(name, rows.column(name)) for name in rows.schema.names], rows.schema.names)
 

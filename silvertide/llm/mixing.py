@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silvertide.llm.shared import materialize, named, spare_name
+from silvertide.llm.shared import materialize, named, plain_id, spare_name
 from silvertide.llm.text_buffers import NON_SPACE, pieces, word_spans
 
 WEIGHTS = (3, 1, 2)
@@ -156,17 +156,17 @@ def taken_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     Columns of docs may have any names besides doc_id, text and source.
     """
-    mark, place, taken_id, taken_mark, twice, some = (
-        spare_name(docs, n) for n in ("row_mark", "place", "taken_id", "taken_mark", "taken_twice", "taken_at_all")
-    )
+    place, taken_id, twice, some = (spare_name(docs, n) for n in ("place", "taken_id", "taken_twice", "taken_at_all"))
+    keys = [spare_name(docs, n) for n in ("no_id", "plain_id", "row_mark")]
     times = F.col("taken") / F.col("size")
-    turns = mix_documents(docs, seed).where("taken > 0").groupBy(F.col("doc_id").alias(taken_id), F.col("mark").alias(taken_mark)).agg(
+    turns = mix_documents(docs, seed).where("taken > 0").groupBy(F.col("doc_id").alias(taken_id), F.col("mark").alias(keys[2])).agg(
         F.count_if(times == 2).alias(twice), F.count(F.lit(1)).alias(some)
     )
-    own = Window.partitionBy("doc_id", mark).orderBy(mark)
-    placed = docs.withColumn(mark, row_mark()).withColumn(place, F.row_number().over(own))
-    joined = placed.join(turns, F.col("doc_id").eqNullSafe(F.col(taken_id)) & (F.col(mark) == F.col(taken_mark)))
-    taken = joined.where(F.col(place) <= F.col(some))
+    turns = turns.select(*(c.alias(n) for c, n in zip(plain_id(F.col(taken_id)), keys, strict=False)), keys[2], twice, some)
+    own = Window.partitionBy(*keys).orderBy(keys[2])
+    placed = docs.withColumns(dict(zip(keys, [*plain_id(F.col("doc_id")), row_mark()], strict=True)))
+    # The join and the numbering of repeated rows have the same keys: texts are shuffled once.
+    taken = placed.join(turns, keys).withColumn(place, F.row_number().over(own)).where(F.col(place) <= F.col(some))
     turn = F.explode(F.sequence(F.lit(1), F.when(F.col(place) <= F.col(twice), 2).otherwise(1))).alias(spare_name(docs, "turn"))
     columns = [named(c) for c in docs.columns]
     return taken.select(*columns, turn).select(*columns)

@@ -95,7 +95,7 @@ WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM do
     hit_words AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS w FROM hits) GROUP BY r),
     found AS (
         SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-        FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r
+        FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r
     )
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -53,6 +53,11 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def plain_id(column: Column) -> list[Column]:
+    """A column as two that are never null, so that joins and windows on them share one layout of the rows."""
+    return [column.isNull(), F.coalesce(column.cast("string"), F.lit(""))]
+
+
 def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
     """df with columns of these names under other ones, and the columns that give df's own names and order back.
 

@@ -19,9 +19,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from silvertide.llm.components import component_roots
-from silvertide.llm.shared import materialize, named, spare_name
+from silvertide.llm.shared import materialize, named, plain_id, spare_name
 from silvertide.llm.text_buffers import LOWER, NON_SPACE, joined_words, pieces, word_spans
 
 SEED = 42
@@ -202,13 +203,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all columns, that stand for their component: one for each.
 
-    Columns of docs may have any names besides doc_id and text. Of rows with equal doc_id and text any one stays.
+    Columns of docs may have any names besides doc_id and text. Of rows with equal doc_id and text the one stays whose
+    whole row has the least hash, whatever the order of the rows. Texts are shuffled once: the join and the choice among
+    equal rows have the same keys.
     """
-    mark, kept_id, kept_mark = (spare_name(docs, n) for n in ("text_mark", "kept_id", "kept_mark"))
-    found = near_duplicates(docs).select(F.col("component_id").alias(kept_id), F.col("component_mark").alias(kept_mark)).distinct()
-    marked = docs.withColumn(mark, text_mark())
-    own = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(mark) == F.col(kept_mark))
-    return marked.join(found, own, "left_semi").dropDuplicates(["doc_id", mark]).select(*map(named, docs.columns))
+    kept_id, turn = (spare_name(docs, n) for n in ("kept_id", "turn"))
+    own = [spare_name(docs, n) for n in ("no_id", "plain_id", "text_mark")]
+    found = near_duplicates(docs).select(F.col("component_id").alias(kept_id), F.col("component_mark").alias(own[2])).distinct()
+    found = found.select(*(c.alias(n) for c, n in zip(plain_id(F.col(kept_id)), own, strict=False)), own[2])
+    marked = docs.withColumns(dict(zip(own, [*plain_id(F.col("doc_id")), text_mark()], strict=True)))
+    hashed = [named(f.name) for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    first = Window.partitionBy(*own).orderBy(F.xxhash64(*hashed))
+    return marked.join(found, own, "left_semi").withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1).select(*map(named, docs.columns))
 
 
 def fingerprint_text(fp: Column) -> Column:

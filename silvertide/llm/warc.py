@@ -22,6 +22,8 @@ from silvertide.llm.shared import new_path
 
 #: Payloads from this size on are stored once.
 LEAST_SHARED = 100
+#: Most tasks that read ranges; beyond that a task reads several.
+READ_TASKS = 20_000
 SPLIT_BYTES = 8 << 20
 #: Members are looked for in pieces of this size.
 SCAN_BYTES = 1 << 20
@@ -186,7 +188,10 @@ def read_archives(spark: SparkSession, files: DataFrame, id_type: str = "bigint"
     response is computed from what was read and must equal the stored one; a revisit carries those of the full payload.
     """
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
-    ranges = files.select("path", "bytes", starts.alias("start")).repartition("path", "start")
+    ranges = files.select("path", "bytes", starts.alias("start"))
+    # A stated number of partitions is not merged; the rows of one partition are dealt out in turns.
+    tasks = max(1, min(ranges.count(), READ_TASKS))
+    ranges = ranges.coalesce(1).repartition(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page", "url", "payload_bytes", "payload_digest", "record_type", "refers"] + ["payload"] * with_payload

@@ -36,7 +36,7 @@ def fixture(seed):
     rng = random.Random(seed)
     vocabulary = ["Über", "été", "x", "y1", "z", "The", "cat", "sat", "on", "mat"] + ["w%d" % i for i in range(60)]
     say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, " ".join(say(rng.choice([1, 3, 9, 10, 11, 30, 60])))) for i in range(30)] + [(90, None), (91, ""), (92, "..."), (3, "x y z " * 9)]
+    items = [(i, " ".join(say(rng.choice([1, 3, 9, 10, 11, 30, 60])))) for i in range(30)] + [(90, None), (91, ""), (92, "..."), (3, "x y z " * 9), (None, "the cat sat on mat"), (None, "Über y1 z")]
     docs = []
     for i in range(120):
         text = say(rng.choice([0, 2, 9, 30, 200]))
@@ -52,9 +52,9 @@ def check(spark, documents, docs, items, **options):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     if options:
         marked = decontaminate.decontaminate(documents(docs), benchmark, **options)
-        got = [(r.doc_id, r.n_words, sum(x.end - x.begin for x in r.hit_ranges), sorted(set(r.hit_items))) for r in marked.collect()]
+        got = [(r.doc_id, r.n_words, sum(x.end - x.begin for x in r.hit_ranges), r.hit_items) for r in marked.collect()]
         wanted = [(d, n, h, k) for d, n, h, k, _, _ in brute(docs, items)]
-        assert sorted((a, b, c, len(d)) for a, b, c, d in got) == sorted(wanted)
+        assert sorted((a, b, c, len(d)) for a, b, c, d in got) == sorted(wanted) and all(r[3] == sorted(set(r[3])) for r in got)
     else:
         got = decontaminate.contamination_report(documents(docs), benchmark).collect()
         assert sorted(map(tuple, got)) == sorted(brute(docs, items))
@@ -62,13 +62,28 @@ def check(spark, documents, docs, items, **options):
 
 def test_report_equals_brute_force(spark, documents):
     docs, items = fixture(1)
-    items = list({i: (i, t) for i, t in items}.values())
+    check(spark, documents, docs, items)
+
+
+def test_repeated_and_missing_item_ids_equal_sql(spark, documents):
+    import duckdb
+
+    from silvertide.llm.oracle import OP10
+
+    docs, items = fixture(3)
+    items += [(5, items[5][1]), (5, items[6][1]), (None, items[7][1])]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    wanted = sorted(con.execute(OP10).fetchall())
+    assert wanted == sorted(brute(docs, items))
     check(spark, documents, docs, items)
 
 
 def test_blocks_give_what_one_index_gives(spark, documents):
     docs, items = fixture(2)
-    items = list({i: (i, t) for i, t in items}.values())
     check(spark, documents, docs, items, block_bytes=300)
 
 

@@ -60,3 +60,13 @@ def test_false_magic_is_passed_over():
     for split in (5, 50, len(blob)):
         found = [m for s in range(0, len(blob), split) for m in warc.members(io.BytesIO(blob), len(blob), s, min(s + split, len(blob)))]
         assert [warc.parse(m)[0]["warc-record-id"] for m in found] == [f"<urn:page:{i}>" for i in range(3)]
+
+
+def test_ranges_are_read_by_as_many_tasks(spark, tmp_path, monkeypatch):
+    files = warc.write_archives(warc.classified(pages(spark, [(i, f"u{i}", f"<p>{i}</p>" * 90) for i in range(80)])), f"file://{tmp_path}/x")
+    ranges = sum(-(-r.bytes // 500) for r in files.collect())
+    assert ranges > 10
+    for most, wanted in ((1000, ranges), (7, 7)):
+        monkeypatch.setattr(warc, "READ_TASKS", most)
+        found = warc.read_archives(spark, files, split_bytes=500)
+        assert found.rdd.getNumPartitions() == wanted and found.count() == 80
