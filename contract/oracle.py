@@ -695,6 +695,7 @@ SELECTS: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey,
             l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM lineitem) WHERE rn = 1""",
     "score_normalize": "SELECT id_transaccion, distancia_centroide, score_ml FROM ml",
+    "p95_sketches": f"SELECT count(DISTINCT {_day('fecha')}) AS dias, CAST(count(d) AS BIGINT) AS filas, true AS dentro FROM fixed WHERE d IS NOT NULL",
     "classify_p95": "SELECT id_transaccion, clasificacion_ml FROM ml",
     "regions_ratio": """SELECT region, total, round(CAST(total AS DOUBLE) / max(total) OVER () * 100, 0) AS porcentaje FROM (
         SELECT region, count(*) AS total FROM ml WHERE clasificacion_ml = 'ANOMALA' GROUP BY region

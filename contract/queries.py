@@ -527,6 +527,22 @@ def score_normalize(t: Layers) -> DataFrame:
     return S.score_normalize(published(t, "distances")).select("id_transaccion", "distancia_centroide", "score_ml")
 
 
+@query("p95_sketches")
+def p95_sketches(t: Layers) -> DataFrame:
+    """Sketches stored by day, one day replaced, and the percentile of all days: whether its rank is within the bound."""
+    path, rows = t.scratch("bocetos"), published(t, "distances")
+    daily = lambda df: S.quantile_sketches(df, "distancia_centroide", ["fecha"])
+    versions.replace_partitions(daily(rows), path, ["fecha"])
+    day = rows.agg(F.min("fecha")).first()[0]
+    versions.replace_partitions(daily(rows.where(F.col("fecha") == day)), path, ["fecha"], [(day,)])
+    stored = versions.read(t.spark, path)
+    cut = S.sketched_quantile(stored, 0.95)
+    below = F.avg((F.col("distancia_centroide") < cut).cast("double")) - 0.95 <= S.rank_error()
+    upto = F.avg((F.col("distancia_centroide") <= cut).cast("double")) - 0.95 >= -S.rank_error()
+    dias = stored.agg(F.countDistinct("fecha").alias("dias"), F.sum("filas").alias("filas"))
+    return rows.agg((below & upto).alias("dentro"), F.count("distancia_centroide").alias("n")).join(dias, F.col("n") == F.col("filas")).select("dias", "filas", "dentro")
+
+
 @query("classify_p95")
 def classify_p95(t: Layers) -> DataFrame:
     return S.classify_p95(published(t, "distances")).select("id_transaccion", "clasificacion_ml")

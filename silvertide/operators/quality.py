@@ -68,37 +68,44 @@ def check_accepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFra
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = SILVER_CHECKS) -> DataFrame:
     """One row per test: (prueba, tabla, columna, fallos, estado).
 
-    All not-null tests of a table share one scan; unique and accepted-values
-    tests are one grouped aggregate each, which merges repeats in the map tasks.
+    A table is scanned once for all of its tests: its tested cells are counted by column and value, repeats already in
+    the map tasks, and one more aggregate reads every test off these counts. A column that is only tested for nulls has
+    two values there.
     """
     results = []
     for table, df in tables.items():
         mine = [c for c in checks if c.table == table]
-        nulls = [c for c in mine if c.kind == "not_null"]
-        if nulls:
-            wide = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(c.name) for c in nulls])
-            results.append(
-                wide.unpivot([], [c.name for c in nulls], "prueba", "fallos")
-                .withColumn("tabla", F.lit(table))
-                .withColumn("columna", _lookup({c.name: c.column for c in nulls}, "prueba"))
-            )
-        for c in mine:
-            if c.kind == "not_null":
-                continue
-            failing = (
-                check_unique(df, c.column) if c.kind == "unique" else check_accepted(df, c.column, c.values)
-            )
-            results.append(
-                failing.agg(F.count("*").alias("fallos")).select(
-                    F.lit(c.name).alias("prueba"), "fallos", F.lit(table).alias("tabla"), F.lit(c.column).alias("columna")
-                )
-            )
+        if not mine:
+            continue
+        columns = list(dict.fromkeys(c.column for c in mine))
+        by_value = {c.column for c in mine if c.kind != "not_null"}
+        cells = [
+            F.struct(F.lit(i).alias("i"), (F.col(c).cast("string") if c in by_value else F.when(F.col(c).isNotNull(), F.lit(""))).alias("value"))
+            for i, c in enumerate(columns)
+        ]
+        counted = df.select(F.inline(F.array(*cells))).groupBy("i", "value").agg(F.count("*").alias("n"))
+        wide = counted.agg(*[_failures(c, columns.index(c.column)).alias(c.name) for c in mine])
+        results.append(
+            wide.unpivot([], [c.name for c in mine], "prueba", "fallos")
+            .withColumn("tabla", F.lit(table))
+            .withColumn("columna", _lookup({c.name: c.column for c in mine}, "prueba"))
+        )
     everything = reduce(DataFrame.unionByName, results)
     return everything.select(
         "prueba", "tabla", "columna", "fallos", F.when(F.col("fallos") == 0, "OK").otherwise("FALLA").alias("estado")
     )
 
 
+def _failures(check: Check, i: int) -> Column:
+    """Failures of a test from the counts (i, value, n): null rows, repeated values, or values outside of the list."""
+    own, value = F.col("i") == i, F.col("value")
+    if check.kind == "not_null":
+        return F.coalesce(F.sum(F.when(own & value.isNull(), F.col("n"))), F.lit(0).cast("long"))
+    if check.kind == "unique":
+        return F.count_if(own & value.isNotNull() & (F.col("n") > 1))
+    return F.count_if(own & ~value.isin(*check.values))
+
+
 def _lookup(mapping: Mapping[str, str], column: str) -> Column:
     pairs = [F.lit(x) for kv in mapping.items() for x in kv]
     return F.create_map(*pairs)[F.col(column)]

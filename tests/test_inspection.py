@@ -139,6 +139,16 @@ def test_suite_on_good_and_bad_tables(spark, layers):
     }
 
 
+def test_suite_scans_each_table_once(spark, layers, tmp_path):
+    for name, df in (("c", layers.silver_clients), ("t", layers.silver_transactions), ("r", layers.silver_requests)):
+        df.write.parquet(str(tmp_path / name))
+    c, t, r = (spark.read.parquet(str(tmp_path / n)) for n in "ctr")
+    checked = Q.run_checks({"clientes_deidentified": c, "transacciones_deidentified": t, "arcop_solicitudes": r})
+    assert checked._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 3
+    rows = Q.run_checks({"clientes_deidentified": c.limit(0)}).collect()
+    assert len(rows) == 6 and all(x["fallos"] == 0 for x in rows)
+
+
 def test_row_level_checks(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("z",)], "c string")
     assert Q.check_not_null(df, "c").count() == 2

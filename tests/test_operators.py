@@ -196,6 +196,29 @@ def test_dates_out_of_range_touch_only_their_row(spark):
     assert [r["out"] for r in got] == [_walk(date(1, 1, 1), 5), None, date(9999, 12, 31), date(2026, 3, 9), None, None, None]
 
 
+@pytest.mark.parametrize("shape", ["skewed", "tied", "one value"])
+def test_sketched_quantile_is_within_its_bound(spark, shape):
+    value = {"skewed": F.exp(F.col("id") % 9973 / 700.0), "tied": F.floor(F.sqrt(F.col("id") % 400)).cast("double"), "one value": F.lit(3.5)}[shape]
+    df = spark.range(60_000).select((F.col("id") % 13).alias("day"), value.alias("d")).union(spark.createDataFrame([(1, None), (2, float("nan")), (99, None)], "day long, d double"))
+    sketches = S.quantile_sketches(df, "d", ["day"]).cache()
+    assert sketches.agg(F.sum("filas")).first()[0] == 60_000 and sketches.where("day = 99").count() == 0
+    n = 60_000
+    for order in (F.col("day").desc(), F.hash("day")):
+        for share in (0.5, 0.95):
+            got = S.sketched_quantile(sketches.orderBy(order), share)
+            low, high = df.where("NOT isnan(d)").agg(F.count_if(F.col("d") < got), F.count_if(F.col("d") <= got)).first()
+            assert low / n - S.rank_error() <= share <= high / n + S.rank_error()
+
+
+def test_classification_by_sketches(spark):
+    df = spark.range(20_000).select(F.col("id").cast("double").alias("distancia_centroide"), F.lit(False).alias("es_anomalia_flag"))
+    stored = S.quantile_sketches(df, "distancia_centroide")
+    for options in ({"approx": True}, {"approx": True, "sketches": stored}):
+        odd = S.classify_p95(df, **options).where("clasificacion_ml = 'ANOMALA'").count()
+        assert abs(odd / 20_000 - 0.05) <= S.rank_error()
+    assert S.sketched_quantile(stored.limit(0), 0.95) is None and S.sketched_quantile(S.quantile_sketches(df.limit(0), "distancia_centroide"), 0.5) is None
+
+
 def test_calendar_against_a_walk(spark):
     got = C.business_calendar(spark, "2023-12-20", "2028-03-05").orderBy("dia").collect()
     count = 0
