@@ -624,6 +624,9 @@ SELECTS: dict[str, str] = {
         WHERE info_type = 'CHILE_RUT' GROUP BY ALL""",
     "pii_min_likelihood": "SELECT tabla, info_type, likelihood, count(*) AS hallazgos FROM allhits GROUP BY ALL",
     "pii_sample": "SELECT * FROM hits WHERE tabla = 'clientes_maestro'",
+    "pii_bounded_sample": """SELECT * FROM hits WHERE tabla = 'clientes_maestro'
+        AND id IN (SELECT id_cliente FROM cli ORDER BY md5(id_cliente), id_cliente LIMIT 100)
+        ORDER BY md5(id || '|' || campo || '|' || info_type || '|' || ocurrencia) LIMIT 250""",
     "pii_by_field": "SELECT tabla, campo, info_type, count(*) AS hallazgos FROM hits GROUP BY ALL",
     "pii_alerts": f"SELECT * REPLACE (left(muestra, 50) AS muestra) FROM hits WHERE {_ODD}",
     "pii_field_class": f"""SELECT tabla, campo, info_type, count(*) AS hallazgos, if({_ODD}, 'INESPERADO', 'esperado') AS clase
@@ -808,6 +811,7 @@ SELECTS: dict[str, str] = {
 
 # The report written as JSON and read back holds the same.
 SELECTS["report_json"] = SELECTS["pii_report"]
+SELECTS["scd2_table"] = SELECTS["scd2_merge"]
 
 
 def all_statements() -> dict[str, str]:

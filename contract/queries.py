@@ -22,7 +22,7 @@ from silvertide.plans import adapters as A
 from silvertide.plans import deidentify as D
 from silvertide.plans import governance as G
 from silvertide.plans import marts, model, serving, staging
-from silvertide.sources import bronze, tables, versions
+from silvertide.sources import bronze, histories, tables, versions
 from silvertide.streaming import silver as ST
 
 from .gold import TEST_KEYS, Layers, layers, plain, published
@@ -304,6 +304,11 @@ def pii_sample(t: Layers) -> DataFrame:
     return I.scan_pii(t.clients, "id_cliente", table="clientes_maestro")
 
 
+@query("pii_bounded_sample")
+def pii_bounded_sample(t: Layers) -> DataFrame:
+    return I.scan_pii(t.clients, "id_cliente", table="clientes_maestro", sample_rows=100, max_findings=250)
+
+
 @query("pii_by_field")
 def pii_by_field(t: Layers) -> DataFrame:
     return I.pii_by_field(_findings(t))
@@ -783,6 +788,15 @@ def scd2_merge(t: Layers) -> DataFrame:
     return H.scd2_merge(first, after, ["id_cliente"], ["arcop_estado", "score_crediticio", "region"], "2024-02-02 00:00:00")
 
 
+@query("scd2_table")
+def scd2_table(t: Layers) -> DataFrame:
+    columns = ("id_cliente", "arcop_estado", "score_crediticio", "region")
+    path = t.scratch("history")
+    for snapshot, day in zip(_snapshots(t), ("2024-01-01 00:00:00", "2024-02-02 00:00:00"), strict=True):
+        histories.merge_history(snapshot.select(*columns), path, ["id_cliente"], columns[1:], day)
+    return histories.read_history(t.spark, path)
+
+
 # --- model ------------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from .latest import latest_per_key
 ACTIVE, BLOCKED, DELETED = "ACTIVO", "BLOQUEADO", "ELIMINADO"
 CHANGE_KINDS = ("nuevos", "eliminados", "bloqueados", "reactivados")
 END_OF_TIME = "9999-12-31"
+#: Ids that one part of a change record may hold on average.
+IDS_PER_PART = 100_000
 
 
 def snapshot_states(prev: DataFrame, curr: DataFrame) -> DataFrame:
@@ -64,12 +67,15 @@ def snapshot_totals(curr: DataFrame) -> DataFrame:
     )
 
 
-def delta_records(prev: DataFrame, curr: DataFrame, day: date | str, parts: int = 1) -> DataFrame:
+def delta_records(prev: DataFrame, curr: DataFrame, day: date | str, parts: int | None = None) -> DataFrame:
     """The daily change record with one id array per kind of change, in as many `parte` as asked for.
 
-    Together the parts hold every id, whatever their number; `snapshot_delta` has the same changes as rows.
+    Together the parts hold every id, whatever their number; `snapshot_delta` has the same changes as rows. Without a
+    number, the changes are counted first and IDS_PER_PART go to a part.
     """
     changes = snapshot_delta(prev, curr, day)
+    if parts is None:
+        parts = max(1, ceil(changes.count() / IDS_PER_PART))
     part = F.pmod(F.xxhash64("id_cliente"), F.lit(parts)).cast("int")
     seed = curr.sparkSession.range(parts).select(
         F.lit(str(day)).alias("fecha"),
@@ -92,7 +98,7 @@ def delta_records(prev: DataFrame, curr: DataFrame, day: date | str, parts: int
     )
 
 
-def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Raise when a key is null: it could never match and would grow the history on every run."""
     return df.withColumns({
         k: F.coalesce(F.col(k), F.raise_error(F.lit(f"{k} is required")).cast(df.schema[k].dataType)) for k in keys
@@ -119,7 +125,7 @@ def scd2_merge(
     """
     keys = list(keys)
     columns = snapshot.columns
-    history, snapshot = (_with_keys(df, keys) for df in (history, snapshot))
+    history, snapshot = (with_keys(df, keys) for df in (history, snapshot))
     stamp = F.lit(str(as_of)).cast("timestamp")
     incoming = latest_per_key(snapshot, keys, newest or [])
     old = history.where("is_current").select(

@@ -6,6 +6,8 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
+from itertools import accumulate
+from math import ceil
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,10 @@ UNEXPECTED_FIELDS = (
     "descripcion", "comentario_operador", "categoria_gasto", "region", "comuna", "ocupacion",
 )
 QUOTE_LIMIT = 50
+#: Alerts that one part of a report may hold on average.
+ALERTS_PER_PART = 100_000
+#: Ranges of the sampling key, by its first three hex digits.
+KEY_RANGES = 4096
 
 
 @dataclass(frozen=True)
@@ -116,6 +122,22 @@ def cell_text(df: DataFrame, name: str) -> Column:
     return F.when(text.contains("E") & (F.abs(col) >= 1e-4) & (F.abs(col) < 1e16), plain).otherwise(text)
 
 
+def least_rows(df: DataFrame, key: Column, ties: Sequence[Column], n: int) -> DataFrame:
+    """The n rows with the least key, a lower-case hex text spread evenly; equal keys go by `ties`.
+
+    The same rows whatever the layout. A first pass counts the rows of KEY_RANGES ranges of the key; of the rows, only
+    those in the ranges that hold the n least are ordered, and each task sends on no more than n of them.
+    """
+    if n < 0:
+        raise ValueError("a number of rows cannot be negative")
+    digits = len(f"{KEY_RANGES - 1:x}")
+    head = F.left(key, F.lit(digits))
+    counts = {int(r[0], 16): r[1] for r in df.groupBy(head.alias("h")).agg(F.count("*").alias("n")).collect()}
+    reached = accumulate(counts.get(i, 0) for i in range(KEY_RANGES))
+    last = next((i for i, total in enumerate(reached) if total >= n), KEY_RANGES - 1)
+    return df.where(head <= f"{last:0{digits}x}").orderBy(key, *ties).limit(n)
+
+
 def scan_pii(
     df: DataFrame,
     id_col: str,
@@ -123,13 +145,31 @@ def scan_pii(
     detectors: Sequence[Detector] = DETECTORS,
     min_likelihood: str = MIN_LIKELIHOOD,
     table: str = "tabla",
+    sample_rows: int | None = None,
+    max_findings: int | None = None,
 ) -> DataFrame:
     """Every finding: (tabla, id, campo, info_type, muestra, likelihood, ocurrencia).
 
     Each cell becomes one narrow row, is scanned once per detector, and gives
-    its findings; nothing is shuffled. The whole table is read.
+    its findings; nothing is shuffled. The whole table is read, unless
+    `sample_rows` asks for that many rows, those with the least MD5 of the id (a
+    null id counts as empty text), then by their cells. `max_findings` keeps that
+    many findings, those with the least MD5 of id, field, type and occurrence.
     """
     names = list(fields) if fields is not None else [c for c in df.columns if c != id_col]
+    if sample_rows is not None:
+        own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+        df = least_rows(df.select(id_col, *names), F.md5(own.cast("binary")), [own, *[cell_text(df, c) for c in names]], sample_rows)
+    found = _scan(df, id_col, names, detectors, min_likelihood, table)
+    if max_findings is None:
+        return found
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("id", "campo", "info_type", "ocurrencia")]
+    return least_rows(found, F.md5(F.concat_ws("|", *place).cast("binary")), [*place, F.col("muestra")], max_findings)
+
+
+def _scan(
+    df: DataFrame, id_col: str, names: Sequence[str], detectors: Sequence[Detector], min_likelihood: str, table: str
+) -> DataFrame:
     cells = df.select(
         F.col(id_col).cast("string").alias("id"), *[cell_text(df, c).alias(c) for c in names]
     ).unpivot("id", names, "campo", "celda")
@@ -179,17 +219,20 @@ def pii_report(
     rows_scanned: DataFrame,
     threshold: str = MIN_LIKELIHOOD,
     unexpected: Iterable[str] = UNEXPECTED_FIELDS,
-    parts: int = 1,
+    parts: int | None = None,
 ) -> DataFrame:
     """Nested inspection report, one row per table and part.
 
     `rows_scanned` holds (tabla, registros_muestra). The counts are nested maps
     of a size set by the schema. The alert list is as long as there are alerts;
-    it is shared out over as many parts as asked for, which together hold every
-    alert, and `pii_alerts` has them as rows.
+    it is shared out over parts, which together hold every alert: as many as asked
+    for, or by the number of alerts, ALERTS_PER_PART to one. `pii_alerts` has
+    them as rows. `findings` is read several times, so pass a written table.
     """
     unexpected = tuple(unexpected)
     alerts = pii_alerts(findings, unexpected)
+    if parts is None:
+        parts = max(1, ceil(alerts.count() / ALERTS_PER_PART))
     by_type = pii_by_field(findings)
     by_field = by_type.groupBy("tabla", "campo").agg(
         F.map_from_entries(F.collect_list(F.struct("info_type", "hallazgos"))).alias("tipos")

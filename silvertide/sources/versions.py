@@ -175,22 +175,27 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Manife
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], scope: Collection[Sequence[object]] | None = None
+    df: DataFrame, path: str, partition_by: Sequence[str], scope: Collection[Sequence[object]] | None = None,
+    add_others: bool = False, based_on: int | None = None, properties: Mapping[str, str] | None = None,
 ) -> Manifest:
     """Replace the named partitions by the rows of df, all of them at once.
 
     scope: values of the partition columns. A named partition without rows in df is empty afterwards; rows outside of the
-    scope are an error, and nothing changes. Without a scope the partitions that df has are replaced.
+    scope are an error, and nothing changes, or with add_others they are added to their partitions. Without a scope the
+    partitions that df has are replaced. based_on is the version that df was made from (0: no table); when another writer
+    has published since, it is an error, and nothing changes.
     """
     spark, files, depth = df.sparkSession, Files(df.sparkSession, path), len(partition_by)
     snapshot = _write(df, path, partition_by, None)
     new = _partitions(files, path, snapshot, depth)
     named = set(new) if scope is None else {"/".join(f"{c}={v}" for c, v in zip(partition_by, values, strict=True)) for values in scope}
-    if stray := sorted(set(new) - named):
+    if not add_others and (stray := sorted(set(new) - named)):
         files.delete(f"{path}/data/{snapshot}")
         raise ValueError(f"rows outside of the named partitions: {stray[:3]}")
 
     def draft(last: Manifest | None) -> Manifest:
+        if based_on is not None and based_on != (last.version if last else 0):
+            raise RuntimeError(f"another writer has changed {path} since version {based_on}")
         kept = []
         for folder in last.folders if last else ():
             if "/" in folder:
@@ -200,7 +205,8 @@ def replace_partitions(
             left = [f"{folder}/{p}" for p in own if p not in named]
             kept += [folder] if len(left) == len(own) else left
         schema = last.schema if last else df.schema.json()
-        return Manifest(last.version + 1 if last else 1, schema, tuple(partition_by), (*kept, *([snapshot] if new else [])), _now(), dict(last.properties) if last else {})
+        known = (dict(last.properties) if last else {}) | dict(properties or {})
+        return Manifest(last.version + 1 if last else 1, schema, tuple(partition_by), (*kept, *([snapshot] if new else [])), _now(), known)
 
     return _publish(spark, path, draft)
 

@@ -88,6 +88,50 @@ def test_alerts_and_classes(spark):
     assert [r[0] for r in kinds.collect()] == ["esperado", "INESPERADO", "esperado"]
 
 
+def _least(values, n):
+    from hashlib import md5
+
+    return sorted(values, key=lambda v: (md5(v.encode()).hexdigest(), v))[:n]
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 400, 1000])
+def test_sample_is_the_least_ids_in_any_layout(spark, n):
+    texts = [f"u{i}@mail.cl y v{i}@mail.cl" for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, descripcion string")
+    for layout in (df, df.repartition(7), df.orderBy(F.col("id").desc())):
+        found = I.scan_pii(layout, "id", sample_rows=n).collect()
+        assert {r["id"] for r in found} == set(_least([str(i) for i in range(400)], n))
+        assert len(found) == 2 * min(n, 400)
+
+
+def test_sample_with_repeated_and_missing_ids(spark):
+    rows = [(1, f"a{i}@mail.cl") for i in range(200)] + [(None, "x@mail.cl")] * 150 + [(2, None)] * 50
+    df = spark.createDataFrame(rows, "id int, descripcion string")
+    kept = [I.scan_pii(d, "id", sample_rows=100).select("id", "muestra").collect() for d in (df, df.repartition(5))]
+    assert sorted(map(str, kept[0])) == sorted(map(str, kept[1]))
+    assert I.scan_pii(df, "id", sample_rows=400).count() == 350
+    assert I.scan_pii(df.limit(0), "id", sample_rows=5, max_findings=5).count() == 0
+
+
+def test_findings_have_a_bound(spark):
+    texts = [f"u{i}@mail.cl y v{i}@mail.cl" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, descripcion string")
+    places = [f"{i}|descripcion|EMAIL_ADDRESS|{k}" for i in range(300) for k in (1, 2)]
+    for layout in (df, df.repartition(7)):
+        found = I.scan_pii(layout, "id", max_findings=90).collect()
+        assert {f"{r['id']}|{r['campo']}|{r['info_type']}|{r['ocurrencia']}" for r in found} == set(_least(places, 90))
+    assert I.scan_pii(df, "id", max_findings=10_000).count() == 600
+
+
+def test_report_has_as_many_parts_as_its_alerts_need(spark, monkeypatch):
+    monkeypatch.setattr(I, "ALERTS_PER_PART", 50)
+    found = _scan(spark, [f"u{i}@mail.cl" for i in range(180)], table="t")
+    scanned = spark.createDataFrame([("t", 180)], "tabla string, registros_muestra long")
+    rows = I.pii_report(found, "2026-03-25 10:00:00", scanned).collect()
+    assert len(rows) == 4
+    assert sum(len(r["resultado"]["alertas_pii_inesperado"] or []) for r in rows) == 180
+
+
 def test_report_parts_hold_every_alert(spark):
     texts = [f"u{i}@mail.cl" for i in range(300)]
     found = _scan(spark, texts, table="t")
