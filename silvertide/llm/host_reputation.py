@@ -68,12 +68,12 @@ def rule_of() -> tuple[Column, Column]:
 
 
 def outcomes(parts: DataFrame, labels: DataFrame) -> DataFrame:
-    """(host, good, n): labelled pages of every host. The last number of a path names the document.
+    """(host, good, n): labelled pages of every host. The last number of a path names the document, unless it is no BIGINT.
 
     A page is good if its document has quality 1 and is not toxic; the worst label of a document counts.
     """
-    document = F.regexp_extract("path", "/([0-9]{1,18})[^/0-9]*/?$", 1)
-    named = parts.select("host", F.when(document != "", document.cast("long")).alias("doc_id"))
+    document = F.regexp_extract("path", "/([0-9]+)[^/0-9]*/?$", 1)
+    named = parts.select("host", document.try_cast("long").alias("doc_id"))
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("good")
     )

@@ -29,7 +29,7 @@ def _level(name: str, source: str, key: str) -> str:
 
 OP3 = rf"""
 WITH {_PARTS},
-    named AS (SELECT host, try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})[^/0-9]*/?$', 1), '') AS BIGINT) AS doc_id FROM parts),
+    named AS (SELECT host, try_cast(nullif(regexp_extract(path, '/([0-9]+)[^/0-9]*/?$', 1), '') AS BIGINT) AS doc_id FROM parts),
     marks AS (
         SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good
         FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id

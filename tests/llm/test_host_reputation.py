@@ -67,3 +67,21 @@ def test_owners_below_a_shared_suffix_do_not_share_a_prior(spark, labels):
     pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string")
     got = {r.host: r.verdict for r in host_reputation.judge(pages, labels(marks)).collect()}
     assert got["new.bad.co.uk"] == "block" and got["other.co.uk"] == "allow"
+
+
+def test_ids_of_nineteen_digits_count_and_longer_ones_do_not(spark, labels):
+    first = 9_000_000_000_000_000_000
+    rows = [(i, f"http://bad.net/en/{first + i}", "") for i in range(100)] + [(1000 + i, f"http://good.net/en/{i}", "") for i in range(300)]
+    rows += [(2000, f"http://bad.net/en/{first}0", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    marks = [(first + i, 0, 0) for i in range(100)] + [(i, 1, 0) for i in range(300)]
+    found = {r.host: (r.good, r.n) for r in host_reputation.outcomes(host_reputation.with_parts(pages), labels(marks)).collect()}
+    assert found == {"bad.net": (0, 100), "good.net": (300, 300)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", [r[:2] for r in rows])
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER, toxic INTEGER)")
+    con.executemany("INSERT INTO labels VALUES (?, ?, ?)", marks)
+    got = [tuple(r) for r in host_reputation.judge(pages, labels(marks)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, con.execute(OP3).fetchall()))
+    assert {(r[1], r[4]) for r in got} == {("bad.net", "block"), ("good.net", "allow")}
