@@ -51,6 +51,16 @@ ENDINGS = frozenset("com net org edu gov mil int info biz io dev app ai co me eu
 _PROSE_ENDINGS = frozenset("at it me us".split())
 # Before a written-out dot they tell "look at the dot over there" from a host; no host is named so.
 DETERMINERS = frozenset("the a an this that these those each every any some no one which what another its his her my your our their same".split())
+# Labels of hosts that serve mail; they tell "john at gmail.com" from "she works at amazon.com".
+MAIL_HOSTS = frozenset("gmail googlemail hotmail outlook live yahoo ymail aol icloud proton protonmail gmx mail email webmail correo courriel post".split())
+#: Words that announce an address, with no more than two words between.
+_CUE = re.compile(
+    r"\b(?:e-?mails?|mail|contact|contacts?|reach|write(?:\s+to)?|address|correo|contacto|escrib\w*|courriel|adresse|[ée]cri\w*|kontakt|schreib\w*)\b"
+    r"\W{1,4}(?:\w{1,12}\W{1,3}){0,2}$",
+    re.IGNORECASE,
+)
+#: Characters in front of a local part in which a cue is looked for.
+CUE_REACH = 60
 #: Unicode has no compatibility form of a single ASCII character from here on.
 MOST_CODE = 0x20000
 #: Words without digits among them must be so many before they are read as digits; no identifier is shorter.
@@ -73,11 +83,17 @@ _ENDING = re.compile(r"[A-Za-z]{2,}+|xn--[A-Za-z0-9-]++", re.IGNORECASE)
 _PLUS = re.compile(rf"\bplus\s++(?={_TOKEN})", re.IGNORECASE)
 _RUN = re.compile(rf"\b{_TOKEN}(?:[ ,.-]{{1,2}}{_TOKEN})+", re.IGNORECASE)
 _SPELLED = re.compile(rf"\b{_SPELLED_WORD}\b", re.IGNORECASE)
+#: Four numbers of an address, digit by digit, with dots as signs or as words.
+_NUMBER = rf"(?:[0-9]{{1,3}}|{_SPELLED_WORD}(?:[ -]{_SPELLED_WORD}){{0,2}})"
+_SPELLED_IP = re.compile(
+    rf"(?<![0-9A-Za-z])({_NUMBER})" + rf"(?:\s{{1,3}}(?:dot|punto|punkt|point)\s{{1,3}}|\.\s?)({_NUMBER})" * 3 + r"(?![0-9A-Za-z])", re.IGNORECASE
+)
 #: Signs in a lower-cased text that a step has something to rewrite; each is sought only where its letters occur.
 _SPACED = re.compile(r"\s@|@\s")
 _BRACKETED = re.compile(rf"[(\[{{<]\s*(?:{_AT}|{_DOT})\s*[)\]}}>]")
 _WRITTEN_DOT = re.compile(r"\s(?:dot|punto|punkt|point)\s")
 _SPELLED_PAIR = re.compile(rf"{_SPELLED_WORD}[ ,.-]{{1,2}}{_TOKEN}")
+_SPELLED_SIGN = re.compile(rf"{_SPELLED_WORD}(?:\s{{1,3}}(?:dot|punto|punkt|point)\s{{1,3}}|\.)(?:{_SPELLED_WORD}|[0-9])|[0-9](?:\s{{1,3}}(?:dot|punto|punkt|point)\s{{1,3}}|\.){_SPELLED_WORD}", re.IGNORECASE)
 _SPELLED_BEHIND = re.compile(rf"[0-9][ ,.-]{{1,2}}{_SPELLED_WORD}\b")
 _WRITTEN_AT = re.compile(r"\s(?:at|arroba|arobase)\s++[a-z0-9-]++\.[a-z0-9]")
 
@@ -232,6 +248,23 @@ def _ends(at: _Link, before: str, dot: _Link, disguised: bool) -> bool:
     return disguised or at.word != "at" or at.label != "www"
 
 
+def _addressed(text: str, at: _Link, labels: list[str]) -> bool:
+    """Whether a bare "at" before a plain host stands in an address and not in prose.
+
+    It does if the host serves mail, if the local part is none of prose (a digit, dot, underscore, plus, percent in it), or
+    if a cue announces it and the host ends as hosts do.
+    """
+    if not MAIL_HOSTS.isdisjoint(labels):
+        return True
+    start = at.start
+    while start > 0 and text[start - 1] in _LOCAL:
+        start -= 1
+    local = text[start : at.start]
+    if any(c in "._+%" or c.isdigit() for c in local.strip(".")) and any(c.isalpha() for c in local):
+        return True
+    return (labels[-1] in ENDINGS or len(labels[-1]) == 2) and bool(_CUE.search(text[max(0, start - CUE_REACH) : start]))
+
+
 def _links(text: str) -> Iterator[tuple[int, int, str]]:
     """At and dot signs that are written out, spaced or in brackets. Every link is looked at a fixed number of times."""
     links = [_Link(m) for m in _LINK.finditer(text)]
@@ -246,12 +279,16 @@ def _links(text: str) -> Iterator[tuple[int, int, str]]:
     for i, at in enumerate(links):
         if at.sign != "@":
             continue
-        last, j, disguised = i, i, False
+        last, j, disguised, chosen = i, i, False, False
         while follows[j] and links[j + 1].sign == ".":
             before, j = links[j].label, j + 1
             disguised |= links[j].form != "plain"
             if _ends(at, before, links[j], disguised):
-                last = j
+                last, chosen = j, disguised
+        if last > i and at.word == "at" and not chosen:
+            ending = text[links[last].end : links[last].stop]
+            if ending not in (ending.lower(), ending.upper()) or not _addressed(text, at, [k.label for k in links[i : last + 1]]):
+                last = i
         if last == i and not at.rewritten and at.form != "plain":
             continue
         for link in links[i : last + 1]:
@@ -276,6 +313,14 @@ def _digits(text: str, mixed: bool) -> Iterator[tuple[int, int, str]]:
             yield from ((w.start(), w.end(), SPELLED[w.group().lower()]) for w in words)
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Addresses with numbers that are spelled digit by digit."""
+    for m in _SPELLED_IP.finditer(text):
+        numbers = [_SPELLED.sub(lambda w: SPELLED[w.group().lower()], g).replace(" ", "").replace("-", "") for g in m.groups()]
+        if all(n.isdigit() for n in numbers) and any(n != g for n, g in zip(numbers, m.groups(), strict=True)):
+            yield m.start(), m.end(), ".".join(numbers)
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of disguised identifiers, in characters of the source; none lies within a base span of its kind.
 
@@ -296,6 +341,10 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         steps.append(_rewritten(text, _glyphs(text)))
         last = steps[-1].text()
         collect()
+    if _SPELLED_SIGN.search(last) and (changes := list(_addresses(last))):
+        steps.append(_rewritten(last, changes))
+        last = steps[-1].text()
+        collect()
     if _linked(last) and (changes := list(_links(last))):
         steps.append(_rewritten(last, changes))
         last = steps[-1].text()

@@ -158,3 +158,71 @@ def test_a_word_behind_does_not_spoil_an_identifier(text, span):
 @pytest.mark.parametrize("text", ["un 12 et deux 3", "fİve six 7 sİx", "page 5 one two", "plus 3 or plus one", "one 1 two 2", "in 10.0 one"])
 def test_numbers_in_prose_get_no_spans(text):
     assert pii.plain_spans(text) + pii.added_spans(text, pii.plain_spans(text)) == []
+
+
+@pytest.mark.parametrize("text", [
+    "we met at google.com yesterday", "he works at amazon.com", "arrived at berlin.The next day", "see you at noon.then we go", "meet me at last.fm",
+    "She looked at him.He left", "more at wikipedia.org and at example.net", "contact him at noon.then we go", "we stopped at lyon.Le lendemain",
+    "buy it at shop.example.com/cart", "version one.two is out", "at one.five percent",
+])
+def test_bare_at_in_prose_is_no_address(text):
+    assert pii.plain_spans(text) + pii.added_spans(text, pii.plain_spans(text)) == []
+
+
+@pytest.mark.parametrize("kind, text, span", [
+    ("email", "write to bob at firma.example.com today", "bob at firma.example.com"), ("email", "e-mail: jane at example.org", "jane at example.org"),
+    ("email", "j.doe at firma.de", "j.doe at firma.de"), ("email", "see bob7 at example.net", "bob7 at example.net"),
+    ("email", "schreiben Sie an max at firma.de", "max at firma.de"), ("email", "x Ana at GMAIL.COM", "Ana at GMAIL.COM"),
+    ("ip", "host one nine two dot one six eight dot one dot one up", "one nine two dot one six eight dot one dot one"),
+    ("ip", "eins null punkt null punkt null punkt fünf", "eins null punkt null punkt null punkt fünf"),
+    ("ip", "host un neuf deux point 168 point un point deux", "un neuf deux point 168 point un point deux"),
+    ("ip", "one-zero.0.0.seven", "one-zero.0.0.seven"),
+])
+def test_bare_at_with_evidence_and_spelled_addresses(kind, text, span):
+    base = pii.plain_spans(text)
+    assert [(pii.KINDS[k], text[s:e]) for k, s, e in pii.added_spans(text, base)] == [(kind, span)]
+
+
+# A written set: every identifier in every carrier (four languages), and prose that holds none.
+CARRIERS = [
+    "Please note {} for later.", "Yesterday they gave me {}, I think", "Bitte notieren Sie {} für morgen.", "Gestern bekam ich {}, glaube ich",
+    "Notez {} pour demain.", "Hier on m'a donné {}, je crois", "Anote {} para mañana.", "Ayer me dieron {}, creo",
+]
+IDENTIFIERS = [
+    ("email", "anna (at) firma (dot) de"), ("email", "anna [at] firma.de"), ("email", "anna at firma dot de"), ("email", "anna @ firma.de"),
+    ("email", "anna.k at firma.de"), ("email", "anna at gmail.com"), ("email", "anna at firma.de"), ("email", "ana arroba correo punto es"),
+    ("email", "anne arobase exemple point fr"), ("email", "аnna@firma.de"), ("email", "anna＠firma.de"), ("email", "anna@firma punkt de"),
+    ("ip", "10 dot 0 dot 0 dot 7"), ("ip", "one zero dot zero dot zero dot seven"), ("ip", "10.0.zero.seven"), ("ip", "１０.0.0.7"),
+    ("ip", "eins null punkt null punkt null punkt sieben"), ("ip", "un zéro point zéro point zéro point sept"),
+    ("card", "4539 5787 6362 one four eight six"), ("card", "4539​578763621486"), ("card", "４539578763621486"),
+    ("card", "four five three nine five seven eight seven six three six two one four eight six"),
+    ("phone", "plus 49 170 1234567"), ("phone", "＋49 170 1234567"), ("phone", "+49 one seven zero 1234567"),
+    ("phone", "plus four nine one seven zero one two three four five six seven"),
+]
+PROSE = [
+    "We met at google.com for lunch.", "She works at amazon.com now.", "They arrived at berlin.The next day it rained.", "See you at noon.then we go.",
+    "Meet me at last.fm tonight.", "He is good at it.Me too.", "Look at the dot on the page.", "At one point me and you agreed.",
+    "Version one dot two is out.", "He ran 3 at 4 dot.", "One, two, three and (at) home.", "At 12.5 percent it stops.",
+    "Wir sahen uns am Punkt der Karte.", "Das ist ein Punkt für dich.", "Eins, zwei, drei und vier Leute.", "Er kam um acht. Um neun ging er.",
+    "Null Punkt für ihn, zwei Punkte für sie.", "Sie las auf heise.de davon.", "Der Punkt eins ist klar.", "Um 10.30 Uhr sind es 2.5 Grad.",
+    "Un point de vue comme un autre.", "Un, deux, trois, quatre soleils.", "À un point tel que deux sont partis.", "Le point com a changé.",
+    "Il lit sur lemonde.fr le matin.", "Au point un, zéro point trois.", "Sept ou huit personnes, neuf peut-être.", "Il est 8.30, à 2.5 km.",
+    "Un punto de vista claro.", "Uno, dos, tres y cuatro gatos.", "Punto y aparte, dijo ella.", "Lo vio en elpais.es ayer.",
+    "Hasta cierto punto es verdad.", "A las 10.30 hay 2.5 grados.", "Dos o tres puntos más.", "El punto uno es claro.",
+]
+
+
+def test_written_set():
+    right = wrong = 0
+    for kind, identifier in IDENTIFIERS:
+        for carrier in CARRIERS:
+            text = carrier.format(identifier)
+            start = text.index(identifier)
+            spans = pii.plain_spans(text) + pii.added_spans(text, pii.plain_spans(text))
+            hit = (pii.KINDS.index(kind), start, start + len(identifier)) in spans
+            right += hit
+            wrong += sum(not (start <= s and e <= start + len(identifier)) for _, s, e in spans)
+    wrong += sum(len(pii.plain_spans(t) + pii.added_spans(t, pii.plain_spans(t))) for t in PROSE)
+    recall, precision = right / (len(IDENTIFIERS) * len(CARRIERS)), right / (right + wrong)
+    print(f"recall {recall:.3f} precision {precision:.3f} of {len(IDENTIFIERS) * len(CARRIERS)} and {len(PROSE)} lines")
+    assert recall >= 0.9 and precision >= 0.97
