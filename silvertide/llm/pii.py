@@ -93,7 +93,8 @@ _SPACED = re.compile(r"\s@|@\s")
 _BRACKETED = re.compile(rf"[(\[{{<]\s*(?:{_AT}|{_DOT})\s*[)\]}}>]")
 _WRITTEN_DOT = re.compile(r"\s(?:dot|punto|punkt|point)\s")
 _SPELLED_PAIR = re.compile(rf"{_SPELLED_WORD}[ ,.-]{{1,2}}{_TOKEN}")
-_SPELLED_SIGN = re.compile(rf"{_SPELLED_WORD}(?:\s{{1,3}}(?:dot|punto|punkt|point)\s{{1,3}}|\.)(?:{_SPELLED_WORD}|[0-9])|[0-9](?:\s{{1,3}}(?:dot|punto|punkt|point)\s{{1,3}}|\.){_SPELLED_WORD}", re.IGNORECASE)
+_NUMBER_BEHIND_DOT = re.compile(rf"\.(?:\s?{_SPELLED_WORD}\b|(?<=[a-z]\.)\s?[0-9])")
+_NUMBER_BEHIND_WORD = re.compile(rf"(?:dot|punto|punkt|point)\s{{1,3}}(?:[0-9]|{_SPELLED_WORD}\b)")
 _SPELLED_BEHIND = re.compile(rf"[0-9][ ,.-]{{1,2}}{_SPELLED_WORD}\b")
 _WRITTEN_AT = re.compile(r"\s(?:at|arroba|arobase)\s++[a-z0-9-]++\.[a-z0-9]")
 
@@ -103,6 +104,13 @@ def _spelled(text: str) -> bool:
     return bool(_SPELLED_BEHIND.search(low) or _SPELLED_PAIR.search(low))
 
 
+def _spelled_address(text: str) -> bool:
+    low = text.lower()
+    return bool(
+        _NUMBER_BEHIND_DOT.search(low) or (any(w in low for w in ("dot", "punto", "punkt", "point")) and _NUMBER_BEHIND_WORD.search(low))
+    )
+
+
 def _linked(text: str) -> bool:
     low = text.lower()
     return bool(
@@ -341,7 +349,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         steps.append(_rewritten(text, _glyphs(text)))
         last = steps[-1].text()
         collect()
-    if _SPELLED_SIGN.search(last) and (changes := list(_addresses(last))):
+    if _spelled_address(last) and (changes := list(_addresses(last))):
         steps.append(_rewritten(last, changes))
         last = steps[-1].text()
         collect()
