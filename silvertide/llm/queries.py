@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slots.shard_documents(_table(spark, sf_dir, "documents"))
+    maps = slots.map_folder(spark, f"documents-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+    return slots.shard_documents(_table(spark, sf_dir, "documents"), maps=maps)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
