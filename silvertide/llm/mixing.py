@@ -28,6 +28,8 @@ SEED = 20240
 KNAPSACK = 1 << 16
 #: Hash ranges that the documents of one source and length are dealt over, so that no length is ranked in one task.
 RANGES = 1024
+#: Most equal rows that are ranked as one; more of them are dealt over the ranges in chunks.
+CHUNK = 4096
 
 
 def row_mark() -> Column:
@@ -119,17 +121,32 @@ def _plan(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(times=times, extra=fit_lengths(lengths, counts, want - times * own))
 
 
+def counted(rows: DataFrame, seed: int = SEED) -> DataFrame:
+    """(doc_id, mark, named, source, size, n, lot, part): rows of sized(), equal ones counted by at most CHUNK in a row.
+
+    lot is the seeded hash that orders the rows of a length; chunks of the same rows have lots of their own.
+    """
+    known = rows.select("doc_id", "mark", F.col("source").isNotNull().alias("named"), F.coalesce("source", F.lit("")).alias("source"), "size")
+    groups = known.groupBy("doc_id", "mark", "named", "source", "size").agg(F.count(F.lit(1)).alias("all"))
+    chunks = groups.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"int((`all` - 1) div {CHUNK})"))))
+    first = F.xxhash64(F.lit(seed), "doc_id", "mark")
+    lot = F.when(F.col("chunk") == 0, first).otherwise(F.xxhash64(first, "chunk"))
+    return chunks.select(
+        "doc_id", "mark", "named", "source", "size", F.least(F.lit(CHUNK), F.col("all") - F.col("chunk") * CHUNK).alias("n"),
+        lot.alias("lot"), F.pmod(lot, F.lit(RANGES)).cast("int").alias("part"),
+    )
+
+
 def mix(rows: DataFrame, seed: int = SEED) -> DataFrame:
-    """(doc_id, mark, size, source_size, target, taken) for each row of sized(), which should be stored.
+    """(doc_id, mark, size, source_size, target, taken) for each row of sized().
 
     taken is 0, size or twice size. A null source is a source, the last in order. Rows with equal doc_id, source
-    and text change places freely. Sources without words have target 0. An empty table gives no rows.
+    and text change places freely, so they are counted and ranked together. Sources without words have target 0. An empty
+    table gives no rows.
     """
-    rows = rows.select("doc_id", F.col("source").isNotNull().alias("named"), F.coalesce("source", F.lit("")).alias("source"), "mark", "size")
-    lot = F.xxhash64(F.lit(seed), "doc_id", "mark")
-    rows = rows.withColumns({"lot": lot, "part": F.pmod(lot, F.lit(RANGES)).cast("int")})
+    rows = materialize(counted(rows, seed), "mix-counted")
     key = ["named", "source", "size"]
-    ranges = rows.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n"))
+    ranges = rows.groupBy(*key, "part").agg(F.sum("n").alias("n"))
     histogram = materialize(ranges.groupBy(key).agg(F.sum("n").alias("n")), "mix-lengths")
     wanted = targets(histogram.groupBy("named", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
     schema = "named boolean, source string, size long, n long, source_size long, target double, times long, extra long"
@@ -139,16 +156,16 @@ def mix(rows: DataFrame, seed: int = SEED) -> DataFrame:
     running = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     quota = ranges.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0))).join(plan, key)
     quota = quota.select(*key, "part", "source_size", "target", "times", (F.col("extra") - F.col("before")).alias("quota"))
-    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy(*key, "part").orderBy("lot", "doc_id", "mark")))
-    once_more = F.when(F.col("place") <= F.col("quota"), F.col("size")).otherwise(F.lit(0))
-    return ranked.join(quota, [*key, "part"]).select(
-        "doc_id", "mark", "size", "source_size", "target", (F.col("times") * F.col("size") + once_more).alias("taken")
-    )
+    own = Window.partitionBy(*key, "part").orderBy("lot", "doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn("place", F.coalesce(F.sum("n").over(own), F.lit(0)))
+    each = ranked.join(quota, [*key, "part"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    once_more = F.when(F.col("place") + F.col("copy") <= F.col("quota"), F.col("size")).otherwise(F.lit(0))
+    return each.select("doc_id", "mark", "size", "source_size", "target", (F.col("times") * F.col("size") + once_more).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """mix() of whole documents; their texts are read once and not shuffled."""
-    return mix(materialize(sized(docs), "mix-sizes"), seed)
+    return mix(sized(docs), seed)
 
 
 def taken_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:

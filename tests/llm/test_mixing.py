@@ -94,3 +94,19 @@ def test_taken_documents_repeat_rows(spark, documents):
     got = mixing.taken_documents(docs)
     assert got.columns == docs.columns
     assert Counter((r.doc_id, len((r.text or "").split())) for r in got.collect()) == want
+
+
+def test_one_row_as_a_third_of_the_table(spark, documents, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 16)
+    rows = rows_of(6, 600) + [(None, "the same row", "hot")] * 300
+    counted = mixing.counted(mixing.sized(documents(rows))).where("doc_id is null").collect()
+    assert sum(r.n for r in counted) == 300 and max(r.n for r in counted) == 16
+    assert len({r.part for r in counted}) > 10
+    got = mixing.mix_documents(documents(rows)).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((d, len((t or "").split())) for d, t, _ in rows)
+    source_of = {d: s for d, _, s in rows}
+    for source in set(source_of.values()):
+        own = [r for r in got if source_of[r.doc_id] == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+    again = mixing.mix_documents(documents(rows[::-1]).repartition(5)).collect()
+    assert Counter((r.doc_id, r.taken) for r in got) == Counter((r.doc_id, r.taken) for r in again)
