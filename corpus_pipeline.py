@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,12 +52,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every row: shard and position in it.
+    """The place of every row: shard and position in it, by the map of slots that is stored for this corpus.
 
     Null texts count as empty, null ids as a value of their own; repeated rows have places of their own. Other columns are
-    left out; an empty table gives no place.
+    left out; an empty table gives no place. A later run over the same folder uses the stored map, and edits it where the
+    shards have become uneven.
     """
-    return slots.shard_documents(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "virtual_slot")
+    maps = slots.map_folder(spark, f"pipeline-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+    return slots.shard_documents(docs, maps=maps).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "virtual_slot")
 
 
 STAGES = [
