@@ -87,6 +87,32 @@ def test_blocks_give_what_one_index_gives(spark, documents):
     check(spark, documents, docs, items, block_bytes=300)
 
 
+def test_a_large_benchmark_is_joined(spark, documents):
+    docs, items = fixture(4)
+    items += [(5, items[5][1]), (400, "Über été " * 30), (401, "x " + "Über été " * 30)]
+    docs += [(300 + i, "same copy " + " ".join(words(items[4][1])) + " Über été" * 20) for i in range(60)]
+    docs += [(500, items[6][1]), (500, items[6][1])]
+    check(spark, documents, docs, items, block_bytes=0)
+    check(spark, documents, docs, items)
+
+
+def test_a_full_sieve_loses_nothing(spark, documents):
+    docs, items = fixture(5)
+    benchmark = spark.createDataFrame([(str(i), t) for i, t in items if t is not None], "item_id string, text string")
+    got = decontaminate._joined(documents(docs), benchmark, sieve_bits=1 << 15).collect()
+    wanted = sorted((d, n, h, k) for d, n, h, k, _, _ in brute(docs, items))
+    assert sorted((r.doc_id, r.n_words, sum(x.end - x.begin for x in r.hit_ranges), len(r.hit_items)) for r in got) == wanted
+
+
+def test_the_join_reads_documents_once_a_pass(spark, documents, tmp_path):
+    docs, items = fixture(6)
+    documents(docs).write.parquet(str(tmp_path / "docs"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    marked = decontaminate.decontaminate(spark.read.parquet(str(tmp_path / "docs")), benchmark, block_bytes=0)
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join LeftOuter" in plan
+
+
 def test_empty_tables_and_clashing_columns(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination_report(documents([]), none).count() == 0
@@ -96,3 +122,8 @@ def test_empty_tables_and_clashing_columns(spark, documents):
     items = spark.createDataFrame([(4, "b c d e f g h i j k l m")], "item_id long, text string")
     row = decontaminate.decontaminate(named, items).first()
     assert (row.n_words, row.hit_items, row.item_id, row.hit_ranges[0].begin, row.hit_ranges[0].end) == (11, ["4"], "x", 1, 11)
+    named = named.withColumn("text_key", F.lit("own")).withColumn("list_id", F.lit("own"))
+    row = decontaminate.decontaminate(named, items, block_bytes=0).first()
+    assert (row.n_words, row.hit_items, row.item_id, row.hit_ranges[0].begin, row.hit_ranges[0].end) == (11, ["4"], "x", 1, 11)
+    assert (row.text_key, row.list_id) == ("own", "own")
+    assert decontaminate.decontaminate(documents([]), items, block_bytes=0).count() == 0
