@@ -737,6 +737,8 @@ SELECTS: dict[str, str] = {
     "column_policy": _DIM.join(("SELECT ", " FROM dim")).replace(
         "REPLACE (", "REPLACE (CAST(NULL AS VARCHAR) AS rut_pseudo, CAST(NULL AS BIGINT) AS score_crediticio, "
     ),
+    "guarded_columns": """SELECT d.rango_saldo, f.canal, count(*) AS n, count(DISTINCT f.id_cliente) AS clientes
+        FROM fact f JOIN dim d USING (id_cliente) GROUP BY ALL""",
     "table_aspects": _aspect_rows(),
     "rut_check": f"""SELECT id_cliente, left(rut, length(rut) - 1) || '0' AS rut FROM cli
         WHERE {_CK} % 11 = 4 AND right(rut, 1) <> '0'""",

@@ -661,6 +661,15 @@ def column_policy(t: Layers) -> DataFrame:
     return G.apply_column_policy(t.dim, "dim_cliente", [G.INTERNAL])
 
 
+@query("guarded_columns")
+def guarded_columns(t: Layers) -> DataFrame:
+    """A report over guarded tables that needs the grant of one tag, beside columns that the reader has no grant for."""
+    dim = G.guard_columns(t.dim, "dim_cliente", [G.INTERNAL])
+    fact = G.guard_columns(t.fact, "fact_transacciones")
+    joined = fact.join(dim.select("id_cliente", "rango_saldo"), "id_cliente")
+    return G.authorize(joined.groupBy("rango_saldo", "canal").agg(F.count("*").alias("n"), F.countDistinct("id_cliente").alias("clientes")))
+
+
 @query("table_aspects")
 def table_aspects(t: Layers) -> DataFrame:
     database = f"silvertide_{uuid.uuid4().hex[:12]}"

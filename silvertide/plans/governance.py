@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -38,6 +39,52 @@ def apply_column_policy(df: DataFrame, table: str, grants: Iterable[str] = ()) -
     )
 
 
+def guard_columns(df: DataFrame, table: str, grants: Iterable[str] = ()) -> DataFrame:
+    """The table as a reader with some grants may query it: a query that uses another tagged column fails.
+
+    Such a column is an error that nobody can evaluate. Spark drops columns a query does not use, so other queries run,
+    and what is left of the error in the optimized plan is the query's lineage: through aliases, expressions, filters,
+    join keys, groups and stars. `authorize` finds it before anything runs; without that the query fails as it runs,
+    unless it meets no row.
+    """
+    allowed = set(grants)
+    tags = COLUMN_TAGS.get(table, {})
+    return df.select(
+        *[
+            F.col(f"`{f.name}`")
+            if tags.get(f.name) is None or tags[f.name] in allowed
+            else F.raise_error(F.lit(f"access denied to <{table}.{f.name}>: {tags[f.name]}")).cast(f.dataType).alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+_DENIED = re.compile(r"access denied to <([^>]+)>")
+
+
+def denied_columns(query: DataFrame) -> list[str]:
+    """Guarded columns that a query uses, as table.column, sorted. Nothing is run."""
+    conf, fields = query.sparkSession.conf, "spark.sql.debug.maxToStringFields"
+    before = conf.get(fields)
+    conf.set(fields, str(2**31 - 1))
+    try:
+        plan = query._jdf.queryExecution().optimizedPlan().toString()
+    except Exception as error:  # a plan over constants is evaluated while it is optimized
+        plan = str(error)
+        if not _DENIED.search(plan):
+            raise
+    finally:
+        conf.set(fields, before)
+    return sorted(set(_DENIED.findall(plan)))
+
+
+def authorize(query: DataFrame) -> DataFrame:
+    """The query itself, if it uses no column that the reader has no grant for; else PermissionError names them."""
+    if denied := denied_columns(query):
+        raise PermissionError(f"no grant for {', '.join(denied)}")
+    return query
+
+
 @dataclass(frozen=True)
 class Aspects:
     sensitivity_level: str

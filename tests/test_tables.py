@@ -239,6 +239,55 @@ def test_column_policy(layers, grants, hidden):
     assert {c for c in G.COLUMN_TAGS["dim_cliente"] if row[c] is None} == hidden
 
 
+USES = {
+    "select": lambda d: d.select("rut_pseudo"),
+    "star": lambda d: d.select("*"),
+    "filter": lambda d: d.where("rut_pseudo > 'a'").select("id_cliente"),
+    "join key": lambda d: d.join(d.sparkSession.table("g_other"), "rut_pseudo").select("id_cliente"),
+    "group": lambda d: d.groupBy("rut_pseudo").count().select("count"),
+    "order": lambda d: d.orderBy("rut_pseudo").select("id_cliente").limit(3),
+    "alias": lambda d: d.withColumnRenamed("rut_pseudo", "x").select(F.col("x").alias("y")),
+    "expression": lambda d: d.select(F.coalesce(F.lit(None), F.concat(F.lit("a"), F.substring("rut_pseudo", 1, 2))).alias("z")),
+    "aggregate": lambda d: d.agg(F.max("rut_pseudo")),
+    "subquery": lambda d: d.sparkSession.sql("SELECT 1 AS a WHERE EXISTS (SELECT 1 FROM g_dim WHERE rut_pseudo LIKE 'x%')"),
+    "window": lambda d: d.selectExpr("id_cliente", "rank() OVER (ORDER BY rut_pseudo) AS r"),
+}
+
+
+@pytest.mark.parametrize("use", USES)
+def test_a_guarded_column_refuses_its_uses(spark, layers, use):
+    layers.dim.select("rut_pseudo").createOrReplaceTempView("g_other")
+    for grants, refused in (((G.INTERNAL,), True), ((G.INTERNAL, G.CONFIDENTIAL), False)):
+        guarded = G.guard_columns(layers.dim, "dim_cliente", grants)
+        guarded.createOrReplaceTempView("g_dim")
+        query = USES[use](guarded)
+        assert guarded.dtypes == layers.dim.dtypes
+        if refused:
+            assert "dim_cliente.rut_pseudo" in G.denied_columns(query)
+            with pytest.raises(PermissionError, match="dim_cliente.rut_pseudo"):
+                G.authorize(query)
+            with pytest.raises(Exception, match="access denied"):
+                query.collect()
+        else:
+            assert G.authorize(query) is query
+
+
+def test_other_uses_of_a_guarded_table_run(spark, layers):
+    guarded = G.guard_columns(layers.dim, "dim_cliente", [G.INTERNAL])
+    total = layers.dim.count()
+    assert guarded.count() == total
+    for query in (
+        guarded.select("id_cliente", "rango_saldo"), guarded.drop("rut_pseudo", "score_crediticio"),
+        guarded.withColumn("x", F.upper("rut_pseudo")).select("id_cliente", "region"),
+        guarded.groupBy("region").count(), guarded.join(layers.dim.select("id_cliente"), "id_cliente").select("id_cliente"),
+    ):
+        assert G.authorize(query).count() > 0
+    assert G.denied_columns(G.guard_columns(layers.dim, "dim_cliente")) == sorted(f"dim_cliente.{c}" for c in G.COLUMN_TAGS["dim_cliente"])
+    local = G.guard_columns(spark.createDataFrame([("a", 1)], "rut_pseudo string, x int"), "dim_cliente")
+    assert G.denied_columns(local.select("rut_pseudo")) == ["dim_cliente.rut_pseudo"] and G.denied_columns(local.select("x")) == []
+    assert G.denied_columns(spark.sql("SELECT id, assert_true(id >= 0) AS ok FROM range(3)")) == []
+
+
 def test_aspects_round_trip(spark, tmp_path):
     spark.sql(f"CREATE TABLE IF NOT EXISTS t_aspects (x INT) USING parquet LOCATION '{tmp_path}/t'")
     G.set_aspects(spark, "t_aspects", G.Aspects("INTERNAL", False, True, "O'Brien", 3, True))
