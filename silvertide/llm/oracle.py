@@ -6,6 +6,8 @@ or greedy and seeded choices (op4, op7, the pipeline); tests hold those against
 
 from __future__ import annotations
 
+from silvertide.llm.host_reputation import SHARED_SUFFIXES
+
 _PARTS = r"""
     parts AS (
         SELECT page_id,
@@ -27,6 +29,8 @@ def _level(name: str, source: str, key: str) -> str:
     {name} AS (SELECT {key}, (good + k * above) / (n + k) AS mean, n + k AS weight FROM {source}, {name}_strength)"""
 
 
+_SHARED = ", ".join(f"'{suffix}'" for suffix in sorted(SHARED_SUFFIXES))
+
 OP3 = rf"""
 WITH {_PARTS},
     named AS (SELECT host, try_cast(nullif(regexp_extract(path, '/([0-9]+)[^/0-9]*/?$', 1), '') AS BIGINT) AS doc_id FROM parts),
@@ -34,11 +38,21 @@ WITH {_PARTS},
         SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good
         FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
     ),
-    hosts AS (
-        SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix,
+    counted AS (
+        SELECT host, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', '', 's'), ':[0-9]*$', ''), '\.$', '') AS bare,
             coalesce(sum(good), 0)::DOUBLE AS good, count(good)::DOUBLE AS n
         FROM named LEFT JOIN marks USING (doc_id) GROUP BY host
     ),
+    cut AS (SELECT *, string_split(bare, '.') AS labels, regexp_matches(bare, '^([0-9]+\.){{3}}[0-9]+$|^\[') AS address FROM counted),
+    levels AS (
+        SELECT *, CASE WHEN array_to_string(labels[-3:], '.') IN ({_SHARED}) THEN 3 WHEN array_to_string(labels[-2:], '.') IN ({_SHARED}) THEN 2 ELSE 1 END AS k
+        FROM cut
+    ),
+    hosts AS (
+        SELECT host, good, n, CASE WHEN address THEN bare ELSE array_to_string(labels[-(k + 1):], '.') END AS domain,
+            CASE WHEN address THEN bare ELSE array_to_string(labels[-k:], '.') END AS suffix
+        FROM levels
+    ),
     suffix_in AS (
         SELECT suffix, sum(good) AS good, sum(n) AS n, (SELECT (sum(good) + 1) / (sum(n) + 2) FROM hosts) AS above
         FROM hosts GROUP BY suffix

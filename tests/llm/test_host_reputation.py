@@ -69,6 +69,24 @@ def test_owners_below_a_shared_suffix_do_not_share_a_prior(spark, labels):
     assert got["new.bad.co.uk"] == "block" and got["other.co.uk"] == "allow"
 
 
+def test_suffixes_ports_and_addresses_equal_sql(spark, labels):
+    hosts = [
+        "a.bad.co.uk", "b.bad.co.uk:8080", "u:p@bad.co.uk", "fine.co.uk", "co.uk", "x.bad.github.io", "me.github.io.", "10.0.0.1", "10.0.0.1:81", "10.0.0.2",
+        "[2001:db8::1]:80", "b.s3.amazonaws.com", "c.s3.amazonaws.com", "net", "h.net.", "H.Net:1", "a.b.c.school.net.bad.com.br", "a@b@bad.com.br", "", ".", "..co.uk",
+    ]
+    rows = [(i, f"http://{h}/en/{(j * 40 + i) if i % 3 else 'x'}") for j, h in enumerate(hosts) for i in range(40)] + [(None, f"http://new.{h}/q") for h in hosts]
+    marks = [(d, int("bad" not in hosts[d // 40] or d % 11 == 0), int(d % 17 == 0)) for d in range(40 * len(hosts))]
+    got = [tuple(r) for r in host_reputation.judge(spark.createDataFrame([(*r, "") for r in rows], "page_id long, url string, html string"), labels(marks)).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", rows)
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER, toxic INTEGER)")
+    con.executemany("INSERT INTO labels VALUES (?, ?, ?)", marks)
+    assert sorted(map(str, got)) == sorted(map(str, con.execute(OP3).fetchall()))
+    verdicts = {r[1]: r[4] for r in got}
+    assert verdicts["new.a.bad.co.uk"] == "block" and verdicts["new.fine.co.uk"] == "allow"
+
+
 def test_ids_of_nineteen_digits_count_and_longer_ones_do_not(spark, labels):
     first = 9_000_000_000_000_000_000
     rows = [(i, f"http://bad.net/en/{first + i}", "") for i in range(100)] + [(1000 + i, f"http://good.net/en/{i}", "") for i in range(300)]
