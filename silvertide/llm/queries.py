@@ -50,7 +50,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("evidence")
+    report = toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    told = F.transform("evidence", lambda e: F.concat_ws(":", e["doc_id"], F.format_string("%.4f", e["similarity"]), e["toxic"].cast("string")))
+    return report.withColumn("evidence", F.array_join(told, ","))
 
 
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,3 +151,14 @@ def test_line_quality_on_held_out_documents(spark):
     rows = [(got[r.doc_id].score, r.quality) for r in labels.collect() if held(r.doc_id, 5, 0)]
     score, label = np.array([s for s, _ in rows]), np.array([t for _, t in rows])
     assert auc(score, label) > 0.97 and ((score >= 0.3) == label).mean() > 0.95
+
+
+def test_the_toxicity_query_tells_its_evidence(spark, sf_dir):
+    from silvertide.llm import queries
+
+    labels = {str(r.doc_id): r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = queries.op6_toxicity(spark, sf_dir).collect()
+    told = [[e.split(":") for e in r.evidence.split(",") if e] for r in rows]
+    assert any(told) and all(labels[d] == int(t) and 0 <= float(s) <= 1.0001 for own in told for d, s, t in own)
+    for own in told:
+        assert [float(s) for _, s, _ in own] == sorted((float(s) for _, s, _ in own), reverse=True)
