@@ -75,6 +75,22 @@ def test_rows(spark, documents):
     assert pii.find_spans(documents([])).count() == 0
 
 
+def test_query_counts_base_spans_by_kind(spark, documents, tmp_path):
+    from silvertide.llm.queries import op2_pii
+
+    texts = [
+        "a@b.example.com and c@d.example.com", "10.0.0.1, 10.0.0.2 or 10.0.0.3", "10.0.0.1 a@b.example.com +1 (988) 555-2485",
+        "card 4539578763621486", "x (at) y dot com", "", None,
+    ]
+    documents([*enumerate(texts), (2, texts[2])]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op2_pii(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 1, 2, 2, 3, 4, 5, 6]
+    for r in rows:
+        kinds = [s[0] for s in brute(texts[r.doc_id] or "")]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds.count(k) for k in range(4)), texts[r.doc_id]
+    assert [r.spans for r in rows if r.doc_id == 4] == ["email:0:16"]
+
+
 def test_digits_in_long_runs_are_linear():
     import time
 
