@@ -137,15 +137,16 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
 
 
 def _searched(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
-    """Links of a breadth-first search: near(i, others) tells which of others are linked with i."""
+    """Links from the first of each component to all others of it; near(i, others) tells which of others are linked with i."""
     left, right, open_ = [], [], np.arange(n)
     while len(open_) > 1:
-        queue, open_ = [int(open_[0])], open_[1:]
+        first, open_ = int(open_[0]), open_[1:]
+        queue = [first]
         while queue and len(open_):
             i = queue.pop()
             found = near(i, open_)
             for j in open_[found].tolist():
-                left.append(i), right.append(j), queue.append(j)
+                left.append(first), right.append(j), queue.append(j)
             open_ = open_[~found]
     return left, right
 
@@ -206,7 +207,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grouped(units: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    dealt = units.repartition("key").sortWithinPartitions("key")
+    # By node, so that links lead to the least node of what a task joins and few rounds make stars of them.
+    dealt = units.repartition("key").sortWithinPartitions("key", "node")
     return dealt.mapInArrow(run, "a long, b long").where("a != b").distinct()
 
 
@@ -254,7 +256,8 @@ def _large_links(nodes: DataFrame, sets: DataFrame, most_docs: int, most_shingle
     if hot.isEmpty():
         return links
     # Every document outside the largest component of its hot region meets all chunks of the region.
-    labelled = hot.join(component_roots(links), "node", "left").select("key", "node", "parts", F.coalesce("root", "node").alias("root"))
+    roots = component_roots(links)
+    labelled = hot.join(roots, "node", "left").select("key", "node", "parts", F.coalesce("root", "node").alias("root"))
     largest = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
     minor = labelled.join(largest, "key").where("root != largest").select("key", "node", "parts")
     counted = minor.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most_docs).cast("int").alias("rows"))
@@ -266,7 +269,8 @@ def _large_links(nodes: DataFrame, sets: DataFrame, most_docs: int, most_shingle
     )
     second = own.select("key", "node", "row", F.col("chunk").cast("long").alias("chunk")).union(others.select("key", "node", F.col("row").cast("long").alias("row"), "chunk")).distinct()
     second = second.select(F.xxhash64("key", "row", "chunk").alias("key"), "node")
-    return links.union(_grouped(second.join(sets, "node").select("key", "node", "shingles"), _confirmed))
+    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # of what the links join already
+    return joined.union(_grouped(second.join(sets, "node").select("key", "node", "shingles"), _confirmed))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:

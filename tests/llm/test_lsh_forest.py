@@ -99,3 +99,11 @@ def test_signature_agreement_estimates_similarity():
 def test_chance_to_miss_a_pair_is_below_a_millionth():
     reach = lambda depth, orders: (1 - (lsh_forest.THRESHOLD / 100) ** depth) ** orders
     assert reach(lsh_forest.SHALLOW, lsh_forest.WIDE) < 1e-6 and reach(lsh_forest.DEEP, lsh_forest.ORDERS) < 1e-6
+
+
+def test_searched_groups_are_stars():
+    """Links in a row, as of a path of near copies, come out as a star: components then need one round."""
+    near = lambda i, others: abs(others - i) <= 2
+    assert sorted(zip(*lsh_forest._searched(40, near), strict=True)) == [(0, j) for j in range(1, 40)]
+    apart = lambda i, others: others // 10 == i // 10
+    assert sorted(zip(*lsh_forest._searched(30, apart), strict=True)) == [(j // 10 * 10, j) for j in range(30) if j % 10]

@@ -119,3 +119,16 @@ def test_representatives_with_null_and_repeated_ids(spark, documents):
     assert simhash.representatives(documents([])).count() == 0
     named = documents(rows).withColumnRenamed("lang", "fp")
     assert simhash.representatives(named).columns == named.columns
+
+
+def test_stars_need_one_round(spark, monkeypatch):
+    from silvertide.llm import components
+
+    written = []
+    store = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.append(name) or store(df, name))
+    links = [(1, 5), (1, 6), (6, 1), (1, 6), (2, 9), (3, 3)]
+    roots = sorted(map(tuple, component_roots(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert roots == [(5, 1), (6, 1), (9, 2)] and len(written) == 1
+    path = [(i, i + 1) for i in range(20)]
+    assert {tuple(r) for r in component_roots(spark.createDataFrame(path, "a long, b long")).collect()} == {(i, 0) for i in range(1, 21)}
