@@ -75,16 +75,15 @@ def publish_gold(
 ) -> DataFrame:
     """Create or replace a Gold table in one step and return it as read back; its aspects come with it.
 
-    Rows are rebalanced by partition (crowded days are split, small ones merged)
-    and sorted by the cluster columns inside each file, so the statistics of the
+    Rows are rebalanced by partition (crowded days are split, small ones merged),
+    or by the cluster columns where there are no partitions, so that no task sorts
+    more than its share, and sorted by the cluster columns inside each file, so the statistics of the
     row groups let readers skip. Columns that single values are looked up by get a
     Bloom filter. A run that fails leaves the last version; who reads it goes on
     reading it. With `table` a catalog table is made instead.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
     if partition_by or cluster_by:
-        df = df.sortWithinPartitions(*partition_by, *cluster_by)
+        df = df.hint("rebalance", *(partition_by or cluster_by)).sortWithinPartitions(*partition_by, *cluster_by)
     options = {f"parquet.bloom.filter.enabled#{column}": "true" for column in lookup_by}
     spark = df.sparkSession
     if table is None:

@@ -127,6 +127,28 @@ def test_crowded_day_is_split_over_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
 
 
+def test_clustered_table_is_sorted_in_shares(spark, tmp_path):
+    """Without partitions too, one task does not sort the whole table."""
+    path, df = str(tmp_path / "dim"), spark.range(60_000).coalesce(1).selectExpr("md5(cast(id % 50000 AS string)) AS id_cliente", "sha2(cast(id AS string), 512) AS text")
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "512k")
+    try:
+        out = tables.publish_gold(df, path, [], ["id_cliente"], ["id_cliente"])
+        assert len(out.inputFiles()) > 3
+        assert out.count() == 60_000 and out.exceptAll(df).isEmpty()
+        one = spark.read.parquet(out.inputFiles()[0]).select("id_cliente").collect()
+        assert one == sorted(one)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_clients_are_dealt_out_before_they_are_masked(layers):
+    plan = layers.silver_clients._jdf.queryExecution().optimizedPlan().toString()
+    scan = plan.index("Relation [c_custkey")
+    assert "RepartitionByExpression [c_custkey" in plan[:scan]
+
+
 def test_views_hold_no_data(spark, layers):
     names = tables.register_views(spark, {"v_clients": layers.stg_clients}, "t_")
     assert names == ["t_v_clients"] and spark.table("t_v_clients").count() == 150
