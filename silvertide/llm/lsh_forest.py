@@ -237,7 +237,8 @@ def clusters(nodes: DataFrame, most_docs: int = GROUP_DOCS) -> DataFrame:
     units, hot = _regions(nodes, most_docs, 1 << 62)
     signed_units = units.join(nodes.select("node", "signature"), "node").select("key", "node", "signature")
     hub = hot.groupBy("key").agg(F.min("node").alias("a"))
-    whole = hot.join(hub, "key").where("a != node").select("a", F.col("node").alias("b"))
+    # A pair may share many regions; a round would meet each of its copies at the hub.
+    whole = hot.join(hub, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
     roots = component_roots(materialize(_grouped(signed_units, _alike).union(whole), "forest-candidates"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
 
